@@ -44,6 +44,12 @@ def _seconds_of_day(c: Column) -> Column:
     return (F.hour(c) * 3600 + F.minute(c) * 60).cast("decimal(20,6)") + F.extract(F.lit("SECOND"), c)
 
 
+def wall_seconds(c: Column) -> Column:
+    """Seconds since 1970 of a wall time, exact to the microsecond."""
+    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date"))
+    return (days.cast("decimal(10,0)") * 86400 + _seconds_of_day(c)).cast("decimal(20,6)")
+
+
 def calendar_age(end: Column, start: Column) -> dict[str, Column]:
     """Calendar difference end - start as whole months, days and seconds.
 

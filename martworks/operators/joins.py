@@ -3,8 +3,6 @@ below its size threshold at run time and otherwise splits skewed partitions."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -86,24 +84,26 @@ def enrich_items(df: DataFrame, order_key: str, items: str, item_key: str, menu:
     return df.select(order_key, *others).join(packed, order_key, "left")
 
 
-def salted_pairs(left: DataFrame, right: DataFrame, on: list[str], spread: Column, target: int,
-                 condition: Callable[[], Column] | None = None) -> DataFrame:
-    """Inner equi-join that spreads keys which are hot on the left side.
+def salted_pairs(left: DataFrame, right: DataFrame, on: list[str], left_spread: Column, right_spread: Column,
+                 target: int) -> DataFrame:
+    """Inner equi-join that cuts hot keys into blocks on both sides.
 
-    Keys are counted first. A key with more than `target` left rows is cut into
-    ceil(count / target) blocks; each left row goes to one block by the hash of
-    `spread`, each right row to all of them. All other keys have one block.
+    Keys are counted first. A key with more than `target` rows on a side is cut
+    there into ceil(count / target) blocks by the hash of the spread column;
+    each row meets every block of the other side once. So no task compares more
+    than about target x target rows, and every pair still appears exactly once.
+    Keys under the target, normally almost all, have one block and no copies.
     """
-    blocks = (
-        left.groupBy(*on).agg(F.count("*").alias("_n"))
-        .select(*on, F.ceil(F.col("_n") / F.lit(target)).cast("int").alias("_blocks"))
-    )
-    hot = blocks.where("_blocks > 1")
-    n = F.coalesce("_blocks", F.lit(1))
-    salted_left = left.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(spread), n).cast("int")).drop("_blocks")
-    salted_right = (
-        right.join(hot, on, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), n - 1))).drop("_blocks")
-    )
-    joined = salted_left.join(salted_right, [*on, "_salt"]).drop("_salt")
-    return joined.where(condition()) if condition else joined
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        counted = df.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > target)
+        return counted.select(*on, F.ceil(F.col("_n") / F.lit(target)).cast("int").alias(name))
+
+    hot = blocks(left, "_bl").join(blocks(right, "_br"), on, "full")
+    nl, nr = F.coalesce("_bl", F.lit(1)), F.coalesce("_br", F.lit(1))
+
+    def cut(df: DataFrame, own: str, n_own: Column, spread: Column, other: str, n_other: Column) -> DataFrame:
+        marked = df.join(hot, on, "left").withColumn(own, F.pmod(F.xxhash64(spread), n_own).cast("int"))
+        return marked.withColumn(other, F.explode(F.sequence(F.lit(0), n_other - 1))).drop("_bl", "_br")
+
+    return cut(left, "_a", nl, left_spread, "_b", nr).join(
+        cut(right, "_b", nr, right_spread, "_a", nl), [*on, "_a", "_b"]).drop("_a", "_b")
