@@ -119,14 +119,14 @@ def user_message(enriched: DataFrame) -> DataFrame:
         array_pluck(products, "category").alias("category_name_list"))
 
 
-def message_products(messages: DataFrame) -> DataFrame:
-    rows = messages.select("order_id", "user_id", zip_arrays(
+def message_products(messages: DataFrame, keep: list[str] = ()) -> DataFrame:
+    rows = messages.select("order_id", "user_id", *keep, zip_arrays(
         product_id=F.col("product_id_list"), product_name=F.col("product_name_list")).alias("_items"))
     return explode_items(rows, "_items")
 
 
-def message_categories(messages: DataFrame) -> DataFrame:
-    rows = messages.select("order_id", "user_id", zip_arrays(
+def message_categories(messages: DataFrame, keep: list[str] = ()) -> DataFrame:
+    rows = messages.select("order_id", "user_id", *keep, zip_arrays(
         category_id=F.col("category_id_list"), category_name=F.col("category_name_list")).alias("_items"))
     return explode_items(rows, "_items")
 

@@ -31,8 +31,8 @@ def as_places(cities: DataFrame) -> DataFrame:
 def read_order_increment(spark: SparkSession, path: str) -> DataFrame:
     """Order increment by header name; `status` defaults to 'shipped'."""
     header = spark.read.option("header", True).csv(path).columns
-    known = {f.name: f for f in schemas.ORDER_INCREMENT} | {"status": T.StructField("status", T.StringType())}
-    schema = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in header])
+    declared = T.StructType.fromDDL(schemas.ORDER_INCREMENT)
+    schema = T.StructType([declared[c] if c in declared.names else T.StructField(c, T.StringType()) for c in header])
     raw = spark.read.option("header", True).schema(schema).csv(path)
     return clean_order_increment(raw)
 
@@ -43,7 +43,7 @@ def clean_order_increment(raw: DataFrame) -> DataFrame:
     return rows.withColumn("status", status)
 
 
-def load_staging_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = False) -> DataFrame:
+def load_staging_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = False) -> DataFrame:
     """Comma-separated file under a declared schema; object stores by s3a:// path."""
     return spark.read.option("header", header).schema(schema).csv(path)
 
