@@ -1 +1,65 @@
-"""stub"""
+"""Streaming jobs, run to the end of data that Spark wrote from the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from martworks.catalog.registry import Tables, query
+from martworks.catalog.vaults import CATEGORY_COUNTERS, PRODUCT_COUNTERS, known_orders, order_dimensions, order_messages
+from martworks.plans.order_vault import user_message
+from martworks.session import run_dir
+from martworks.streaming.campaigns import campaign_sinks, run_campaigns
+from martworks.streaming.counters import read_counters, run_counters
+from martworks.streaming.orders import order_writer, run_orders
+from martworks.streaming.sinks import batch_sink
+
+_NOW = 1705276800  # 2024-01-15 00:00:00 UTC
+
+
+def _stream(t: Tables, df: DataFrame, path: str, per_trigger: int = 0) -> DataFrame:
+    """The rows as files, read back as a stream."""
+    df.write.parquet(path)
+    reader = t.spark.readStream.schema(df.schema)
+    if per_trigger:
+        reader = reader.option("maxFilesPerTrigger", per_trigger)
+    return reader.parquet(path)
+
+
+@query("campaign_stream", f"""with c as (select *, epoch(date_trunc('second', ts))::bigint as t0 from events)
+select user_id::varchar as restaurant_id, event_id::varchar as adv_campaign_id, event_type as adv_campaign_content,
+ t0 as adv_campaign_datetime_start, t0 + 864000 as adv_campaign_datetime_end, c_custkey::varchar as client_id, {_NOW}::bigint as trigger_datetime_created
+from c join customer on c_nationkey = user_id where t0 < {_NOW} and t0 + 864000 > {_NOW}""")
+def _(t):
+    root = run_dir(t.spark, "campaigns")
+    start = F.unix_timestamp(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("adv_campaign_datetime_start")
+    fields = t.events.select(
+        F.col("user_id").cast("string").alias("restaurant_id"), F.col("event_id").cast("string").alias("adv_campaign_id"),
+        F.col("event_type").alias("adv_campaign_content"), F.lit("owner").alias("adv_campaign_owner"),
+        F.lit("contact").alias("adv_campaign_owner_contact"), start)
+    fields = fields.withColumn("adv_campaign_datetime_end", F.col("adv_campaign_datetime_start") + 864000).withColumn(
+        "datetime_created", F.col("adv_campaign_datetime_start"))
+    messages = _stream(t, fields.select(F.to_json(F.struct(*fields.columns)).alias("value")), f"{root}/in")
+    clients = t.customer.select(F.col("c_custkey").cast("string").alias("client_id"), F.col("c_nationkey").cast("string").alias("restaurant_id"))
+    sinks = campaign_sinks(f"{root}/snapshot", None, None, batch_sink(f"{root}/feedback"))
+    run_campaigns(messages, clients.unionByName(clients), sinks, f"{root}/checkpoint", F.lit(_NOW)).awaitTermination()
+    return t.spark.read.parquet(f"{root}/feedback").drop("batch_id", "adv_campaign_owner", "adv_campaign_owner_contact", "datetime_created")
+
+
+@query("counters_stream", PRODUCT_COUNTERS)
+def _(t):
+    root = run_dir(t.spark, "counters")
+    messages = _stream(t, user_message(known_orders(t)), f"{root}/in", 4)
+    run_counters(messages, "product", f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return read_counters(t.spark, f"{root}/out", "product")
+
+
+@query("order_stream", CATEGORY_COUNTERS)
+def _(t):
+    root = run_dir(t.spark, "orders")
+    rows = order_messages(t).select(F.to_json(F.struct("object_id", "object_type", "sent_dttm", "payload")).alias("value"))
+    orders = _stream(t, rows, f"{root}/in")
+    write = order_writer(f"{root}/dds", *order_dimensions(t), lambda batch: f"2002-01-{1 + batch % 28:02d} 00:00:00")
+    run_orders(orders, write, f"{root}/orders-checkpoint").awaitTermination()
+    messages = t.spark.readStream.schema(t.spark.read.parquet(f"{root}/dds/messages").schema).parquet(f"{root}/dds/messages")
+    run_counters(messages, "category", f"{root}/out", f"{root}/counter-checkpoint").awaitTermination()
+    return read_counters(t.spark, f"{root}/out", "category")
