@@ -40,6 +40,7 @@ def main() -> None:
         start = time.perf_counter()
         run(name)
         times[name] = round(time.perf_counter() - start, 3)
+        print(name, times[name], file=sys.stderr, flush=True)
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))

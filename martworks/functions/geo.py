@@ -9,8 +9,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 EARTH_KM = 6371.0
 # Up to this many places the search is one expression over literals.
 INLINE_PLACES = 64
-# Edge lengths (in earth radii) of the search cells; the last one covers the globe.
-CELL_EDGES = (0.01, 0.05, 0.25, 2.5)
+# Edge lengths (in earth radii) of the search cells. With the last one every
+# place of the globe lies in the neighbourhood of every point.
+CELL_EDGES = (0.01, 0.05, 0.25, 1.25)
+# A place list held in one row has about this many places at most.
+LIST_PLACES = 20_000
+# Cell numbers beyond any real cell: points already settled get such a key.
+_SETTLED = 1_000
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -18,7 +23,7 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     dlat = (F.radians(lat2) - F.radians(lat1)) / 2
     dlon = (F.radians(lon2) - F.radians(lon1)) / 2
     h = F.sin(dlat) * F.sin(dlat) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.sin(dlon) * F.sin(dlon)
-    return 2 * EARTH_KM * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+    return 2 * EARTH_KM * F.asin(F.sqrt(F.when(h > 1, F.lit(1.0)).otherwise(h)))
 
 
 def unit_vector(lat: Column, lon: Column) -> dict[str, Column]:
@@ -32,7 +37,8 @@ def _chord2(ax, ay, az, bx, by, bz) -> Column:
 
 
 def _chord2_km(chord2: Column) -> Column:
-    return 2 * EARTH_KM * F.asin(F.least(F.sqrt(chord2) / 2, F.lit(1.0)))
+    half = F.sqrt(chord2) / 2
+    return 2 * EARTH_KM * F.asin(F.when(half > 1, F.lit(1.0)).otherwise(half))
 
 
 def nearest_place(
@@ -63,29 +69,32 @@ def _with_vector(df: DataFrame, lat: str, lon: str) -> DataFrame:
 
 
 def _nearest_inline(pts: DataFrame, located: DataFrame, rows: list, lat: str, lon: str) -> DataFrame:
+    """The place with the largest dot product of unit vectors.
+
+    The products form one primitive array per row, in one generated stage. They
+    are written out rather than kept in helper columns, which the optimizer would
+    track through its constraint inference. The distance of the winner is then
+    taken from its coordinates.
+    """
     id_type = located.schema["place_id"].dataType
-    candidates = []
-    for row in sorted(rows, key=lambda r: r.place_id):
-        la, lo = math.radians(row.lat), math.radians(row.lon)
-        candidates.append(
-            F.struct(
-                _chord2(
-                    F.col("_x"), F.col("_y"), F.col("_z"),
-                    F.lit(math.cos(la) * math.cos(lo)), F.lit(math.cos(la) * math.sin(lo)), F.lit(math.sin(la)),
-                ).alias("d"),
-                F.lit(row.place_id).cast(id_type).alias("place_id"),
-                F.lit(row.place).alias("place"),
-            )
-        )
-    if not candidates:
+    ordered = sorted(rows, key=lambda r: r.place_id)
+    if not ordered:
         return pts.select("*", F.lit(None).cast(id_type).alias("place_id"),
                           F.lit(None).cast("string").alias("place"), F.lit(None).cast("double").alias("km"))
-    best = F.least(*candidates) if len(candidates) > 1 else candidates[0]
-    return (
-        _with_vector(pts, lat, lon)
-        .withColumn("_best", best)
-        .select(*pts.columns, "_best.place_id", "_best.place", _chord2_km(F.col("_best.d")).alias("km"))
-    )
+    v = unit_vector(F.col(lat), F.col(lon))
+    products = []
+    for row in ordered:
+        la, lo = math.radians(row.lat), math.radians(row.lon)
+        products.append(v["x"] * F.lit(math.cos(la) * math.cos(lo)) + v["y"] * F.lit(math.cos(la) * math.sin(lo))
+                        + v["z"] * F.lit(math.sin(la)))
+    near = F.array(*products)
+    # the first position wins, and the places are in id order
+    at = (F.array_position(near, F.array_max(near)) - 1).cast("int")
+    list_of = lambda field: F.array(*[F.lit(r[field]) for r in ordered])
+    pick = lambda field: F.get(list_of(field), F.col("_at"))
+    return pts.withColumn("_at", at).select(
+        *pts.columns, pick("place_id").cast(id_type).alias("place_id"), pick("place").alias("place"),
+        haversine_km(F.col(lat), F.col(lon), pick("lat"), pick("lon")).alias("km"))
 
 
 def _cell(axis: Column, edge: float) -> Column:
@@ -95,39 +104,40 @@ def _cell(axis: Column, edge: float) -> Column:
 def _nearest_by_cells(pts: DataFrame, located: DataFrame, lat: str, lon: str) -> DataFrame:
     """Exact search over cubes of the unit sphere, smallest edge first.
 
-    A place list per cube (with its 26 neighbours) is equi-joined to the point's
-    cube. A hit closer than one edge is final, since every place that near lies
-    in the neighbourhood; otherwise the next, larger edge is tried with a null
-    key for the points already settled. Each point meets at most one row per
-    level, so the point side is never multiplied or grouped; Spark broadcasts the
-    place side when it is under its size threshold and else splits hot cubes by
-    its skew-join rule.
+    The places of a cube and its 26 neighbours form one list row, which is
+    equi-joined to the point's cube. A hit closer than one edge is final, since
+    every place that near lies in the neighbourhood; otherwise the next, larger
+    edge is tried. Points already settled get spread keys that match nothing. So
+    a point meets at most one row per level and the point side is never multiplied
+    or grouped; Spark broadcasts the place side when it is under its size threshold
+    and else splits hot cubes by its skew-join rule. Very long place lists are cut
+    into blocks by hash, one join per block, which bounds the length of a list row.
     """
-    vec = _with_vector(located, "lat", "lon")
-    offsets = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    out = _with_vector(pts, lat, lon).withColumn("_best", F.lit(None).cast(
-        f"struct<d:double,place_id:{located.schema['place_id'].dataType.simpleString()},place:string>"))
-    previous = 0.0
+    blocks = max(1, -(-located.count() // LIST_PLACES))
+    best_type = f"struct<d:double,place_id:{located.schema['place_id'].dataType.simpleString()},place:string>"
+    vec = _with_vector(located, "lat", "lon").withColumn("_block", F.pmod(F.xxhash64("place_id"), F.lit(blocks)))
+    out = _with_vector(pts, lat, lon).withColumn("_best", F.lit(None).cast(best_type))
+    settled_within = 0.0
     for edge in CELL_EDGES:
-        whole = edge >= 2.0
         by_cell = vec
-        for axis in ("x", "y", "z"):
-            cell = F.lit(0) if whole else _cell(F.col(f"_{axis}"), edge)
-            by_cell = by_cell.withColumn(
-                f"_c{axis}", cell.cast("long") if whole else F.explode(F.transform(offsets, lambda o, c=cell: c + o)))
-        lists = by_cell.groupBy("_cx", "_cy", "_cz").agg(
-            F.collect_list(F.struct("_x", "_y", "_z", "place_id", "place")).alias("_near"))
-        open_ = F.col("_best").isNull() | (F.col("_best.d") > F.lit(previous * previous))
-        keyed = out
-        for axis in ("x", "y", "z"):
-            cell = F.lit(0).cast("long") if whole else _cell(F.col(f"_{axis}"), edge)
-            keyed = keyed.withColumn(f"_c{axis}", F.when(open_, cell))
-        joined = keyed.join(lists, ["_cx", "_cy", "_cz"], "left")
-        best = F.array_min(F.transform("_near", lambda p: F.struct(
-            _chord2(F.col("_x"), F.col("_y"), F.col("_z"), p["_x"], p["_y"], p["_z"]).alias("d"),
-            p["place_id"].alias("place_id"), p["place"].alias("place"))))
-        out = joined.withColumn("_best", F.coalesce(best, F.col("_best"))).drop("_near", "_cx", "_cy", "_cz")
-        previous = edge
+        for axis in "xyz":
+            cell = _cell(F.col(f"_{axis}"), edge)
+            by_cell = by_cell.withColumn(f"_c{axis}", F.explode(F.array(cell - 1, cell, cell + 1)))
+        open_ = F.col("_best").isNull() | (F.col("_best.d") > F.lit(settled_within * settled_within))
+        spread = F.lit(_SETTLED) + F.pmod(F.xxhash64("_x", "_y"), F.lit(1_000_000))
+        out = out.withColumns({
+            f"_c{axis}": F.when(open_, _cell(F.col(f"_{axis}"), edge)).otherwise(spread) for axis in "xyz"})
+        for block in range(blocks):
+            part = by_cell if blocks == 1 else by_cell.where(F.col("_block") == block)
+            lists = part.groupBy("_cx", "_cy", "_cz").agg(
+                F.collect_list(F.struct("_x", "_y", "_z", "place_id", "place")).alias("_near"))
+            near = F.array_min(F.transform("_near", lambda p: F.struct(
+                _chord2(F.col("_x"), F.col("_y"), F.col("_z"), p["_x"], p["_y"], p["_z"]).alias("d"),
+                p["place_id"].alias("place_id"), p["place"].alias("place"))))
+            # least skips nulls, so a cube without places keeps what was found
+            out = out.join(lists, ["_cx", "_cy", "_cz"], "left").withColumn("_best", F.least(near, "_best")).drop("_near")
+        out = out.drop("_cx", "_cy", "_cz")
+        settled_within = edge
     return out.select(*pts.columns, "_best.place_id", "_best.place", _chord2_km(F.col("_best.d")).alias("km"))
 
 

@@ -40,6 +40,17 @@ def subscriptions(ev: DataFrame) -> DataFrame:
     return _view(ev, "subscription", F.col("lat").isNotNull(), F.col("event.user"), channel=F.col("event.subscription_channel"))
 
 
+def activity(ev: DataFrame) -> DataFrame:
+    """Channel messages, reactions and subscriptions with their kind, in one scan."""
+    e, kind, placed = F.col("event"), F.col("event_type"), F.col("lat").isNotNull()
+    message = (kind == "message") & e["message_channel_to"].isNotNull()
+    reaction, subscription = (kind == "reaction") & placed, (kind == "subscription") & placed
+    user = F.when(kind == "message", e["message_from"]).when(kind == "reaction", e["reaction_from"].cast("bigint")).otherwise(
+        e["user"].cast("bigint"))
+    return ev.where(message | reaction | subscription).select(
+        kind.alias("kind"), user.alias("user_id"), _when().alias("ts"), F.to_date(_when()).alias("date"), "lat", "lon")
+
+
 def geo_events(points: DataFrame, places: DataFrame) -> DataFrame:
     """Events with their nearest city; events without coordinates are left out."""
     return nearest_place(points, places).withColumnsRenamed({"place_id": "city_id", "place": "city"})

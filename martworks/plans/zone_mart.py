@@ -5,29 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from martworks.functions.time import trunc_month, trunc_week
-from martworks.operators.filters import union_all
-from martworks.operators.grouping import first_per_key
-from martworks.plans.geo_events import channel_messages, geo_events, reactions, subscriptions
+from martworks.plans.geo_events import activity, geo_events
 
 KINDS = ["message", "reaction", "subscription", "registration"]
 
 
+def _week(*columns: str) -> list:
+    return [*columns, trunc_month(F.col("date")).alias("month"), trunc_week(F.col("date")).alias("week")]
+
+
 def zone_counts(events: DataFrame, places: DataFrame) -> DataFrame:
-    """City, month, week and the count of each kind; one aggregate for all kinds.
+    """City, month, week and the count of each kind, all kinds in one aggregate.
 
-    A registration is a user's first channel message.
+    A registration is a user's first channel message; those weeks are always
+    weeks with messages, so they join on the left.
     """
-    cols = ["user_id", "ts", "date", "lat", "lon"]
-    messages = channel_messages(events).select(*cols)
-    first = first_per_key(messages.where("lat is not null and lon is not null"), ["user_id"], ["ts", "lat", "lon"])
-    rows = union_all([
-        df.select("date", "lat", "lon", F.lit(kind).alias("kind"))
-        for kind, df in (("message", messages), ("reaction", reactions(events)),
-                         ("subscription", subscriptions(events)), ("registration", first))
-    ])
-    located = geo_events(rows, places)
-    return located.groupBy("city_id", trunc_month(F.col("date")).alias("month"), trunc_week(F.col("date")).alias("week")).agg(
-        *[F.count_if(F.col("kind") == k).alias(f"week_{k}") for k in KINDS])
+    located = geo_events(activity(events), places)
+    kinds = located.groupBy(*_week("city_id")).agg(
+        *[F.count_if(F.col("kind") == k).alias(f"week_{k}") for k in KINDS if k != "registration"])
+    first = (
+        located.where(F.col("kind") == "message").groupBy("user_id")
+        .agg(F.min(F.struct("ts", "lat", "lon", "city_id", "date")).alias("first")).select("first.*")
+    )
+    registered = first.groupBy(*_week("city_id")).agg(F.count("*").alias("week_registration"))
+    return kinds.join(registered, ["city_id", "month", "week"], "left").fillna(0, ["week_registration"])
 
 
 def geo_zone_mart(events: DataFrame, places: DataFrame, full: bool = False, zero: bool = False) -> DataFrame:
