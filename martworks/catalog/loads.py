@@ -16,13 +16,20 @@ from martworks.operators.ranking import dense_ids
 from martworks.operators.sequences import running_max
 from martworks.operators.upsert import appended, insert_ignore, upsert, upsert_counter
 from martworks.plans import delivery
-from martworks.session import run_dir
+from martworks.session import reliable, run_dir
 from martworks.sources import files, incremental, sinks
 from martworks.sources.paged import read_paged
 from martworks.sources.state import WatermarkStore
 
 _ORDER_COLS = f"o_orderkey, o_custkey, o_orderstatus, o_totalprice, {ts_sql('o_orderdate')} as o_orderdate, o_orderpriority"
 
+
+
+def stored(docs: DataFrame) -> DataFrame:
+    """Documents as the stored table they are in practice, not as an expression."""
+    return reliable(docs)
+
+
 # ---- merging -------------------------------------------------------------------------
 
 _CHANGED = "o_orderdate >= timestamp '1998-01-01'"
@@ -239,10 +246,10 @@ select l.l_partkey as product_id, l.l_orderkey as order_id, l_quantity::bigint a
 from lineitem l join orders on o_orderkey = l.l_orderkey and o_orderstatus <> 'P' join part on p_partkey = l.l_partkey
 left join bonus b on b.l_orderkey = l.l_orderkey and b.l_partkey = l.l_partkey""")
 def _(t):
-    orders = delivery.parsed_orders(order_documents(t))
+    orders = delivery.parsed_orders(stored(order_documents(t)))
     dm_orders = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderkey").cast("string").alias("order_key"))
     dm_products = t.part.select(F.col("p_partkey").alias("id"), F.col("p_partkey").cast("string").alias("product_id"))
-    return delivery.fact_product_sales(orders, delivery.order_bonuses(bonus_events(t)), dm_orders, dm_products)[0]
+    return delivery.fact_product_sales(orders, delivery.order_bonuses(stored(bonus_events(t))), dm_orders, dm_products)[0]
 
 
 @query("fact_orders", """with o as (select *, o_orderdate + interval 1 second * (o_orderkey % 86400) as ts from orders
@@ -252,7 +259,7 @@ select o_orderkey::varchar as order_key, case when o_orderstatus = 'P' then 'CAN
  s_suppkey as restaurant_id, dense_rank() over (order by ts) as timestamp_id
 from o join u on u.k = o_custkey::varchar join supplier on s_suppkey = o_custkey % 10""")
 def _(t):
-    docs = order_documents(t)
+    docs = stored(order_documents(t))
     user_docs = t.customer.select(
         F.col("c_custkey").cast("string").alias("object_id"), F.to_json(F.struct(
             F.col("c_custkey").cast("string").alias("_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("login"))).alias("object_value"),
@@ -281,6 +288,7 @@ def _(t):
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("delivery_id"), F.col("l_suppkey").cast("string").alias("courier_id"),
             F.col("l_returnflag").alias("address"), iso("l_shipdate").alias("delivery_ts"), price.alias("sum"),
             (price * money("l_tax")).cast("decimal(14,2)").alias("tip_sum"), (1 + F.col("l_linenumber") % 5).alias("rate"))).alias("object_value"))
+    docs = stored(docs.repartition("object_id"))
     courier_docs = t.supplier.select(
         F.col("s_suppkey").cast("string").alias("object_id"),
         F.to_json(F.struct(F.col("s_suppkey").cast("string").alias("_id"), F.col("s_name").alias("name"))).alias("object_value"),

@@ -9,6 +9,7 @@ from martworks.functions.time import calendar_age
 from martworks.operators.grouping import count_by, first_per_key, latest_per_key
 from martworks.operators.ranking import quintile
 from martworks.plans import metrics, rfm, sales, settlement, shipping
+from martworks.session import reliable
 
 # ---- customer segments ---------------------------------------------------------------
 
@@ -105,6 +106,11 @@ def shipping_log(t: Tables) -> DataFrame:
             F.struct(F.lit("recieved").alias("state"), F.col("l_shipdate").alias("state_datetime")))))
 
 
+def staged_log(t: Tables) -> DataFrame:
+    """The log as a stored table, for marts that read it several times."""
+    return reliable(shipping_log(t))
+
+
 _SHIP = """with line as (
   select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice::decimal(14,2) as price,
          l_tax::decimal(14,2) as tax, l_discount::decimal(14,2) as discount, l_returnflag, l_linestatus from lineitem),
@@ -145,7 +151,7 @@ def _(t):
 transfers.id as shipping_transfer_id, agreement_id as shipping_agreement_id, rates.id as shipping_country_rate_id
 from ship join transfers using (transfer_type, transfer_model, transfer_mil) join rates using (country, country_pct)""")
 def _(t):
-    log = shipping_log(t)
+    log = staged_log(t)
     return shipping.shipping_info(
         log, shipping.shipping_country_rates(log), shipping.shipping_transfer(log), shipping.shipping_agreement(log))
 
@@ -169,7 +175,7 @@ select shipping_id, vendor_id, transfer_type,
  (payment::decimal(16,2) * discount::decimal(10,2))::double as profit
 from aged""")
 def _(t):
-    log = shipping_log(t)
+    log = staged_log(t)
     rates, transfers, agreements = (
         shipping.shipping_country_rates(log), shipping.shipping_transfer(log), shipping.shipping_agreement(log))
     info = shipping.shipping_info(log, rates, transfers, agreements)
@@ -344,7 +350,7 @@ def bank_transactions(t: Tables) -> DataFrame:
 def bank_currencies(t: Tables) -> DataFrame:
     """A base rate and a decoy rate for each day and currency that occurs."""
     days = t.events.select(F.to_date("ts").alias("day"), (F.col("user_id") % 25).cast("int").alias("currency_code")).distinct()
-    return days.where("currency_code <> 24").select(
+    return days.select(
         F.col("day").cast("timestamp_ntz").alias("date_update"), "currency_code",
         F.explode(F.array(F.lit(420), F.lit(840))).alias("currency_code_with"),
         ((100 + F.col("currency_code") + F.dayofmonth("day")) / F.lit(100)).cast("decimal(5,2)").alias("currency_with_div"))
@@ -352,7 +358,7 @@ def bank_currencies(t: Tables) -> DataFrame:
 
 @query("global_metrics", f"""with tx as (select event_id, user_id - 3 as account, (user_id % 25)::int as code, 'C' || (user_id % 7) as country,
   ts::date as day, (value::decimal(14,2) * 100)::bigint as amount from events
-  where value >= 1 and user_id - 3 > 0 and json_extract_string(props, '$.k')::int - 1 > 0 and event_type <> 'error' and user_id % 25 <> 24)
+  where value >= 1 and user_id - 3 > 0 and json_extract_string(props, '$.k')::int - 1 > 0 and event_type <> 'error')
 select {ts_sql("(day + interval 1 day)::timestamp")} as date_update, code::bigint as currency_from, country,
  (sum((amount * (100 + code + day(day)) + 50) // 100)::decimal(20,0))::double / 100 as amount_total, count(*) as cnt_transactions,
  ((200 * count(*) + count(distinct account)) // (2 * count(distinct account)))::double / 100 as avg_transactions_per_account,

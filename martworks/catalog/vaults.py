@@ -9,6 +9,7 @@ from martworks.functions.keys import hash_key, uuid3
 from martworks.operators.filters import union_all
 from martworks.operators.vault import load_hub, load_link, load_satellite
 from martworks.plans import chat_vault, order_vault
+from martworks.session import reliable
 
 _LOAD = "2002-01-01 00:00:00"
 _FIRST = "2001-01-01 00:00:00"
@@ -33,9 +34,10 @@ def _(t):
 from lineitem where not (l_orderkey in (select l_orderkey from lineitem where l_returnflag = 'R')
   and exists (select 1 from lineitem x where x.l_returnflag = 'R' and x.l_orderkey = lineitem.l_orderkey and x.l_partkey = lineitem.l_partkey))""")
 def _(t):
-    keys = t.lineitem.select(hash_key(F.col("l_orderkey")).alias("hk_order"), hash_key(F.col("l_partkey")).alias("hk_part"), "l_returnflag")
-    known = load_link(keys.where("l_returnflag = 'R'"), "hk_order_part", ["hk_order", "hk_part"], None, "files", _FIRST)
-    return load_link(keys, "hk_order_part", ["hk_order", "hk_part"], known, "files", _LOAD).drop("load_dt")
+    keys = lambda df: df.select("l_orderkey", "l_partkey")
+    members = {"hk_order": hash_key(F.col("l_orderkey")), "hk_part": hash_key(F.col("l_partkey"))}
+    known = load_link(keys(t.lineitem.where("l_returnflag = 'R'")), "hk_order_part", members, None, "files", _FIRST)
+    return load_link(keys(t.lineitem), "hk_order_part", members, known, "files", _LOAD).drop("load_dt")
 
 
 @query("satellite_changes", f"""select md5(o_orderkey::varchar) as hk_order, case when o_orderpriority = '5-LOW' then 'Z' else o_orderstatus end as status,
@@ -187,7 +189,8 @@ def order_dimensions(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def known_orders(t: Tables) -> DataFrame:
-    return order_vault.split_known(order_vault.enrich_orders(order_messages(t), *order_dimensions(t)))[0]
+    """Enriched orders as a stored table: the vault reads them once per table."""
+    return reliable(order_vault.split_known(order_vault.enrich_orders(order_messages(t), *order_dimensions(t)))[0])
 
 
 # orders of known customers and restaurants whose items are all on the menu

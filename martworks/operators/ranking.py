@@ -24,8 +24,8 @@ def batch(df: DataFrame, order: list, n: int | None = None) -> DataFrame:
 def _sorted_layout(df: DataFrame, order: list[str]) -> DataFrame:
     """Rows range-partitioned and sorted by `order`, with their place as `_pos`.
 
-    The layout is checkpointed to the shared folder: range bounds are sampled,
-    so a recomputed partition could otherwise cut the data at another row.
+    The layout is written to the shared folder: range bounds are sampled, so a
+    recomputed partition could otherwise cut the data at another row.
     """
     laid = (
         df.repartitionByRange(work_partitions(df.sparkSession), *order)

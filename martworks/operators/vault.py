@@ -14,37 +14,51 @@ def load_hub(src: DataFrame, pk: str, business_key: str, existing: DataFrame | N
              extra: list[str] = (), key: Column | None = None, order: list[str] | None = None) -> DataFrame:
     """New hub rows: one per business key the hub does not have yet.
 
-    Keys are made unique before the anti-join, so the shuffle carries one row
-    per key and map task, however often a key occurs in the batch.
+    Business keys are made unique before they are hashed and anti-joined, so
+    the shuffle carries one short row per key and map task, however often a key
+    occurs in the batch, and each key is hashed once.
     """
-    keyed = src.withColumn(pk, key if key is not None else hash_key(F.col(business_key)))
-    rows = with_keys(keyed.select(pk, business_key, *extra), business_key)
-    rows = dedupe(rows, [pk], order or ([business_key, *extra] if extra else None))
+    rows = dedupe(with_keys(src.select(business_key, *extra), business_key), [business_key], order or (list(extra) or None))
+    rows = rows.withColumn(pk, key if key is not None else hash_key(F.col(business_key))).select(pk, business_key, *extra)
     if existing is not None:
         rows = rows_absent(rows, existing, pk)
     return with_load_meta(rows, source, load_dt)
 
 
-def load_link(src: DataFrame, pk: str, members: list[str], existing: DataFrame | None, source: str, load_dt: str,
-              key: Column | None = None) -> DataFrame:
-    """New link rows between hub keys; the link key hashes all member keys."""
-    rows = with_keys(src.select(*members), *members).dropDuplicates(members)
-    rows = rows.withColumn(pk, key if key is not None else hash_key(*[F.col(m) for m in members])).select(pk, *members)
+def load_link(src: DataFrame, pk: str, members: dict[str, Column] | list[str], existing: DataFrame | None, source: str,
+              load_dt: str, key: Column | None = None) -> DataFrame:
+    """New link rows between hub keys; the link key hashes all member keys.
+
+    `members` names hub-key columns of `src`, or gives for each one the expression
+    over business keys. In the second form `src` holds just those business keys:
+    they are made unique first and hashed after.
+    """
+    if isinstance(members, dict):
+        rows = with_keys(src, *src.columns).distinct().select(*[c.alias(m) for m, c in members.items()])
+    else:
+        rows = with_keys(src.select(*members), *members).dropDuplicates(members)
+    names = list(members)
+    rows = rows.withColumn(pk, key if key is not None else hash_key(*[F.col(m) for m in names])).select(pk, *names)
     if existing is not None:
         rows = rows_absent(rows, existing, pk)
     return with_load_meta(rows, source, load_dt)
 
 
 def load_satellite(src: DataFrame, key: str, attrs: list[str], existing: DataFrame | None, source: str, load_dt: str,
-                   order: list[str] | None = None, diff: str = "hashdiff") -> DataFrame:
+                   order: list[str] | None = None, diff: str = "hashdiff",
+                   business_key: tuple[str, Column] | None = None) -> DataFrame:
     """Satellite rows whose attributes differ from the latest stored ones.
 
     The hashdiff covers key and attributes only, so loading the same data again
     adds nothing. Of several rows per key in a batch the last one by `order`
-    counts, since they share one load time.
+    counts, since they share one load time. With `business_key` (a column and the
+    expression of the hub key) rows are grouped by it and hashed after.
     """
-    wanted = list(dict.fromkeys([key, *attrs, *(order or [])]))
-    rows = latest_per_key(with_keys(src.select(*wanted), key), [key], order or attrs).select(key, *attrs)
+    by = business_key[0] if business_key else key
+    wanted = list(dict.fromkeys([by, *attrs, *(order or [])]))
+    rows = latest_per_key(with_keys(src.select(*wanted), by), [by], order or attrs)
+    hub_key = business_key[1] if business_key else F.col(key)
+    rows = rows.select(hub_key.alias(key), *attrs)
     rows = rows.withColumn(diff, hashdiff(F.col(key), *[F.col(a) for a in attrs]))
     if existing is not None:
         current = existing.groupBy(key).agg(F.max_by(diff, "load_dt").alias("_known"))

@@ -55,56 +55,56 @@ def _flat_orders(enriched: DataFrame) -> DataFrame:
         p["restaurant"]["id"].alias("restaurant_id"), p["restaurant"]["name"].alias("restaurant_name"),
         p["user"]["id"].alias("user_id"), p["user"]["name"].alias("username"), p["user"]["login"].alias("userlogin"),
         p["products"].alias("products"),
-    ).withColumns({
-        "h_order_pk": uuid3(F.col("order_id")), "h_user_pk": uuid3(F.col("user_id")),
-        "h_restaurant_pk": uuid3(F.col("restaurant_id"))})
+    )
 
 
 def _flat_items(orders: DataFrame) -> DataFrame:
-    items = explode_items(orders.select("h_order_pk", "h_restaurant_pk", "order_dt", "products"), "products")
+    items = explode_items(orders.select("order_id", "restaurant_id", "order_dt", "products"), "products")
     return items.select(
-        "h_order_pk", "h_restaurant_pk", "order_dt", F.col("id").alias("product_id"), F.col("name").alias("product_name"),
-        F.col("category").alias("category_name")).withColumns({
-            "h_product_pk": uuid3(F.col("product_id")), "h_category_pk": uuid3(F.col("category_name"))})
+        "order_id", "restaurant_id", "order_dt", F.col("id").alias("product_id"), F.col("name").alias("product_name"),
+        F.col("category").alias("category_name"))
+
 
+# entity -> its business key column
+_BUSINESS_KEY = {"order": "order_id", "user": "user_id", "restaurant": "restaurant_id", "product": "product_id", "category": "category_name"}
 
-def _pair_key(a: str, b: str):
-    return uuid3(F.concat(F.col(a), F.col(b)))
+
+def _hub_key(entity: str):
+    return uuid3(F.col(_BUSINESS_KEY[entity]))
 
 
 def vault_batch(enriched: DataFrame, dds: dict[str, DataFrame], load_dt: str) -> dict[str, DataFrame]:
     """New rows of 5 hubs, 4 links and 5 satellites of a batch of orders."""
     orders = _flat_orders(enriched)
     items = _flat_items(orders)
-    hubs = {
-        "h_order": (orders, "h_order_pk", "order_id", ["order_dt"]),
-        "h_user": (orders, "h_user_pk", "user_id", []),
-        "h_restaurant": (orders, "h_restaurant_pk", "restaurant_id", []),
-        "h_product": (items, "h_product_pk", "product_id", []),
-        "h_category": (items, "h_category_pk", "category_name", []),
-    }
+    hubs = {"order": (orders, ["order_dt"]), "user": (orders, []), "restaurant": (orders, []), "product": (items, []), "category": (items, [])}
     links = {
-        "l_order_product": (items, "hk_order_product_pk", "h_order_pk", "h_product_pk"),
-        "l_product_category": (items, "hk_product_category_pk", "h_product_pk", "h_category_pk"),
-        "l_order_user": (orders, "hk_order_user_pk", "h_order_pk", "h_user_pk"),
-        "l_product_restaurant": (items, "hk_product_restaurant_pk", "h_product_pk", "h_restaurant_pk"),
+        "l_order_product": (items, "order", "product"),
+        "l_product_category": (items, "product", "category"),
+        "l_order_user": (orders, "order", "user"),
+        "l_product_restaurant": (items, "product", "restaurant"),
     }
     satellites = {
-        "s_order_cost": (orders, "h_order_pk", ["cost", "payment"]),
-        "s_order_status": (orders, "h_order_pk", ["status"]),
-        "s_product_names": (items.withColumnRenamed("product_name", "name"), "h_product_pk", ["name"]),
-        "s_restaurant_names": (orders.withColumnRenamed("restaurant_name", "name"), "h_restaurant_pk", ["name"]),
-        "s_user_names": (orders, "h_user_pk", ["username", "userlogin"]),
+        "s_order_cost": (orders, "order", ["cost", "payment"]),
+        "s_order_status": (orders, "order", ["status"]),
+        "s_product_names": (items.withColumnRenamed("product_name", "name"), "product", ["name"]),
+        "s_restaurant_names": (orders.withColumnRenamed("restaurant_name", "name"), "restaurant", ["name"]),
+        "s_user_names": (orders, "user", ["username", "userlogin"]),
     }
     out = {}
-    for table, (src, pk, key, extra) in hubs.items():
-        out[table] = load_hub(src, pk, key, dds.get(table), SOURCE, load_dt, extra, key=F.col(pk))
-    for table, (src, pk, a, b) in links.items():
-        out[table] = load_link(src, pk, [a, b], dds.get(table), SOURCE, load_dt, key=_pair_key(a, b))
-    for table, (src, key, attrs) in satellites.items():
+    for entity, (src, extra) in hubs.items():
+        out[f"h_{entity}"] = load_hub(src, f"h_{entity}_pk", _BUSINESS_KEY[entity], dds.get(f"h_{entity}"), SOURCE, load_dt, extra,
+                                      key=_hub_key(entity))
+    for table, (src, a, b) in links.items():
+        members = {f"h_{a}_pk": _hub_key(a), f"h_{b}_pk": _hub_key(b)}
+        out[table] = load_link(
+            src.select(_BUSINESS_KEY[a], _BUSINESS_KEY[b]), f"hk_{table[2:]}_pk", members, dds.get(table), SOURCE, load_dt,
+            key=uuid3(F.concat(*members)))
+    for table, (src, entity, attrs) in satellites.items():
         # the latest version in the batch counts: later orders name it
-        out[table] = load_satellite(src, key, attrs, dds.get(table), SOURCE, load_dt, ["order_dt", *attrs],
-                                    diff=f"hk_{table[2:]}_hashdiff")
+        out[table] = load_satellite(
+            src, f"h_{entity}_pk", attrs, dds.get(table), SOURCE, load_dt, ["order_dt", *attrs],
+            diff=f"hk_{table[2:]}_hashdiff", business_key=(_BUSINESS_KEY[entity], _hub_key(entity)))
     return out
 
 

@@ -1,4 +1,4 @@
-"""Session defaults and the shared folder used for reliable checkpoints."""
+"""Session defaults and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
@@ -12,11 +12,11 @@ DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -47,17 +47,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused directory name under the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused directory name under the shared folder.
+
+    Names start with the application id, so what an application left behind
+    can be found and removed when it has ended.
+    """
+    return f"{shared_dir(spark)}/martworks-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def reliable(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder, so later passes read one fixed layout."""
+    """The rows as a table written to the shared folder: later passes read one
+    fixed copy, also after executors were lost.
+
+    A written table rather than a checkpoint, because it is read by column and
+    its size is known when Spark chooses between broadcast and shuffle.
+    """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = run_dir(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def work_partitions(spark: SparkSession) -> int:

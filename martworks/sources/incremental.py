@@ -37,12 +37,16 @@ def incremental_by_ts(df: DataFrame, ts_col: str, last, id_col: str | None = Non
 
 def copy_by_id(source: DataFrame, id_col: str, state: WatermarkStore, key: str,
                write: Callable[[DataFrame], None], limit: int | None = None) -> int | None:
-    """Copy the rows after the saved id, then move the watermark to the last id read."""
+    """Copy the rows after the saved id, then move the watermark to the last id read.
+
+    The written rows are bounded by that id, so a recomputed partition cannot bring
+    in rows that arrived meanwhile.
+    """
     rows = incremental_by_id(source, id_col, state.get(key, FIRST_ID), limit).persist()
     try:
         last = rows.agg(F.max(id_col)).first()[0]
         if last is not None:
-            write(rows)
+            write(rows.where(F.col(id_col) <= F.lit(last)))
             state.save(key, last)
         return last
     finally:
@@ -68,7 +72,9 @@ def copy_documents(source: DataFrame, id_col: str, ts_col: str, state: Watermark
     try:
         last = rows.agg(F.max(F.struct(F.col(ts_col).cast("string").alias("ts"), F.col(id_col).alias("id"))).alias("m")).first().m
         if last is not None:
-            write(as_documents(rows, id_col, ts_col))
+            mark = F.lit(last.ts).cast(source.schema[ts_col].dataType)
+            seen = (F.col(ts_col) < mark) | ((F.col(ts_col) == mark) & (F.col(id_col) <= F.lit(last.id)))
+            write(as_documents(rows.where(seen), id_col, ts_col))
             state.save(key, {"ts": last.ts, "id": last.id})
         return last
     finally:
