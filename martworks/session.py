@@ -30,6 +30,10 @@ def build_session(app: str = "martworks", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+# folder made for a local application that names none, by application id
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by `spark.checkpoint.dir`.
 
@@ -39,11 +43,12 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    local = tempfile.mkdtemp(prefix="martworks-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="martworks-")
+    return _local_dirs[context.applicationId]
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
