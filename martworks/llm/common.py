@@ -20,6 +20,20 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """`reliable`, and the shuffle files behind the written table are removed once it is complete."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        return reliable(df)
+    finally:
+        conf.set(_CLEANUP, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -41,7 +55,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     logarithm of the longest path. Each round is a written table; only a
     count and a checksum reach the driver. Self links and nulls are left out.
     """
-    links = reliable(edges.where("u <> v").select(
+    links = staged(edges.where("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     seen = None
     for _ in range(rounds):
@@ -50,7 +64,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         small = large.groupBy("u").agg(F.min("v").alias("m"))
-        links = reliable(
+        links = staged(
             large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         now = tuple(links.agg(F.count("*"), F.coalesce(

@@ -2,13 +2,36 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from martworks.llm.common import table
+from martworks.llm.embeddings import near_vectors
+from martworks.llm.ngram_join import near_duplicates
+from martworks.llm.packing import pack
 from martworks.llm.registry import ORACLES, QUERIES, query
 from martworks.llm.repeats import remove_repeats
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query("op1_bm25_packing")
+def op1(spark, sf_dir):
+    """All documents in sequences of 2048 tokens, lexical neighbours together."""
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op2_ngram_join")
+def op2(spark, sf_dir):
+    """Links between documents that share four fifths of their five-word shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op7_projection_passes")
+def op7(spark, sf_dir):
+    """Links between vectors with a cosine of 0.95 and more."""
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op8_suffix_repeats")
 def op8(spark, sf_dir):
     """Bytes covered by 50-byte strings of smaller documents, over all documents."""

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from martworks.llm.bytesmath import U, prefix, slide_min, windows
-from martworks.llm.common import ready, text_or_empty
+from martworks.llm.common import ready, staged, text_or_empty
 
 WIDTH = 50
 SEED = 24
@@ -90,12 +90,12 @@ def _name_rows(width: int, seed: int):
             doc, key = frame["doc_id"].to_numpy(np.int64), frame["row_key"].to_numpy(np.int64)
             pos = at - begin[part] + offset[part]
             row = rows[part]
-            order = np.lexsort((doc[row], name))
+            order = np.argsort(name)
             name, row, pos = name[order], row[order], pos[order]
             head = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
             size = np.diff(np.append(head, len(name)))
-            low, high = doc[row[head]], doc[row[head + size - 1]]
-            lone = low == high
+            low = np.minimum.reduceat(doc[row], head)
+            lone = low == np.maximum.reduceat(doc[row], head)
             asks = np.repeat(lone, size)
             # in the order of the text again: neighbours share document and key, which packs well
             ask = np.flatnonzero(asks)[np.argsort(order[asks], kind="stable")]
@@ -332,15 +332,15 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> Dat
     asked = plain.select(*pick).mapInPandas(_name_rows(width, seed), _NAMES)
     shared = asked.repartition("name").sortWithinPartitions("name").mapInPandas(
         _shared, "doc_id long, row_key long, known binary")
-    by_doc = shared.groupBy("doc_id", "row_key").agg(F.collect_list("known").alias("known"))
+    by_doc = staged(shared.groupBy("doc_id", "row_key").agg(F.collect_list("known").alias("known")))
     tuples = plain.select(*pick).join(by_doc, ["doc_id", "row_key"]).mapInPandas(_suffix_rows(width, seed), _SUFFIXES)
     spread = F.when(F.col("lead") < 0, F.xxhash64("row_key", "start")).otherwise(F.col("name"))
     ranges = tuples.withColumn("name", spread).repartition("name").sortWithinPartitions("name", "lead", "body", "doc_id").mapInPandas(
         _induced(width), "doc_id long, row_key long, start long, count long")
     # 16 bytes a range, so that a document's list stays small
     packed = F.unhex(F.concat(*(F.lpad(F.hex(c), 16, "0") for c in ("start", "count"))))
-    return ranges.select("doc_id", "row_key", packed.alias("span")).groupBy("doc_id", "row_key").agg(
-        F.collect_list("span").alias("spans"))
+    return staged(ranges.select("doc_id", "row_key", packed.alias("span")).groupBy("doc_id", "row_key").agg(
+        F.collect_list("span").alias("spans")))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
