@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from martworks.llm.common import table
+from martworks.llm import language, quality, toxicity
+from martworks.llm.common import fold, table
 from martworks.llm.embeddings import near_vectors
 from martworks.llm.ngram_join import near_duplicates
 from martworks.llm.packing import pack
@@ -36,3 +38,31 @@ def op7(spark, sf_dir):
 def op8(spark, sf_dir):
     """Bytes covered by 50-byte strings of smaller documents, over all documents."""
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def _scored(scores, held_out):
+    return scores.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+
+
+@query("op3_language")
+def op3(spark, sf_dir):
+    """Language of every document, learnt from the documents outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs, fold("doc_id", 5) != 0)
+    return _scored(language.languages_of(docs, model), fold("doc_id", 5) == 0)
+
+
+@query("op4_quality")
+def op4(spark, sf_dir):
+    """Quality of every document, learnt from labels outside the held-out quarter."""
+    docs = table(spark, sf_dir, "documents")
+    pair = quality.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
+    return _scored(quality.quality_scores(docs, pair), fold("doc_id", 4) == 2)
+
+
+@query("op5_toxicity")
+def op5(spark, sf_dir):
+    """Toxicity of every document, learnt from labels outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    pair = toxicity.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    return _scored(toxicity.toxic_scores(docs, pair), fold("doc_id", 5) == 0)
