@@ -151,8 +151,7 @@ def contrast(own: list[str], other: list[str], size: int, least: float = 0.005,
     good = (z >= strength) & (p > 3 * q)
     found: list[bytes] = []
     for _, core in sorted(((int(k), int(g).to_bytes(GRAM, "big")) for k, g in zip(n[good], gram[good])), reverse=True):
-        # a core that only adds a neighbour to a chosen passage would dilute the dictionary
-        if any(core[1:] in f or core[:-1] in f for f in found):
+        if any(core in f for f in found):
             continue
         passage = _extended(core, [data for data, _ in mine])
         if sum(map(len, found)) + len(passage) > size:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from martworks.llm import language, quality, toxicity
 from martworks.llm.common import fold, table
+from martworks.llm.bpe import encoded
 from martworks.llm.embeddings import near_vectors
+from martworks.llm.fingerprints import fingerprints
 from martworks.llm.ngram_join import near_duplicates
 from martworks.llm.packing import pack
 from martworks.llm.registry import ORACLES, QUERIES, query
@@ -66,3 +68,16 @@ def op5(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     pair = toxicity.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
     return _scored(toxicity.toxic_scores(docs, pair), fold("doc_id", 5) == 0)
+
+
+@query("op6_closed_syncmers")
+def op6(spark, sf_dir):
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op10_byte_bpe")
+def op10(spark, sf_dir):
+    """All documents encoded and decoded with the multilingual ranks."""
+    return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                   public_tokenizers.PATTERN)
