@@ -12,6 +12,7 @@ from martworks.llm.embeddings import near_vectors
 from martworks.llm.fingerprints import fingerprints
 from martworks.llm.ngram_join import near_duplicates
 from martworks.llm.packing import pack
+from martworks.llm.quotes import as_mail, link_quotations
 from martworks.llm.registry import ORACLES, QUERIES, query
 from martworks.llm.repeats import remove_repeats
 
@@ -81,3 +82,10 @@ def op10(spark, sf_dir):
     """All documents encoded and decoded with the multilingual ranks."""
     return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                    public_tokenizers.PATTERN)
+
+
+@query("op9_quotation_links")
+def op9(spark, sf_dir):
+    """All conversations, written as mail with nested quotes, linked and freed of the quotes again."""
+    return link_quotations(as_mail(table(spark, sf_dir, "conversations"))).withColumn(
+        "text_sha256", F.sha2("text", 256)).drop("text")
