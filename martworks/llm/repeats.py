@@ -2,8 +2,10 @@
 
 A string of `width` bytes always holds the same anchor: its smallest-hashed
 sub-string of `seed` bytes. So suffix tuples are kept for anchors only (about
-7 % of all positions) and every other suffix follows from them:
+6 % of all positions) and every other suffix follows from them:
 
+0. Exact copies of a text with a smaller doc_id are covered whole and take no
+   further part.
 1. Anchors are named by hash and dealt by name; names found in one document
    only drop out. (Positions of a name that repeats inside one batch are known
    at once, so a hot passage travels once per batch, not once per document.)
@@ -32,7 +34,7 @@ from martworks.llm.bytesmath import U, prefix, slide_min, windows
 from martworks.llm.common import ready, staged, text_or_empty
 
 WIDTH = 50
-SEED = 24
+SEED = 20
 # bytes of text handled at once inside a task
 PIECE = 2_000_000
 # suffix tuples brought into suffix order at once; a name is never cut
@@ -169,7 +171,7 @@ def _suffix_rows(width: int, seed: int):
                 told = frame["known"].iloc[r]
                 if told is not None and len(told):
                     own = slice(*np.searchsorted(row, [r, r + 1]))
-                    keep[own] = np.isin(pos[own], np.frombuffer(b"".join(told), "<i8"))
+                    keep[own] = np.isin(pos[own], np.frombuffer(told, "<i8"))
             if not keep.any():
                 continue
             name, row, first, last, at, pos = (x[keep] for x in (name, row, first, last, at, pos))
@@ -311,7 +313,7 @@ def _merged(told, width: int, size: int) -> np.ndarray:
     """Byte spans [start, stop) of a document from its covered starts."""
     if told is None or not len(told):
         return np.empty((0, 2), np.int64)
-    at = np.frombuffer(b"".join(told), ">i8").astype(np.int64).reshape(-1, 2)
+    at = np.frombuffer(told, ">i8").astype(np.int64).reshape(-1, 2)
     at = at[np.argsort(at[:, 0], kind="stable")]
     start, stop = at[:, 0], np.maximum.accumulate(at[:, 0] + at[:, 1] + width - 1)
     head = np.flatnonzero(np.concatenate([[True], start[1:] > stop[:-1]]))
@@ -327,20 +329,27 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> Dat
     Texts of any length are handled in overlapping pieces.
     """
     ready(docs.sparkSession)
-    plain = _keyed(docs).where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= width))
-    pick = ["doc_id", "row_key", "text"]
-    asked = plain.select(*pick).mapInPandas(_name_rows(width, seed), _NAMES)
+    plain = _keyed(docs)
+    key, pick = ["doc_id", "row_key"], ["doc_id", "row_key", "text"]
+    # null ids and short texts take no part; a copy has a smaller document with the same text
+    size = F.octet_length("text")
+    part = plain.where(F.col("doc_id").isNotNull() & (size >= width)).select(
+        *key, size.cast("long").alias("size"), F.unhex(F.sha2("text", 256)).alias("digest"))
+    first = part.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first")
+    copies = staged(part.join(first, "digest").where("doc_id > first").select(*key, "size").distinct())
+    text = plain.where(F.col("doc_id").isNotNull()).select(*pick)
+    asked = text.join(copies.select(*key), key, "left_anti").select(*pick).mapInPandas(_name_rows(width, seed), _NAMES)
     shared = asked.repartition("name").sortWithinPartitions("name").mapInPandas(
         _shared, "doc_id long, row_key long, known binary")
-    by_doc = staged(shared.groupBy("doc_id", "row_key").agg(F.collect_list("known").alias("known")))
-    tuples = plain.select(*pick).join(by_doc, ["doc_id", "row_key"]).mapInPandas(_suffix_rows(width, seed), _SUFFIXES)
+    by_doc = staged(shared.groupBy(*key).agg(F.listagg("known").alias("known")))
+    tuples = text.join(by_doc, key).select(*pick, "known").mapInPandas(_suffix_rows(width, seed), _SUFFIXES)
     spread = F.when(F.col("lead") < 0, F.xxhash64("row_key", "start")).otherwise(F.col("name"))
     ranges = tuples.withColumn("name", spread).repartition("name").sortWithinPartitions("name", "lead", "body", "doc_id").mapInPandas(
         _induced(width), "doc_id long, row_key long, start long, count long")
-    # 16 bytes a range, so that a document's list stays small
+    whole = copies.select(*key, F.lit(0).cast("long").alias("start"), (F.col("size") - (width - 1)).alias("count"))
+    # 16 bytes a range, one value a document
     packed = F.unhex(F.concat(*(F.lpad(F.hex(c), 16, "0") for c in ("start", "count"))))
-    return staged(ranges.select("doc_id", "row_key", packed.alias("span")).groupBy("doc_id", "row_key").agg(
-        F.collect_list("span").alias("spans")))
+    return staged(ranges.unionByName(whole).select(*key, packed.alias("span")).groupBy(*key).agg(F.listagg("span").alias("spans")))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
