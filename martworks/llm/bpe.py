@@ -22,7 +22,7 @@ from martworks.llm.common import ready, staged, text_or_empty
 RANK_MAPS = 1 << 14
 # bounds of the sample and of the words folded ahead
 SAMPLE_DOCS = 20_000
-FREQUENT_WORDS = 200_000
+FREQUENT_WORDS = 150_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -91,29 +91,33 @@ class Coder:
         # \\s as in Unicode
         self.pattern = "(?U)" + pattern
 
-    def rank(self, piece: Column) -> Column:
-        return _found(self.dealt, RANK_MAPS, piece)
+    def with_ranks(self, body) -> Column:
+        """body(rank) with rank(piece) -> Column; the literal stands in the plan once, bound to a lambda variable."""
+        return _let(self.dealt, lambda dealt: body(lambda piece: _found(dealt, RANK_MAPS, piece)))
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(text, F.lit(self.pattern), F.lit(0))
 
     def frequent(self, docs: DataFrame) -> dict[str, str]:
         """Ids of the words that are most frequent in a bounded sample of documents."""
-        part = docs.select(F.xxhash64("doc_id").alias("place"), "text").orderBy("place").limit(SAMPLE_DOCS)
+        chosen = docs.select(F.xxhash64("doc_id").alias("place"), "doc_id").orderBy("place").limit(SAMPLE_DOCS).select("doc_id").distinct()
+        # ids of a bounded number of documents
+        part = docs.join(F.broadcast(chosen), "doc_id")
         words = part.select(F.explode(self.words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
         top = staged(words.where((F.col("n") > 1) & (F.length("word") <= 64)).orderBy(F.desc("n"), "word").limit(FREQUENT_WORDS))
-        return {r["word"]: r["ids"] for r in top.select("word", fold_word(F.col("word"), self.rank).alias("ids")).toLocalIterator()}
+        return {r["word"]: r["ids"] for r in top.repartition(24).select(
+            "word", self.with_ranks(lambda rank: fold_word(F.col("word"), rank)).alias("ids")).toLocalIterator()}
 
     def encode(self, text: Column, frequent: dict[str, str]) -> Column:
         """Ids of a text as text, joined by commas."""
         maps = max(1, len(frequent) // 3)
         known = _dealt(frequent, maps, "string")
-        return F.array_join(F.transform(self.words(text), lambda w: F.coalesce(
-            _found(known, maps, w), fold_word(w, self.rank))), ",")
+        return F.array_join(self.with_ranks(lambda rank: _let(known, lambda k: F.transform(self.words(text), lambda w: F.coalesce(
+            _found(k, maps, w), fold_word(w, rank))))), ",")
 
     def decode(self, ids: Column) -> Column:
         """Bytes of an array of ids given as text."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i.cast("int"))), ""))
+        return F.unhex(F.array_join(_let(self.pieces, lambda p: F.transform(ids, lambda i: F.get(p, i.cast("int")))), ""))
 
 
 def encoded(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import zstandard
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from martworks.llm.common import logit
 
@@ -29,9 +29,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     counts = {r["y"]: r["n"] for r in usable.groupBy(F.col(label).alias("y")).agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
         return [], np.zeros(0), 1.0 if 1 in counts else 0.0
-    order = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.select("doc_id", F.col(label).alias("y")).withColumn("place", F.row_number().over(order)).where(
-        F.col("place") <= rows).groupBy("doc_id").agg(F.min("y").alias("y"))
+    by_label = [usable.where(F.col(label) == y).select("doc_id", F.lit(y).alias("y")).orderBy(
+        F.xxhash64("doc_id"), "doc_id").limit(rows) for y in (0, 1)]
+    chosen = by_label[0].unionByName(by_label[1]).groupBy("doc_id").agg(F.min("y").alias("y"))
     start = F.pmod(F.xxhash64("text"), F.greatest(F.lit(1), F.char_length("text") - SAMPLE_CHARS + 1)) + 1
     got = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select(
         "doc_id", "y", F.substring("text", start.cast("int"), F.lit(SAMPLE_CHARS)).alias("text")).toPandas()
