@@ -62,7 +62,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        # written, because the next step reads it three times
+        large = staged(large.where("u <> v").distinct())
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         links = staged(
             large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -16,7 +16,7 @@ THRESHOLD = 0.7
 
 
 def windows(text: str) -> list[bytes]:
-    data = text.encode("utf-8", "replace")
+    data = text.encode("utf-8", "replace") or b" "
     return [data[i:i + WINDOW_BYTES] for i in range(0, max(1, len(data)), WINDOW_BYTES)]
 
 
