@@ -29,7 +29,7 @@ def _(t):
     return first.unionByName(_h_order(t, None, first, _LOAD))
 
 
-@query("link_load", """select distinct md5(md5(l_orderkey::varchar) || '|' || md5(l_partkey::varchar)) as hk_order_part,
+@query("link_load", """select distinct md5('32:' || md5(l_orderkey::varchar) || '|32:' || md5(l_partkey::varchar)) as hk_order_part,
  md5(l_orderkey::varchar) as hk_order, md5(l_partkey::varchar) as hk_part, 'files' as load_src
 from lineitem where not (l_orderkey in (select l_orderkey from lineitem where l_returnflag = 'R')
   and exists (select 1 from lineitem x where x.l_returnflag = 'R' and x.l_orderkey = lineitem.l_orderkey and x.l_partkey = lineitem.l_partkey))""")
@@ -41,7 +41,7 @@ def _(t):
 
 
 @query("satellite_changes", f"""select md5(o_orderkey::varchar) as hk_order, case when o_orderpriority = '5-LOW' then 'Z' else o_orderstatus end as status,
- {uuid3_sql("md5(o_orderkey::varchar) || '|' || case when o_orderpriority = '5-LOW' then 'Z' else o_orderstatus end")} as hashdiff
+ {uuid3_sql("'32:' || md5(o_orderkey::varchar) || '|1:' || case when o_orderpriority = '5-LOW' then 'Z' else o_orderstatus end")} as hashdiff
 from orders where o_orderpriority = '5-LOW' or o_orderdate >= timestamp '1998-01-01'""")
 def _(t):
     keyed = t.orders.select(hash_key(F.col("o_orderkey")).alias("hk_order"), F.col("o_orderstatus").alias("status"), "o_orderdate", "o_orderpriority")
@@ -112,7 +112,7 @@ _H = lambda x: f"md5(({x})::varchar)"
 
 
 def _link_sql(x: str, y: str) -> str:
-    return f"md5({_H(x)} || '|' || {_H(y)}), {_H(x)}, {_H(y)}"
+    return f"md5('32:' || {_H(x)} || '|32:' || {_H(y)}), {_H(x)}, {_H(y)}"
 
 
 @query("chat_links", f"""select * from (values ('', '', '', '')) v(tbl, a, b, c) where tbl <> ''
@@ -133,9 +133,9 @@ union all select 's_user_socdem', {_H('c_custkey')}, c_mktsegment, c_nationkey::
 union all select 's_group_private_status', {_H('n_nationkey')}, (n_regionkey = 0)::varchar, '' from nation
 union all select 's_group_name', {_H('n_nationkey')}, n_name, '' from nation
 union all select 's_dialog_info', {_H('o_orderkey')}, o_orderpriority, o_custkey::varchar from orders
-union all select 's_admins', md5({_H('n_nationkey')} || '|' || {_H('n_nationkey')}), 'true', (d0 + interval 1 day * n_nationkey)::varchar
+union all select 's_admins', md5('32:' || {_H('n_nationkey')} || '|32:' || {_H('n_nationkey')}), 'true', (d0 + interval 1 day * n_nationkey)::varchar
   from nation, d where n_nationkey in (select c_custkey from customer)
-union all select distinct 's_auth_history', md5({_H('user_id')} || '|' || {_H('user_id % 25')}), case when event_type = 'signup' then 'add' else 'leave' end,
+union all select distinct 's_auth_history', md5('32:' || {_H('user_id')} || '|32:' || {_H('user_id % 25')}), case when event_type = 'signup' then 'add' else 'leave' end,
   {ts_sql('ts')} from events where user_id in (select c_custkey from customer)""")
 def _(t):
     sats = _chat(t, "satellites")[2]
@@ -169,7 +169,7 @@ def order_messages(t: Tables) -> DataFrame:
     items = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(F.struct(
         F.col("l_partkey").cast("string").alias("id"), F.lit(None).cast("string").alias("name"),
         F.col("l_extendedprice").cast("decimal(19,5)").alias("price"), F.col("l_quantity").cast("int").alias("quantity"))).alias("order_items"))
-    return t.orders.join(items, "o_orderkey").select(
+    return t.orders.join(items, "o_orderkey", "left").select(
         F.col("o_orderkey").alias("object_id"), F.lit("order").alias("object_type"), F.col("o_orderdate").cast("string").alias("sent_dttm"),
         F.struct(
             F.col("o_orderdate").cast("string").alias("date"), F.col("o_totalprice").cast("decimal(19,5)").alias("cost"),
@@ -193,11 +193,20 @@ def known_orders(t: Tables) -> DataFrame:
     return reliable(order_vault.split_known(order_vault.enrich_orders(order_messages(t), *order_dimensions(t)))[0])
 
 
+@query("order_rejects", """select o_orderkey as object_id, concat_ws(',', case when c_custkey is null then 'user' end,
+ case when s_suppkey is null then 'restaurant' end, case when bad.l_orderkey is not null then 'item' end) as reasons
+ from orders left join customer on c_custkey = o_custkey left join supplier on s_suppkey = o_custkey % 10
+ left join (select distinct l_orderkey from lineitem left join part on p_partkey = l_partkey where coalesce(p_size, 99) > 48) bad on bad.l_orderkey = o_orderkey
+ where c_custkey is null or s_suppkey is null or bad.l_orderkey is not null""")
+def _(t):
+    rejected = order_vault.split_known(order_vault.enrich_orders(order_messages(t), *order_dimensions(t)))[1]
+    return rejected.select("object_id", F.array_join("reasons", ",").alias("reasons"))
+
+
 # orders of known customers and restaurants whose items are all on the menu
 KNOWN_SQL = """known as (select o_orderkey, o_custkey, o_orderdate, o_orderstatus, o_totalprice, 'R' || (o_custkey % 10) as rid, s_name, c_name
   from orders join customer on c_custkey = o_custkey join supplier on s_suppkey = o_custkey % 10
-  where o_orderkey in (select l_orderkey from lineitem)
-   and o_orderkey not in (select l_orderkey from lineitem left join part on p_partkey = l_partkey where coalesce(p_size, 99) > 48)),
+  where o_orderkey not in (select l_orderkey from lineitem left join part on p_partkey = l_partkey where coalesce(p_size, 99) > 48)),
 item as (select o_orderkey, o_custkey, o_orderdate, rid, l_partkey, p_name, p_type from known join lineitem on l_orderkey = o_orderkey join part on p_partkey = l_partkey)"""
 _U = uuid3_sql
 
@@ -238,7 +247,7 @@ def _(t):
 
 
 def _sat_rows(name: str, key: str, attrs: list[str], table: str) -> str:
-    text = " || '|' || ".join(["x", *[f"a{i}" for i in range(len(attrs))]])
+    text = " || '|' || ".join(f"length({p})::varchar || ':' || {p}" for p in ["x", *[f"a{i}" for i in range(len(attrs))]])
     cols = ", ".join(f"{a} as a{i}" for i, a in enumerate(attrs))
     return (f"select 's_{name}' as tbl, x as a, {_U(text)} as b, a0 as c from "
             f"(select distinct {_U(_key(key))} as x, {cols} from {table})")

@@ -10,7 +10,13 @@ _SEPARATOR = "|"
 
 
 def _joined(columns: tuple[Column, ...]) -> Column:
-    return F.concat_ws(_SEPARATOR, *[c.cast("string") for c in columns])
+    """One text for several values. Each part carries its length, so that ("a|b", "c") and ("a", "b|c") differ;
+    a single value stands as it is. A null is `-`, which no length prefix equals."""
+    parts = [c.cast("string") for c in columns]
+    if len(parts) == 1:
+        return parts[0]
+    sized = [F.coalesce(F.concat(F.char_length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]
+    return F.concat_ws(_SEPARATOR, *sized)
 
 
 def hash_key(*columns: Column, method: str = "md5") -> Column:
@@ -45,4 +51,4 @@ def uuid3(c: Column, namespace: uuid.UUID = uuid.NAMESPACE_DNS) -> Column:
 
 def hashdiff(*columns: Column) -> Column:
     """Version 3 UUID over key and attributes; a null differs from empty text."""
-    return uuid3(F.concat_ws(_SEPARATOR, *[F.coalesce(c.cast("string"), F.lit("\u0000")) for c in columns]))
+    return uuid3(_joined(columns))

@@ -45,7 +45,9 @@ def missing_keys(dim: DataFrame, source: DataFrame, key: str) -> DataFrame:
 def resolve_ids(df: DataFrame, dim: DataFrame, key: str, dim_key: str, dim_id: str, name: str) -> tuple[DataFrame, DataFrame]:
     """(rows with the id of their key, rows whose key is unknown)."""
     lookup = dim.select(F.col(dim_key).alias(key), F.col(dim_id).alias(name))
-    return df.join(lookup, key), df.join(lookup.select(key), key, "left_anti")
+    joined = df.join(lookup.withColumn("_known", F.lit(True)), key, "left")
+    known = F.coalesce("_known", F.lit(False))
+    return joined.where(known).drop("_known"), joined.where(~known).select(*df.columns)
 
 
 def lookup_default(df: DataFrame, dim: DataFrame, keys: list[str], defaults: dict[str, Column]) -> DataFrame:

@@ -10,6 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 
+def _carried(rows: DataFrame, carry: DataFrame, on: list[str]) -> DataFrame:
+    """Left join on columns that may be null: null keys and null times carry like any other value."""
+    other = carry.select(*[F.col(c).alias(f"_c_{c}") for c in on], "_carry")
+    same = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in on]
+    return rows.join(other, same, "left").drop(*[f"_c_{c}" for c in on])
+
+
 def neighbour(
     df: DataFrame, keys: list[str], ts: str, tie: list[str], value: str,
     name: str, slot: str = "day", forward: bool = False,
@@ -30,7 +37,7 @@ def neighbour(
     summary = slotted.groupBy(*keys, "_slot").agg(edge.alias("_edge"))
     carry = summary.select(
         *keys, "_slot", step(F.col("_edge.p")).over(Window.partitionBy(*keys).orderBy("_slot")).alias("_carry"))
-    both = rows.join(carry, [*keys, "_slot"], "left")
+    both = _carried(rows, carry, [*keys, "_slot"])
     got = F.coalesce("_in", "_carry")
     return both.select(*df.columns, got["v"].alias(name), got.isNotNull().alias(f"{name}_exists"))
 
@@ -52,11 +59,8 @@ def running_max(df: DataFrame, keys: list[str], ts: str, value: str, name: str,
         slotted.groupBy(*keys, "_slot").agg(F.max(value).alias("_top"))
         .select(*keys, "_slot", F.max("_top").over(before).alias("_carry"))
     )
-    return (
-        slotted.withColumn("_in", F.max(value).over(inside))
-        .join(carry, [*keys, "_slot"], "left")
-        .select(*df.columns, F.greatest("_in", "_carry").alias(name))
-    )
+    rows = slotted.withColumn("_in", F.max(value).over(inside))
+    return _carried(rows, carry, [*keys, "_slot"]).select(*df.columns, F.greatest("_in", "_carry").alias(name))
 
 
 def ordered_runs(df: DataFrame, keys: list[str], ts: str, tie: list[str], value: str,

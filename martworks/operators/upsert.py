@@ -32,7 +32,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: l
 
 def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """The rows to append: one per key that the target lacks."""
-    return dedupe(rows_absent(source, target, *keys), keys, order)
+    return rows_absent(dedupe(with_keys(source, *keys), keys, order), target, *keys)
 
 
 def insert_new(target: DataFrame, source: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:

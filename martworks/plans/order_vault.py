@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from martworks.functions.arrays import array_pluck, explode_items, zip_arrays
 from martworks.functions.keys import uuid3
@@ -17,8 +17,9 @@ def enrich_orders(orders: DataFrame, users: DataFrame, restaurants: DataFrame, m
     """Names of user and restaurant, name and category of every item.
 
     `orders` is parsed messages; `users` (id, name[, login]), `restaurants`
-    (id, name), `menu` (restaurant_id, id, name, category). Items not on the
-    menu keep null names, see `split_known`.
+    (id, name), `menu` (restaurant_id, id, name, category). Every order stays:
+    unknown users, restaurants and items keep null names, an order without items
+    has an empty array, see `split_known`.
     """
     p = F.col("payload")
     flat = orders.select(
@@ -28,8 +29,9 @@ def enrich_orders(orders: DataFrame, users: DataFrame, restaurants: DataFrame, m
                                                        i["quantity"].alias("quantity"))).alias("products"))
     login = F.coalesce(F.col("login"), F.col("id")) if "login" in users.columns else F.col("id")
     named = (
-        flat.join(users.select(F.col("id").alias("user_id"), F.col("name").alias("user_name"), login.alias("user_login")), "user_id")
-        .join(restaurants.select(F.col("id").alias("restaurant_id"), F.col("name").alias("restaurant_name")), "restaurant_id")
+        flat.join(users.select(F.col("id").alias("user_id"), F.col("name").alias("user_name"), login.alias("user_login"), F.lit(True).alias("_user")), "user_id", "left")
+        .join(restaurants.select(F.col("id").alias("restaurant_id"), F.col("name").alias("restaurant_name"), F.lit(True).alias("_restaurant")),
+              "restaurant_id", "left")
     )
     full = enrich_items(named, "object_id", "products", "id", menu, ["restaurant_id"], ["name", "category"])
     return full.select(
@@ -38,13 +40,21 @@ def enrich_orders(orders: DataFrame, users: DataFrame, restaurants: DataFrame, m
             F.col("object_id").alias("id"), "date", "cost", "payment", "status",
             F.struct(F.col("restaurant_id").alias("id"), F.col("restaurant_name").alias("name")).alias("restaurant"),
             F.struct(F.col("user_id").alias("id"), F.col("user_name").alias("name"), F.col("user_login").alias("login")).alias("user"),
-            "products").alias("payload"))
+            F.coalesce("products", F.array().cast(full.schema["products"].dataType)).alias("products")).alias("payload"),
+        _reasons(F.col("_user"), F.col("_restaurant"), F.col("products")).alias("reasons"))
+
+
+def _reasons(user: Column, restaurant: Column, products: Column) -> Column:
+    """What an order names that no dimension knows."""
+    unknown = F.coalesce(F.exists(products, lambda i: i["name"].isNull() | i["category"].isNull()), F.lit(False))
+    return F.array_compact(F.array(
+        F.when(user.isNull(), "user"), F.when(restaurant.isNull(), "restaurant"), F.when(unknown, "item")))
 
 
 def split_known(enriched: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(orders whose items are all on the menu, orders to look at)."""
-    unknown = F.exists("payload.products", lambda i: i["name"].isNull() | i["category"].isNull())
-    return enriched.where(~unknown), enriched.where(unknown)
+    """(orders whose user, restaurant and items are all known, the other orders with their `reasons`)."""
+    known = F.size("reasons") == 0
+    return enriched.where(known).drop("reasons"), enriched.where(~known)
 
 
 def _flat_orders(enriched: DataFrame) -> DataFrame:

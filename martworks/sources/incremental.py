@@ -9,21 +9,29 @@ from pyspark.sql import DataFrame, functions as F
 
 from martworks.functions.text import canonical_json
 from martworks.operators.ranking import batch
-from martworks.sources.state import FIRST_ID, FIRST_TS, WatermarkStore
+from martworks.sources.state import WatermarkStore
 
 
-def incremental_by_id(df: DataFrame, id_col: str, last, limit: int | None = None) -> DataFrame:
-    """Rows with a larger id; with `limit` the next ones in id order."""
-    return batch(df.where(F.col(id_col) > F.lit(last)), [id_col], limit)
+def incremental_by_id(df: DataFrame, id_col: str, last=None, limit: int | None = None) -> DataFrame:
+    """Rows with a larger id; all that have an id without `last`; with `limit` the next ones in id order."""
+    later = F.col(id_col).isNotNull() if last is None else F.col(id_col) > F.lit(last)
+    return batch(df.where(later), [id_col], limit)
+
+
+def without_cursor(df: DataFrame, col: str) -> DataFrame:
+    """Rows that no incremental scan reads: their cursor column is null."""
+    return df.where(F.col(col).isNull())
 
 
 def incremental_by_ts(df: DataFrame, ts_col: str, last, id_col: str | None = None, last_id=None,
                       limit: int | None = None) -> DataFrame:
-    """Rows updated later than the watermark.
+    """Rows updated later than the watermark; all that have a time without one.
 
     With an id the cursor is (time, id), so a batch that ends between rows of
     equal time loses none of them.
     """
+    if last is None:
+        return batch(df.where(F.col(ts_col).isNotNull()), [ts_col, *([id_col] if id_col else [])], limit)
     kind = df.schema[ts_col].dataType
     mark = F.lit(str(last)).cast(kind)
     later = F.col(ts_col) > mark
@@ -36,13 +44,15 @@ def incremental_by_ts(df: DataFrame, ts_col: str, last, id_col: str | None = Non
 
 
 def copy_by_id(source: DataFrame, id_col: str, state: WatermarkStore, key: str,
-               write: Callable[[DataFrame], None], limit: int | None = None) -> int | None:
+               write: Callable[[DataFrame], None], limit: int | None = None, first=None) -> int | None:
     """Copy the rows after the saved id, then move the watermark to the last id read.
 
+    The first run starts after `first`, or with the smallest id there is.
+
     The written rows are bounded by that id, so a recomputed partition cannot bring
     in rows that arrived meanwhile.
     """
-    rows = incremental_by_id(source, id_col, state.get(key, FIRST_ID), limit).persist()
+    rows = incremental_by_id(source, id_col, state.get(key, first), limit).persist()
     try:
         last = rows.agg(F.max(id_col)).first()[0]
         if last is not None:
@@ -62,12 +72,13 @@ def as_documents(df: DataFrame, id_col: str, ts_col: str) -> DataFrame:
 
 
 def copy_documents(source: DataFrame, id_col: str, ts_col: str, state: WatermarkStore, key: str,
-                   write: Callable[[DataFrame], None], limit: int | None = None) -> dt.datetime | None:
+                   write: Callable[[DataFrame], None], limit: int | None = None, first=None) -> dt.datetime | None:
     """Copy documents changed after the watermark; `write` upserts by object_id.
 
-    The cursor is (time, id): both are saved.
+    The cursor is (time, id): both are saved. The first run starts after the
+    time `first`, or with the oldest document.
     """
-    saved = state.get(key, {"ts": FIRST_TS, "id": None})
+    saved = state.get(key, {"ts": first, "id": None})
     rows = incremental_by_ts(source, ts_col, saved["ts"], id_col, saved["id"], limit).persist()
     try:
         last = rows.agg(F.max(F.struct(F.col(ts_col).cast("string").alias("ts"), F.col(id_col).alias("id"))).alias("m")).first().m

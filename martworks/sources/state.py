@@ -9,10 +9,6 @@ from pyspark.sql import SparkSession, functions as F
 
 from martworks import schemas
 
-FIRST_ID = -1
-FIRST_TS = "2022-01-01 00:00:00"
-
-
 class WatermarkStore:
     """get / save of a value per workflow key; the latest saved one counts.
 
