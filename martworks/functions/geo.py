@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 EARTH_KM = 6371.0
@@ -69,30 +67,28 @@ def _with_vector(df: DataFrame, lat: str, lon: str) -> DataFrame:
 
 
 def _nearest_inline(pts: DataFrame, located: DataFrame, rows: list, lat: str, lon: str) -> DataFrame:
-    """The place with the largest dot product of unit vectors.
+    """The place with the shortest chord, as in `_nearest_by_cells`: the rows do not depend on the length of the list.
 
-    The products form one primitive array per row, in one generated stage; the
-    distance of the winner is then taken from its coordinates. The vector and the
-    array are helper columns because both are used several times.
+    The squared chords form one primitive array per row, in one generated stage.
+    The vector and the array are helper columns because both are used several times.
     """
     id_type = located.schema["place_id"].dataType
     ordered = sorted(rows, key=lambda r: r.place_id)
     if not ordered:
         return pts.select("*", F.lit(None).cast(id_type).alias("place_id"),
                           F.lit(None).cast("string").alias("place"), F.lit(None).cast("double").alias("km"))
-    products = []
+    chords = []
     for row in ordered:
-        la, lo = math.radians(row.lat), math.radians(row.lon)
-        products.append(F.col("_x") * F.lit(math.cos(la) * math.cos(lo)) + F.col("_y") * F.lit(math.cos(la) * math.sin(lo))
-                        + F.col("_z") * F.lit(math.sin(la)))
+        v = unit_vector(F.lit(row.lat), F.lit(row.lon))
+        chords.append(_chord2(F.col("_x"), F.col("_y"), F.col("_z"), v["x"], v["y"], v["z"]))
     # the first position wins, and the places are in id order
-    at = (F.array_position("_near", F.array_max("_near")) - 1).cast("int")
+    at = (F.array_position("_near", F.array_min("_near")) - 1).cast("int")
     list_of = lambda field: F.array(*[F.lit(r[field]) for r in ordered])
     # a value is always there; saying so keeps a later join from testing the whole search for null in its filter
     pick = lambda field: F.coalesce(F.get(list_of(field), F.col("_at")), F.lit(ordered[0][field]))
-    return _with_vector(pts, lat, lon).withColumn("_near", F.array(*products)).withColumn("_at", at).select(
+    return _with_vector(pts, lat, lon).withColumn("_near", F.array(*chords)).withColumn("_at", at).select(
         *pts.columns, pick("place_id").cast(id_type).alias("place_id"), pick("place").alias("place"),
-        haversine_km(F.col(lat), F.col(lon), pick("lat"), pick("lon")).alias("km"))
+        _chord2_km(F.array_min("_near")).alias("km"))
 
 
 def _cell(axis: Column, edge: float) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from martworks.session import reliable, work_partitions
 
@@ -66,6 +66,17 @@ def tile_window(df: DataFrame, value: str, id_col: str, n: int = 5, name: str =
     return df.withColumn(name, F.ntile(n).over(Window.orderBy(value, id_col)))
 
 
+def _decimal_for(kinds: set[T.DataType]) -> str | None:
+    """The decimal type that holds integers and decimals of all these types, if there is one."""
+    whole, scale = 0, 0
+    for kind in kinds:
+        if not isinstance(kind, (T.IntegralType, T.DecimalType)):
+            return None
+        p, s = (kind.precision, kind.scale) if isinstance(kind, T.DecimalType) else (19, 0)
+        whole, scale = max(whole, p - s), max(scale, s)
+    return f"decimal({whole + scale},{scale})" if whole + scale <= 38 else None
+
+
 def tiles(df: DataFrame, values: dict[str, str], id_col: str, n: int = 5) -> DataFrame:
     """Exact `ntile(n)` of several measures at once, ascending, ties by id.
 
@@ -74,10 +85,15 @@ def tiles(df: DataFrame, values: dict[str, str], id_col: str, n: int = 5) -> Dat
     partitions because the id is part of the sort. From the partition counts the
     n - 1 rows at the tile borders are looked up, and the tile of each row of
     `df` is then a comparison with those borders: no join back, no window.
-    Measures of unequal type must be integers or decimals.
+    Measures of unequal type share a sort if one decimal type holds all their
+    digits; otherwise each type has a sort of its own.
     """
-    kinds = {df.schema[c].dataType.simpleString() for c in values.values()}
-    common = kinds.pop() if len(kinds) == 1 else "decimal(38,6)"
+    kinds = {df.schema[c].dataType for c in values.values()}
+    common = kinds.pop().simpleString() if len(kinds) == 1 else _decimal_for(kinds)
+    if common is None:
+        for kind in sorted(kinds, key=str):
+            df = tiles(df, {name: c for name, c in values.items() if df.schema[c].dataType == kind}, id_col, n)
+        return df
     id_type = df.schema[id_col].dataType.simpleString()
     names = list(values)
     entries = F.array(*[

@@ -8,22 +8,28 @@ from martworks.functions.arrays import array_pluck, explode_items, zip_arrays
 from martworks.functions.keys import uuid3
 from martworks.operators.joins import enrich_items
 from martworks.operators.upsert import upsert_counter
-from martworks.operators.vault import load_hub, load_link, load_satellite
+from martworks.operators.vault import load_hub, load_link, load_satellite, load_versions
 
 SOURCE = "stg-order-service"
 
 
-def enrich_orders(orders: DataFrame, users: DataFrame, restaurants: DataFrame, menu: DataFrame) -> DataFrame:
+def enrich_orders(orders: DataFrame, users: DataFrame, restaurants: DataFrame, menu: DataFrame, at: str | None = None) -> DataFrame:
     """Names of user and restaurant, name and category of every item.
 
     `orders` is parsed messages; `users` (id, name[, login]), `restaurants`
     (id, name), `menu` (restaurant_id, id, name, category). Every order stays:
     unknown users, restaurants and items keep null names, an order without items
-    has an empty array, see `split_known`.
+    has an empty array, see `split_known`. With `at`, the column with the time of
+    a message, every message of an order is a row, equal messages are one.
     """
+    sent = [at] if at else []
+    row = F.struct("object_id", *sent, F.sha2(F.to_json("payload"), 256)) if sent else F.col("object_id")
+    orders = orders.withColumn("_row", row)
+    if sent:
+        orders = orders.dropDuplicates(["_row"])
     p = F.col("payload")
     flat = orders.select(
-        "object_id", "object_type", p["date"].alias("date"), p["cost"].alias("cost"), p["payment"].alias("payment"),
+        "_row", "object_id", "object_type", *sent, p["date"].alias("date"), p["cost"].alias("cost"), p["payment"].alias("payment"),
         p["final_status"].alias("status"), p["restaurant"]["id"].alias("restaurant_id"), p["user"]["id"].alias("user_id"),
         F.transform(p["order_items"], lambda i: F.struct(i["id"].alias("id"), i["price"].alias("price"),
                                                        i["quantity"].alias("quantity"))).alias("products"))
@@ -33,9 +39,9 @@ def enrich_orders(orders: DataFrame, users: DataFrame, restaurants: DataFrame, m
         .join(restaurants.select(F.col("id").alias("restaurant_id"), F.col("name").alias("restaurant_name"), F.lit(True).alias("_restaurant")),
               "restaurant_id", "left")
     )
-    full = enrich_items(named, "object_id", "products", "id", menu, ["restaurant_id"], ["name", "category"])
+    full = enrich_items(named, "_row", "products", "id", menu, ["restaurant_id"], ["name", "category"])
     return full.select(
-        "object_id", "object_type",
+        "object_id", "object_type", *sent,
         F.struct(
             F.col("object_id").alias("id"), "date", "cost", "payment", "status",
             F.struct(F.col("restaurant_id").alias("id"), F.col("restaurant_name").alias("name")).alias("restaurant"),
@@ -57,10 +63,10 @@ def split_known(enriched: DataFrame) -> tuple[DataFrame, DataFrame]:
     return enriched.where(known).drop("reasons"), enriched.where(~known)
 
 
-def _flat_orders(enriched: DataFrame) -> DataFrame:
+def _flat_orders(enriched: DataFrame, at: list[str]) -> DataFrame:
     p = F.col("payload")
     return enriched.select(
-        F.col("object_id").alias("order_id"), p["date"].cast("timestamp_ntz").alias("order_dt"),
+        *at, F.col("object_id").alias("order_id"), p["date"].cast("timestamp_ntz").alias("order_dt"),
         p["cost"].alias("cost"), p["payment"].alias("payment"), p["status"].alias("status"),
         p["restaurant"]["id"].alias("restaurant_id"), p["restaurant"]["name"].alias("restaurant_name"),
         p["user"]["id"].alias("user_id"), p["user"]["name"].alias("username"), p["user"]["login"].alias("userlogin"),
@@ -68,10 +74,10 @@ def _flat_orders(enriched: DataFrame) -> DataFrame:
     )
 
 
-def _flat_items(orders: DataFrame) -> DataFrame:
-    items = explode_items(orders.select("order_id", "restaurant_id", "order_dt", "products"), "products")
+def _flat_items(orders: DataFrame, at: list[str]) -> DataFrame:
+    items = explode_items(orders.select(*at, "order_id", "restaurant_id", "order_dt", "products"), "products")
     return items.select(
-        "order_id", "restaurant_id", "order_dt", F.col("id").alias("product_id"), F.col("name").alias("product_name"),
+        *at, "order_id", "restaurant_id", "order_dt", F.col("id").alias("product_id"), F.col("name").alias("product_name"),
         F.col("category").alias("category_name"))
 
 
@@ -83,10 +89,14 @@ def _hub_key(entity: str):
     return uuid3(F.col(_BUSINESS_KEY[entity]))
 
 
-def vault_batch(enriched: DataFrame, dds: dict[str, DataFrame], load_dt: str) -> dict[str, DataFrame]:
-    """New rows of 5 hubs, 4 links and 5 satellites of a batch of orders."""
-    orders = _flat_orders(enriched)
-    items = _flat_items(orders)
+def vault_batch(enriched: DataFrame, dds: dict[str, DataFrame], load_dt: str, at: str | None = None) -> dict[str, DataFrame]:
+    """New rows of 5 hubs, 4 links and 5 satellites of a batch of orders.
+
+    With `at`, the column with the time of a message, satellites keep every
+    changed version under that time; without it the latest of the batch under `load_dt`.
+    """
+    orders = _flat_orders(enriched, [at] if at else [])
+    items = _flat_items(orders, [at] if at else [])
     hubs = {"order": (orders, ["order_dt"]), "user": (orders, []), "restaurant": (orders, []), "product": (items, []), "category": (items, [])}
     links = {
         "l_order_product": (items, "order", "product"),
@@ -111,6 +121,10 @@ def vault_batch(enriched: DataFrame, dds: dict[str, DataFrame], load_dt: str) ->
             src.select(_BUSINESS_KEY[a], _BUSINESS_KEY[b]), f"hk_{table[2:]}_pk", members, dds.get(table), SOURCE, load_dt,
             key=uuid3(F.concat(*members)))
     for table, (src, entity, attrs) in satellites.items():
+        if at:
+            out[table] = load_versions(src, f"h_{entity}_pk", attrs, dds.get(table), SOURCE, at,
+                                       f"hk_{table[2:]}_hashdiff", (_BUSINESS_KEY[entity], _hub_key(entity)))
+            continue
         # the latest version in the batch counts: later orders name it
         out[table] = load_satellite(
             src, f"h_{entity}_pk", attrs, dds.get(table), SOURCE, load_dt, ["order_dt", *attrs],

@@ -18,13 +18,13 @@ ORDER_INCREMENT = (
     " first_name string, last_name string, item_id int, item_name string, quantity int, payment_amount decimal(10,2)")
 
 CHAT_USERS = (
-    "id int, chat_name string, registration_dt timestamp_ntz, country string, age int")
+    "id bigint, chat_name string, registration_dt timestamp_ntz, country string, age int")
 CHAT_GROUPS = (
-    "id int, admin_id int, group_name string, registration_dt timestamp_ntz, is_private boolean")
+    "id bigint, admin_id bigint, group_name string, registration_dt timestamp_ntz, is_private boolean")
 CHAT_DIALOGS = (
-    "message_id int, message_ts timestamp_ntz, message_from int, message_to int, message string, message_group int")
+    "message_id bigint, message_ts timestamp_ntz, message_from bigint, message_to bigint, message string, message_group bigint")
 CHAT_GROUP_LOG = (
-    "group_id int, user_id int, user_id_from int, event string, datetime timestamp_ntz")
+    "group_id bigint, user_id bigint, user_id_from bigint, event string, datetime timestamp_ntz")
 
 DOC_ORDER = (
     "_id string, user struct<id: string>, restaurant struct<id: string>, final_status string, date string,"

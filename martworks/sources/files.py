@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from martworks import schemas
 from martworks.functions.text import decimal_comma
 from martworks.functions.time import run_dates
+from martworks.operators.grouping import latest_per_key
 
 
 def read_event_window(spark: SparkSession, base: str, date: str, depth: int) -> DataFrame:
@@ -29,16 +30,22 @@ def as_places(cities: DataFrame) -> DataFrame:
 
 
 def read_order_increment(spark: SparkSession, path: str) -> DataFrame:
-    """Order increment by header name; `status` defaults to 'shipped'."""
+    """Order increment by header name; `status` defaults to 'shipped'.
+
+    All files must have the columns in the same order; another header is an error.
+    """
     header = spark.read.option("header", True).csv(path).columns
     declared = T.StructType.fromDDL(schemas.ORDER_INCREMENT)
     schema = T.StructType([declared[c] if c in declared.names else T.StructField(c, T.StringType()) for c in header])
-    raw = spark.read.option("header", True).schema(schema).csv(path)
+    raw = spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path)
     return clean_order_increment(raw)
 
 
 def clean_order_increment(raw: DataFrame) -> DataFrame:
-    rows = raw.drop("id").dropDuplicates(["uniq_id"])
+    """One row per `uniq_id`, the latest; equal times are told apart by the other columns."""
+    rows = raw.drop("id")
+    rest = [c for c in rows.columns if c not in ("uniq_id", "date_time")]
+    rows = latest_per_key(rows, ["uniq_id"], [*(["date_time"] if "date_time" in rows.columns else []), *rest])
     status = F.coalesce(F.col("status"), F.lit("shipped")) if "status" in rows.columns else F.lit("shipped")
     return rows.withColumn("status", status)
 
@@ -50,7 +57,7 @@ def load_staging_csv(spark: SparkSession, path: str, schema: T.StructType | str,
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Stored documents: key, JSON text and update time."""
-    return spark.read.schema("id int, object_id string, object_value string, update_ts timestamp_ntz").json(path)
+    return spark.read.schema("id bigint, object_id string, object_value string, update_ts timestamp_ntz").json(path)
 
 
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:

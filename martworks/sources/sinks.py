@@ -53,7 +53,8 @@ def bucket_of(keys: list[str], n: int) -> Column:
 
 
 def write_bucketed(df: DataFrame, path: str, keys: list[str], n: int) -> None:
-    """First load of a table kept in key buckets, one folder per bucket."""
+    """First load of a table kept in key buckets, one folder per bucket; the count is kept beside it."""
+    df.sparkSession.createDataFrame([(n,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(f"{path}.buckets")
     df.withColumn("bucket", bucket_of(keys, n)).write.mode("errorifexists").partitionBy("bucket").parquet(path)
 
 
@@ -62,9 +63,14 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
     """Upsert into a bucketed table by rewriting only the touched buckets.
 
     The merged rows are fixed in the shared folder before the old files go, so
-    a lost executor cannot leave a bucket half written from deleted input.
+    a lost executor cannot leave a bucket half written from deleted input. The
+    source is fixed too, as it is read twice. Another bucket count than the
+    table was made with is an error.
     """
-    batch = source.withColumn("bucket", bucket_of(keys, n))
+    made_with = spark.read.parquet(f"{path}.buckets").first().buckets
+    if n != made_with:
+        raise ValueError(f"{path} has {made_with} buckets, not {n}")
+    batch = reliable(source).withColumn("bucket", bucket_of(keys, n))
     touched = [r.bucket for r in batch.select("bucket").distinct().collect()]  # at most n numbers
     if not touched:
         return

@@ -40,20 +40,20 @@ def order_writer(root: str, users: DataFrame, restaurants: DataFrame, menu: Data
                  load_dt: Callable[[int], str]) -> Callable[[DataFrame, int], None]:
     """`foreachBatch` function: raw rows, rejects, vault tables and user messages.
 
-    Within a batch one message per order is used, the latest. A repeated batch
-    compares with the batches before it and so writes the same rows again.
+    Every message counts, so the vault does not depend on how messages are dealt
+    to batches. A repeated batch compares with the batches before it and so writes
+    the same rows again.
     """
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         batch = df.persist()
-        store_raw(batch, f"{root}/raw", batch_id)
-        fresh = latest_per_key(batch, ["object_id"], ["sent_dttm"])
-        enriched = enrich_orders(fresh, users, restaurants, menu).persist()
+        enriched = enrich_orders(batch, users, restaurants, menu, "sent_dttm").persist()
         try:
+            store_raw(batch, f"{root}/raw", batch_id)
             known, unknown = split_known(enriched)
             write_batch(unknown, f"{root}/rejects", batch_id)
             existing = {t: stored(spark, f"{root}/vault/{t}", batch_id) for t in VAULT_TABLES}
-            new = vault_batch(known, {t: old for t, old in existing.items() if old is not None}, load_dt(batch_id))
+            new = vault_batch(known, {t: old for t, old in existing.items() if old is not None}, load_dt(batch_id), "sent_dttm")
             for table in VAULT_TABLES:
                 write_batch(new[table], f"{root}/vault/{table}", batch_id)
             write_batch(user_message(known), f"{root}/messages", batch_id)

@@ -62,3 +62,50 @@ def test_lookup_splits_without_loss(spark):
     target = spark.createDataFrame([("a", 1)], "key string, n int")
     fresh = upsert.insert_ignore(target, facts.select("key", "n").unionByName(facts.select("key", "n")), ["key"], ["n"])
     assert [(r.key, r.n) for r in fresh.collect()] == [("b", 2)]
+
+
+def test_two_cities_of_one_name_stay_two(spark):
+    from martworks.plans.user_mart import user_mart
+    from martworks.schemas import GEO_EVENT
+    from tests.test_marts import geo_event
+    items = [("message", 1, "2022-05-01 10:00:00", -33.8, 151.2, 5), ("message", 1, "2022-05-02 10:00:00", -31.9, 115.8, 5)]
+    places = spark.createDataFrame([(1, "Sydney", -33.87, 151.21), (2, "Perth", -31.95, 115.86), (3, "Perth", -42.0, 147.0)],
+                                   "place_id int, place string, lat double, lon double")
+    got = user_mart(spark.createDataFrame([geo_event(*i) for i in items], GEO_EVENT), places, "2022-05-31").collect()
+    assert [(r.actual_city, r.travel_count) for r in got] == [("Perth", 2)]
+
+
+def test_nearest_place_is_the_same_for_short_and_long_lists(spark):
+    from martworks.functions.geo import nearest_place
+    places = spark.range(60).selectExpr("cast(id as int) place_id", "string(id) place", "10 + id * 1e-8 lat", "20 + id % 7 * 1e-8 lon")
+    points = spark.range(200).selectExpr("id", "10 + id * 3e-9 lat", "20 + id % 11 * 1e-8 lon")
+    short, long = ({r.id: (r.place_id, r.km) for r in nearest_place(points, places, inline_limit=n).collect()} for n in (64, 59))
+    assert short == long and len(short) == 200
+
+
+def test_measures_without_a_common_decimal_are_ranked_apart(spark):
+    from martworks.operators.ranking import tiles
+    df = spark.range(10).selectExpr("id", "id * 1e-9 as a", "cast(9 - id as int) as b", "cast(id as decimal(38,9)) * 1e-9bd as c")
+    got = tiles(df, {"ta": "a", "tb": "b", "tc": "c"}, "id", 5).orderBy("id").collect()
+    assert [(r.ta, r.tb, r.tc) for r in got] == [(1 + i // 2, 5 - i // 2, 1 + i // 2) for i in range(10)]
+
+
+def test_another_bucket_count_is_an_error(spark, tmp_path):
+    import pytest
+    from martworks.sources import sinks
+    path = f"{tmp_path}/t"
+    sinks.write_bucketed(spark.range(50).withColumn("v", F.lit(0)), path, ["id"], 8)
+    with pytest.raises(ValueError):
+        sinks.upsert_table(spark, path, spark.range(50).withColumn("v", F.lit(1)), ["id"], ["v"], 4)
+    sinks.upsert_table(spark, path, spark.range(60).withColumn("v", F.lit(1)), ["id"], ["v"], 8)
+    assert spark.read.parquet(path).where("v = 1").count() == 60
+
+
+def test_increments_with_another_header_are_an_error(spark, tmp_path):
+    import pytest
+    from martworks.sources import files
+    (tmp_path / "a.csv").write_text("id,uniq_id,date_time,customer_id\n1,x,2022-01-01T00:00:00,5\n2,x,2022-01-02T00:00:00,6\n")
+    assert [r.customer_id for r in files.read_order_increment(spark, str(tmp_path)).collect()] == [6]
+    (tmp_path / "b.csv").write_text("id,customer_id,date_time,uniq_id\n1,7,2022-01-01T00:00:00,y\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_order_increment(spark, str(tmp_path)).collect()

@@ -127,3 +127,21 @@ def test_bounded_batches(spark, tmp_path):
     stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).json(str(box))
     start(stream, lambda df, b: seen.append(df.count()), f"{tmp_path}/ck").awaitTermination()
     assert seen == [1, 1, 1]
+
+
+def test_vault_history_does_not_depend_on_the_batches(spark, tmp_path, rows):
+    sent = [order(1, s, ["a"], f"2022-01-{d:02d} 00:00:00") for d, s in enumerate(("OPEN", "OPEN", "COOKING", "CLOSED", "OPEN"), 1)]
+    sent.append(sent[2])  # sent again at the end
+    dims = (spark.createDataFrame([("u", "U")], "id string, name string"), spark.createDataFrame([("r", "R")], "id string, name string"),
+            spark.createDataFrame([("r", "a", "A", "c1")], "restaurant_id string, id string, name string, category string"))
+    got = []
+    for n, size in enumerate((6, 3, 2)):
+        box, root = tmp_path / f"in{n}", f"{tmp_path}/dds{n}"
+        write = orders.order_writer(root, *dims, lambda b: f"2022-02-{b + 1:02d} 00:00:00")
+        for at in range(0, len(sent), size):
+            put(box, f"{at}.json", sent[at:at + size])
+            orders.run_orders(topic(spark, box), write, f"{tmp_path}/ck{n}").awaitTermination()
+        status = stored(spark, f"{root}/vault/s_order_status")
+        got.append(rows(status.select(F.dayofmonth("load_dt").alias("day"), "status"), "day", "status"))
+        assert stored(spark, f"{root}/vault/s_order_cost").count() == 1
+    assert got[0] == got[1] == got[2] == [(1, "OPEN"), (3, "COOKING"), (4, "CLOSED"), (5, "OPEN")]
