@@ -30,6 +30,8 @@ from martworks.llm.common import ready, staged, text_or_empty
 
 WINDOW = 2048
 END_ID = 1
+# characters from which ids come in a buffer
+LONG_TEXT = 1 << 20
 # tokens of a shard: a few thousand documents, tens of MB with its index
 SHARD_TOKENS = 2_000_000
 # documents of one inverted index inside a shard
@@ -44,15 +46,27 @@ def encoder(ranks_path: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def token_ids(enc: tiktoken.Encoding, text: str) -> np.ndarray:
+    """Ids of a text and the end id. The call by list is faster, the one by buffer holds long texts in less memory."""
+    if len(text) < LONG_TEXT:
+        return np.array([*enc.encode_ordinary(text), END_ID], np.uint32)
+    return np.append(enc.encode_to_numpy(text, disallowed_special=()), np.uint32(END_ID))
+
+
+def _id_hash(ids: np.ndarray) -> np.ndarray:
+    return mix(ids.astype(np.uint64) * U(0x9FB21C651E98DF25))
+
+
 def tokenised(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """(doc_id, ids, n, sketch): uint16 or wider ids of each text and the end id, their count, a MinHash of the ids."""
     def run(frames):
         enc = encoder(ranks_path, pattern)
+        hashes = _id_hash(np.arange(enc.n_vocab))
         for frame in frames:
             out = []
             for text in frame["text"]:
-                ids = np.append(enc.encode_to_numpy(text, disallowed_special=()), np.uint32(END_ID))
-                sketch = mix(np.unique(ids).astype(np.uint64) * U(0x9FB21C651E98DF25)).min() >> U(1)
+                ids = token_ids(enc, text)
+                sketch = hashes[ids].min() >> U(1)
                 out.append((ids.astype("<u2").tobytes() if ids.max() < 65536 else b"\0" + ids.astype("<u4").tobytes(),
                             len(ids), int(sketch)))
             if out:
