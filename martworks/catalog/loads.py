@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from martworks import schemas
 from martworks.catalog.registry import Tables, money, query, ts_sql
+from martworks.functions.arrays import array_find
 from martworks.functions.text import canonical_json, json_field
 from martworks.functions.time import calendar_partition
 from martworks.operators import dims, quality
-from martworks.operators.joins import enrich_items, rows_absent
+from martworks.operators.grouping import count_by
+from martworks.operators.joins import enrich_items, missing_keys, rows_absent
 from martworks.operators.ranking import dense_ids
 from martworks.operators.sequences import running_max
 from martworks.operators.upsert import appended, insert_ignore, upsert, upsert_counter
@@ -259,6 +261,18 @@ select o_orderkey::varchar as order_key, case when o_orderstatus = 'P' then 'CAN
  s_suppkey as restaurant_id, dense_rank() over (order by ts) as timestamp_id
 from o join u on u.k = o_custkey::varchar join supplier on s_suppkey = o_custkey % 10""")
 def _(t):
+    return _order_facts(t)[0]
+
+
+@query("fact_orders_rejects", """with o as (select * from orders where o_orderkey in (select l_orderkey from lineitem))
+select o_orderkey::varchar as order_key, 'user' as missing from o where o_custkey not in (select c_custkey from customer)
+union all select o_orderkey::varchar, 'restaurant' from o where o_custkey in (select c_custkey from customer)
+ and o_custkey % 10 not in (select s_suppkey from supplier)""")
+def _(t):
+    return _order_facts(t)[1]
+
+
+def _order_facts(t: Tables) -> tuple[DataFrame, DataFrame]:
     docs = stored(order_documents(t))
     user_docs = t.customer.select(
         F.col("c_custkey").cast("string").alias("object_id"), F.to_json(F.struct(
@@ -266,7 +280,7 @@ def _(t):
         F.lit("2000-01-01").cast("timestamp_ntz").alias("update_ts"))
     users = dims.assign_ids(delivery.dim_users(user_docs), ["user_id"])
     places = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_suppkey").cast("string").alias("restaurant_id"))
-    return delivery.fact_orders(delivery.parsed_orders(docs), users, places, dims.time_dimension(docs, "update_ts"))[0]
+    return delivery.fact_orders(delivery.parsed_orders(docs), users, places, dims.time_dimension(docs, "update_ts"))
 
 
 @query("fact_deliveries", f"""with d as (select l_orderkey || '-' || l_linenumber as delivery_id, l_orderkey as order_id, o_orderdate as order_ts,
@@ -330,6 +344,59 @@ def _(t):
     return dims.scd_validity(history, ["o_custkey"], "o_orderdate", ["o_orderkey"]).drop("o_orderdate")
 
 
+@query("dim_reload", """select row_number() over (partition by c_acctbal > 5000 order by c_custkey)
+ + case when c_acctbal > 5000 then 0 else (select count(*) from customer where c_acctbal > 5000) end as id, c_custkey, c_name from customer""")
+def _(t):
+    """Two loads: customers of the first keep their ids, the others follow after the largest one."""
+    rows = t.customer.select("c_custkey", "c_name")
+    first = reliable(dims.assign_ids(t.customer.where("c_acctbal > 5000").select("c_custkey", "c_name"), ["c_custkey"]))
+    return appended(first, dims.extend_dim(first, rows, "c_custkey", ["c_name"]))
+
+
+@query("validity_upsert", f"""select c_custkey, c_mktsegment as name,
+ {ts_sql("case when c_acctbal > 0 then timestamp '2000-01-01' else timestamp '2001-08-01' end")} as active_from,
+ {ts_sql("timestamp '2099-12-31'")} as active_to from customer""")
+def _(t):
+    """Names follow the source, the first active_from stays."""
+    def version(rows, name, start):
+        return rows.select("c_custkey", name.alias("name"), F.lit(start).cast("timestamp_ntz").alias("active_from"),
+                           F.lit("2099-12-31").cast("timestamp_ntz").alias("active_to"))
+    dim = version(t.customer.where("c_acctbal > 0"), F.col("c_name"), "2000-01-01")
+    return dims.upsert_validity(dim, version(t.customer, F.col("c_mktsegment"), "2001-08-01"), "c_custkey", ["name"])
+
+
+@query("dim_keys_missing", """select c_custkey, c_name from customer
+where not exists (select 1 from orders where o_custkey = c_custkey and o_orderstatus = 'F')""")
+def _(t):
+    present = t.orders.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
+    return missing_keys(t.customer.select("c_custkey", "c_name"), present, "c_custkey")
+
+
+@query("first_returned_item", """select l_orderkey, x.n as line_number, x.p as part_key from (
+  select l_orderkey, min({'n': l_linenumber, 'p': l_partkey}) filter (l_returnflag = 'R') as x from lineitem group by l_orderkey)""")
+def _(t):
+    items = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_returnflag")))
+    found = array_find(F.col("items"), lambda item: item["l_returnflag"] == "R")
+    return t.lineitem.groupBy("l_orderkey").agg(items.alias("items")).select(
+        "l_orderkey", found["l_linenumber"].alias("line_number"), found["l_partkey"].alias("part_key"))
+
+
+@query("mart_reread", "select o_custkey, count(*) as cnt from orders group by o_custkey")
+def _(t):
+    root = run_dir(t.spark, "marts")
+    sinks.write_mart(count_by(t.orders, "o_custkey"), root, "orders_per_customer")
+    return files.read_mart(t.spark, root, "orders_per_customer")
+
+
+@query("snapshot_rewrite", f"select {_ORDER_COLS} from orders where o_orderstatus = 'F'")
+def _(t):
+    """The snapshot holds the rows of the last write only."""
+    path = run_dir(t.spark, "snapshot")
+    for status in ("O", "F"):
+        sinks.write_snapshot(t.orders.where(F.col("o_orderstatus") == status), path)
+    return t.spark.read.parquet(path)
+
+
 @query("close_missing", f"""select c_custkey, c_name, {ts_sql("case when exists (select 1 from orders where o_custkey = c_custkey and o_orderstatus = 'F') then timestamp '2099-12-31' else timestamp '2001-08-01' end")} as active_to
 from customer""")
 def _(t):

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from martworks.catalog.registry import Tables, money, query, ts_sql
 from martworks.functions.time import calendar_age
-from martworks.operators.grouping import count_by, first_per_key, latest_per_key
+from martworks.operators.filters import on_day
+from martworks.operators.grouping import count_by, latest_per_key
 from martworks.operators.ranking import quintile
 from martworks.plans import metrics, rfm, sales, settlement, shipping
 from martworks.session import reliable
@@ -75,15 +76,14 @@ def _(t):
 
 # ---- shipping ------------------------------------------------------------------------
 
-_LINE_ORDER = ["l_partkey", "l_suppkey", "l_shipdate", "price", "tax", "discount", "l_returnflag", "l_linestatus"]
-
-
 def shipping_log(t: Tables) -> DataFrame:
-    """Two log rows (booked, received) per distinct (order, line number)."""
+    """Two log rows (booked, received) per line; the shipping id is a digest of the whole line."""
     line = t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", money("l_extendedprice").alias("price"),
         money("l_tax").alias("tax"), money("l_discount").alias("discount"), "l_returnflag", "l_linestatus")
-    one = first_per_key(line, ["l_orderkey", "l_linenumber"], _LINE_ORDER)
+    one = line.withColumn("shipping_id", F.md5(F.concat_ws(
+        "|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyy-MM-dd"),
+        "price", "tax", "discount", "l_returnflag", "l_linestatus")))
     nation = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("o_custkey"), "n_name", "n_nationkey")
     orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
@@ -92,7 +92,7 @@ def shipping_log(t: Tables) -> DataFrame:
     agreement = F.concat_ws(":", F.col("l_suppkey") * 10000 + percent("tax") * 100 + percent("discount"),
                             F.concat(F.lit("agreement-"), F.col("l_suppkey")), F.col("tax"), F.col("discount"))
     return rows.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("shipping_id"),
+        "shipping_id",
         F.col("price").alias("payment"), F.col("l_suppkey").alias("vendor_id"),
         (F.col("o_orderdate") + F.expr("interval 60 days")).alias("shipping_plan_datetime"),
         F.col("n_name").alias("shipping_country"),
@@ -114,9 +114,9 @@ def staged_log(t: Tables) -> DataFrame:
 _SHIP = """with line as (
   select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice::decimal(14,2) as price,
          l_tax::decimal(14,2) as tax, l_discount::decimal(14,2) as discount, l_returnflag, l_linestatus from lineitem),
-one as (select * from line qualify row_number() over (partition by l_orderkey, l_linenumber
-          order by l_partkey, l_suppkey, l_shipdate, price, tax, discount, l_returnflag, l_linestatus) = 1),
-ship as (select l_orderkey * 10 + l_linenumber as shipping_id, price as payment, l_suppkey as vendor_id,
+one as (select distinct md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d'),
+          price, tax, discount, l_returnflag, l_linestatus)) as shipping_id, * from line),
+ship as (select shipping_id, price as payment, l_suppkey as vendor_id,
   o_orderdate + interval 60 day as plan, n_name as country, (n_nationkey % 10 + 1)::decimal(14,3) / 100 as country_rate0,
   n_nationkey % 10 + 1 as country_pct,
   l_suppkey * 10000 + (tax * 100)::bigint * 100 + (discount * 100)::bigint as agreement_id,
@@ -175,11 +175,7 @@ select shipping_id, vendor_id, transfer_type,
  (payment::decimal(16,2) * discount::decimal(10,2))::double as profit
 from aged""")
 def _(t):
-    log = staged_log(t)
-    rates, transfers, agreements = (
-        shipping.shipping_country_rates(log), shipping.shipping_transfer(log), shipping.shipping_agreement(log))
-    info = shipping.shipping_info(log, rates, transfers, agreements)
-    return shipping.shipping_datamart(info, shipping.shipping_status(log), transfers, agreements, rates)
+    return shipping.shipping_datamart_of_log(shipping_log(t))
 
 
 @query("calendar_age", """select l_orderkey, l_linenumber, l_partkey, l_suppkey,
@@ -225,6 +221,14 @@ def _(t):
     return sales.fact_sales(sales_increment(t), sales.calendar(t.orders, "o_orderdate"))
 
 
+@query("fact_sales_of_day", _SALES + """select date_id, item_id, customer_id, city_id, quantity::bigint as quantity,
+payment_amount::double as payment_amount, status from fact where date_id = 19960315""")
+def _(t):
+    """The fact of one business date; the date reaches the scan of orders."""
+    day = on_day(sales_increment(t), "date_time", "1996-03-15")
+    return sales.fact_sales(day, sales.calendar(t.orders, "o_orderdate"))
+
+
 @query("customer_retention", _SALES + """, agg as (
   select week_of_year, customer_id, item_id, count(*) as orders, count(*) filter (status = 'refunded') as refunds, sum(payment_amount) as revenue
   from fact group by all)

@@ -33,6 +33,19 @@ def load_dim(docs: DataFrame, schema: T.StructType | str, fields: dict[str, str]
     return rows_absent(rows, existing, key) if existing is not None else rows
 
 
+def extend_dim(existing: DataFrame, rows: DataFrame, key: str, order: list[str], name: str = "id") -> DataFrame:
+    """Rows to append for keys the dimension lacks, numbered after its largest id.
+
+    Stored rows keep their ids, so facts that point at them stay right. One
+    number reaches the driver. Of several rows per key the earliest by `order`
+    counts; rows with a null key are left out. `order` should be unique.
+    """
+    from martworks.operators.upsert import insert_new
+
+    last = existing.agg(F.max(name)).first()[0]
+    return assign_ids(insert_new(existing, rows, key, order), [key], name, (last or 0) + 1)
+
+
 def time_dimension(df: DataFrame, ts: str, start: int = 1) -> DataFrame:
     """One row per distinct second, with its date parts and a dense id."""
     seconds = df.where(F.col(ts).isNotNull()).select(to_second(F.col(ts)).alias("ts")).distinct()

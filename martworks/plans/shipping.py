@@ -77,19 +77,12 @@ def shipping_status(log: DataFrame) -> DataFrame:
     )
 
 
-def shipping_datamart(info: DataFrame, status: DataFrame, transfers: DataFrame, agreements: DataFrame,
-                      rates: DataFrame) -> DataFrame:
-    """Duration, delay, tax and profit per shipping."""
+def _measures(rows: DataFrame) -> DataFrame:
+    """Duration, delay, tax and profit of rows that carry times, amount and rates."""
     start, end, plan = (F.col(c) for c in (
         "shipping_start_fact_datetime", "shipping_end_fact_datetime", "shipping_plan_datetime"))
     late = end > plan
     took, delay = calendar_age(end, start), calendar_age(end, plan)
-    rows = (
-        info.join(status, "shipping_id")
-        .join(transfers.withColumnRenamed("id", "shipping_transfer_id"), "shipping_transfer_id")
-        .join(agreements.withColumnRenamed("agreement_id", "shipping_agreement_id"), "shipping_agreement_id")
-        .join(rates.withColumnRenamed("id", "shipping_country_rate_id"), "shipping_country_rate_id")
-    )
     amount = F.col("payment_amount")
     return rows.select(
         "shipping_id", "vendor_id", "transfer_type",
@@ -103,3 +96,34 @@ def shipping_datamart(info: DataFrame, status: DataFrame, transfers: DataFrame,
         "payment_amount",
         (amount * (F.col("shipping_country_base_rate") + F.col("agreement_rate") + F.col("shipping_transfer_rate"))).alias("vat"),
         (amount * F.col("agreement_commission")).alias("profit"))
+
+
+def shipping_datamart(info: DataFrame, status: DataFrame, transfers: DataFrame, agreements: DataFrame,
+                      rates: DataFrame) -> DataFrame:
+    """The mart from the five normalised tables."""
+    return _measures(
+        info.join(status, "shipping_id")
+        .join(transfers.withColumnRenamed("id", "shipping_transfer_id"), "shipping_transfer_id")
+        .join(agreements.withColumnRenamed("agreement_id", "shipping_agreement_id"), "shipping_agreement_id")
+        .join(rates.withColumnRenamed("id", "shipping_country_rate_id"), "shipping_country_rate_id"))
+
+
+def shipping_datamart_of_log(log: DataFrame) -> DataFrame:
+    """The mart straight from the log: one aggregate per shipping, no join and no surrogate ids.
+
+    Attributes of a shipping are those of its last log row, whose agreement and
+    transfer texts are taken apart in place. Shippings not yet received are left out.
+    """
+    at, text = F.col("state_datetime"), F.col("vendor_agreement_description")
+    carried = ["shipping_plan_datetime", "payment", "vendor_id", "vendor_agreement_description",
+               "shipping_transfer_description", "shipping_transfer_rate", "shipping_country_base_rate"]
+    one = log.groupBy("shipping_id").agg(
+        F.max(F.struct("state_datetime", "state", "status", *carried)).alias("last"),
+        F.min(F.when(F.col("state") == BOOKED, at)).alias("shipping_start_fact_datetime"),
+        F.max(F.when(F.col("state") == RECEIVED, at)).alias("shipping_end_fact_datetime"))
+    rows = one.where("shipping_start_fact_datetime is not null and shipping_end_fact_datetime is not null").select(
+        "shipping_id", "shipping_start_fact_datetime", "shipping_end_fact_datetime", "last.*")
+    return _measures(rows.withColumnRenamed("payment", "payment_amount").withColumns({
+        "transfer_type": split_part(F.col("shipping_transfer_description"), AGREEMENT_SEPARATOR, 1),
+        "agreement_rate": split_part(text, AGREEMENT_SEPARATOR, 3, "decimal(14,2)"),
+        "agreement_commission": split_part(text, AGREEMENT_SEPARATOR, 4, "decimal(14,2)")}))

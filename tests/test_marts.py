@@ -65,6 +65,9 @@ def test_shipping_mart(spark, rows):
     mart = shipping.shipping_datamart(info, shipping.shipping_status(log), transfers, agreements, rates)
     got = rows(mart, "shipping_id", "is_delay", "is_shipping_finish", "delay_day_at_shipping", "delay_total_days", "shipping_months", "shipping_days")
     assert got == [(1, 1, 1, 4, 35, 1, 13), (2, 0, 1, 0, 0, 0, 4)]  # not received: left out; one month four days shows four
+    straight = shipping.shipping_datamart_of_log(log)
+    assert straight.columns == mart.columns
+    assert sorted(map(str, straight.collect())) == sorted(map(str, mart.collect()))
     first = mart.where("shipping_id = 1").select(F.col("vat").cast("double"), F.col("profit").cast("double")).first()
     assert tuple(first) == (9.5, 10.0)
 
