@@ -2,35 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from martworks.plans.order_vault import message_categories, message_products
-from martworks.streaming.sinks import batch_sink, latest_stored, start
+from martworks.sources.sinks import bucket_of
+from martworks.streaming.sinks import start, stored, write_batch
+
+BUCKETS = 64
 
 
-def running_counts(rows: DataFrame, key: str, label: str, event_time: str | None = None, delay: str | None = None) -> DataFrame:
-    """Order count per (user, key), each order once.
+def counter_writer(path: str, key: str, label: str, buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
+    """`foreachBatch` function: order keys seen for the first time, and how many of them each counter gained.
 
-    Resends are found by (user, key, order). With a watermark that state is kept
-    for `delay` only; without one it grows with the number of orders.
+    A batch is compared with the order keys of the batches before it, in the key
+    buckets it touches. So an order counts once however late it comes or is sent
+    again, no stream state grows, and a repeated batch writes the same rows.
     """
     identity = ["user_id", key, "order_id"]
-    if event_time and delay:
-        unique = rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(identity)
-    else:
-        unique = rows.dropDuplicates(identity)
-    return unique.groupBy("user_id", key).agg(F.max(label).alias(label), F.count("*").alias("order_cnt"))
-
 
-def run_counters(messages: DataFrame, kind: str, path: str, checkpoint: str, event_time: str | None = None,
-                 delay: str | None = None, every: str | None = None) -> StreamingQuery:
-    """Stream of user messages to a store of absolute counts (`kind`: product or category)."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        rows = df.groupBy(*identity).agg(F.max(label).alias(label)).withColumn("bucket", bucket_of(identity, buckets)).persist()
+        try:
+            schema = T.StructType([*rows.schema.fields, T.StructField("batch_id", T.IntegerType())])
+            fresh, before = rows, stored(spark, f"{path}/orders", batch_id, schema)
+            if before is not None:
+                touched = [r.bucket for r in rows.select("bucket").distinct().collect()]  # at most `buckets` numbers
+                known = before.where(F.col("bucket").isin(touched)).select(*identity)
+                same = [F.col(f"n.{c}").eqNullSafe(F.col(f"k.{c}")) for c in identity]
+                fresh = rows.alias("n").join(known.alias("k"), same, "left_anti")
+            write_batch(fresh.repartition("bucket"), f"{path}/orders", batch_id, "bucket")
+            new = stored(spark, f"{path}/orders", None, schema).where(F.col("batch_id") == batch_id)
+            gained = new.groupBy("user_id", key).agg(F.max(label).alias(label), F.count("*").alias("order_cnt"))
+            write_batch(gained, f"{path}/counts", batch_id)
+        finally:
+            rows.unpersist()
+    return write
+
+
+def run_counters(messages: DataFrame, kind: str, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Stream of user messages to a store of counts (`kind`: product or category)."""
     explode = {"product": message_products, "category": message_categories}[kind]
-    rows = explode(messages, [event_time] if event_time else [])
-    counts = running_counts(rows, f"{kind}_id", f"{kind}_name", event_time, delay)
-    return start(counts, batch_sink(path), checkpoint, mode="update", every=every)
+    return start(explode(messages), counter_writer(path, f"{kind}_id", f"{kind}_name"), checkpoint, every=every)
 
 
 def read_counters(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    return latest_stored(spark, path, ["user_id", f"{kind}_id"])
+    """Distinct orders per (user, key): the gains of all batches added up."""
+    return spark.read.parquet(f"{path}/counts").groupBy("user_id", f"{kind}_id").agg(
+        F.max(f"{kind}_name").alias(f"{kind}_name"), F.sum("order_cnt").alias("order_cnt"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martworks import schemas
@@ -64,10 +64,6 @@ def order_writer(root: str, users: DataFrame, restaurants: DataFrame, menu: Data
 
 
 def run_orders(messages: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
-               event_time: Column | None = None, delay: str | None = None, every: str | None = None) -> StreamingQuery:
-    """Order stream; with an event time, resends within `delay` are dropped early."""
-    orders = parse_orders(messages)
-    if event_time is not None and delay:
-        orders = orders.withColumn("_at", event_time).withWatermark("_at", delay).dropDuplicatesWithinWatermark(
-            ["object_id", "sent_dttm"]).drop("_at")
-    return start(orders, write, checkpoint, every=every)
+               every: str | None = None) -> StreamingQuery:
+    """Order stream; messages sent again add nothing to the stores, and late ones count."""
+    return start(parse_orders(messages), write, checkpoint, every=every)

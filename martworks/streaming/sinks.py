@@ -4,24 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from martworks.operators.grouping import latest_per_key
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/batch_id={batch_id}")
+def write_batch(df: DataFrame, path: str, batch_id: int, *partition_cols: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_cols).parquet(
+        f"{path}/batch_id={batch_id}")
 
 
 def batch_sink(path: str) -> Callable[[DataFrame, int], None]:
     return lambda df, batch_id: write_batch(df, path, batch_id)
 
 
-def stored(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """All batches on disk, or those before one; None when nothing is there."""
+def stored(spark: SparkSession, path: str, before: int | None = None, schema: T.StructType | None = None) -> DataFrame | None:
+    """All batches on disk, or those before one; None when nothing is there. A schema allows for batches without files."""
+    reader = spark.read.schema(schema) if schema else spark.read
     try:
-        df = spark.read.parquet(path)
+        df = reader.parquet(path)
     except Exception as error:  # nothing written yet
         if "PATH_NOT_FOUND" not in str(error):
             raise

@@ -74,15 +74,28 @@ def test_counters_equal_batch_and_ignore_resends(spark, tmp_path, rows):
     assert rows(user_category_counters(spark.createDataFrame(sent, schemas.USER_MESSAGE)), "user_id", "order_cnt") == [("u", 3), ("v", 1)]
 
 
-def test_counters_with_a_watermark(spark, tmp_path, rows):
-    box = f"{tmp_path}/in"
+def test_late_orders_count_once(spark, tmp_path, rows):
+    box, out = f"{tmp_path}/in", f"{tmp_path}/out"
     ddl = schemas.USER_MESSAGE + ", seen_at timestamp"
-    data = [(*message(o, "u", [1]), t) for o, t in ((1, "2022-01-01 00:00:00"), (1, "2022-01-01 00:05:00"), (2, "2022-01-01 00:06:00"))]
-    frame = spark.createDataFrame(data, schemas.USER_MESSAGE + ", t string")
-    frame.withColumn("seen_at", F.col("t").cast("timestamp")).drop("t").write.parquet(box)
-    stream = spark.readStream.schema(ddl).parquet(box)
-    counters.run_counters(stream, "product", f"{tmp_path}/out", f"{tmp_path}/ck", "seen_at", "1 hour").awaitTermination()
-    assert rows(counters.read_counters(spark, f"{tmp_path}/out", "product"), "order_cnt") == [(2,)]
+    sent = [[(1, "2022-01-01 00:00:00"), (1, "2022-01-01 00:05:00"), (2, "2022-01-01 00:06:00")],
+            [(3, "2022-06-01 00:00:00")], [(4, "2021-01-01 00:00:00"), (1, "2021-01-01 00:00:00")]]
+    for part in sent:
+        frame = spark.createDataFrame([(*message(o, "u", [1]), t) for o, t in part], schemas.USER_MESSAGE + ", t string")
+        frame.withColumn("seen_at", F.col("t").cast("timestamp")).drop("t").coalesce(1).write.mode("append").parquet(box)
+        stream = spark.readStream.schema(ddl).parquet(box)
+        counters.run_counters(stream, "product", out, f"{tmp_path}/ck").awaitTermination()
+    assert rows(counters.read_counters(spark, out, "product"), "order_cnt") == [(4,)]
+
+
+def test_counters_of_a_repeated_batch(spark, tmp_path, rows):
+    write = counters.counter_writer(f"{tmp_path}/out", "product_id", "product_name")
+    batch = lambda *sent: spark.createDataFrame([("u", *r, "name") for r in sent], "user_id string, product_id string, order_id int, product_name string")
+    for number, df in ((0, batch()), (1, batch(("p", 1), ("p", 2), (None, 1))), (2, batch(("p", 2), ("p", 3), (None, 1)))):
+        for _ in range(2):
+            write(df, number)
+    assert rows(counters.read_counters(spark, f"{tmp_path}/out", "product"), "product_id", "order_cnt") == [("p", 3), (None, 1)]
+    plan = stored(spark, f"{tmp_path}/out/orders", 2).where("bucket in (1, 2)")._jdf.queryExecution().toString()
+    assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1]
 
 
 def order(i, status, items, sent="2022-01-01 00:00:00"):
