@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from martworks.llm import language, quality, toxicity
+from martworks.llm import collocations, language, mixing, quality, toxicity
 from martworks.llm.common import fold, table
 from martworks.llm.bpe import encoded
 from martworks.llm.embeddings import near_vectors
@@ -89,3 +89,15 @@ def op9(spark, sf_dir):
     """All conversations, written as mail with nested quotes, linked and freed of the quotes again."""
     return link_quotations(as_mail(table(spark, sf_dir, "conversations"))).withColumn(
         "text_sha256", F.sha2("text", 256)).drop("text")
+
+
+@query("op12_systematic_mix", mixing.SQL)
+def op12(spark, sf_dir):
+    """How often a mix of the sources, 3 : 1 : 2 in turn and half as large again, takes every document."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op13_collocations", collocations.SQL)
+def op13(spark, sf_dir):
+    """The 2000 strongest phrases of every language over all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
