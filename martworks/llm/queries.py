@@ -15,6 +15,7 @@ from martworks.llm.packing import pack
 from martworks.llm.quotes import as_mail, link_quotations
 from martworks.llm.registry import ORACLES, QUERIES, query
 from martworks.llm.repeats import remove_repeats
+from martworks.llm.trie import rebuilt_trie
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -91,6 +92,12 @@ def op9(spark, sf_dir):
         "text_sha256", F.sha2("text", 256)).drop("text")
 
 
+@query("op11_prefix_trie")
+def op11(spark, sf_dir):
+    """Nodes and subtree totals of the prefix trie of all rebuilt conversations."""
+    return rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 @query("op12_systematic_mix", mixing.SQL)
 def op12(spark, sf_dir):
     """How often a mix of the sources, 3 : 1 : 2 in turn and half as large again, takes every document."""
