@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from martworks.catalog.registry import Tables, query, ts_sql
 from martworks.plans import geo_events as g
 from martworks.plans.recommendations import recommendation_mart
-from martworks.plans.user_mart import travels, user_mart
+from martworks.plans.user_mart import travel_steps, travels, user_mart
 from martworks.plans.zone_mart import geo_zone_mart
 
 # Event types of the input taken as chat activity.
@@ -134,6 +134,11 @@ def _(t):
     return travels(g.geo_events(g.channel_messages(chat_events(t, *_wide())), places(t)))
 
 
+@query("travel_steps", _MART + f""" select user_id, row_number() over (partition by user_id order by ts, lat, lon) as no, city, {ts_sql('ts')} as ts from moves""")
+def _(t):
+    return travel_steps(g.geo_events(g.channel_messages(chat_events(t, *_wide())), places(t))).drop("city_id")
+
+
 @query("geo_zone_mart", _LOCATED + """, acts as (
   select city_id, ts, 'message' as kind from msg union all select city_id, ts, 'reaction' from geo where event_type = 'view'
   union all select city_id, ts, 'subscription' from geo where event_type = 'signup'

@@ -71,9 +71,9 @@ def upsert_validity(dim: DataFrame, source: DataFrame, key: str, attrs: list[str
     return upsert(dim, source, [key], attrs, ["active_from"])
 
 
-def scd_validity(history: DataFrame, keys: list[str], ts: str, tie: list[str], slot: str = "month") -> DataFrame:
+def scd_validity(history: DataFrame, keys: list[str], ts: str, tie: list[str]) -> DataFrame:
     """Type 2: each version is valid until the key's next one, the last is open."""
-    seen = neighbour(history, keys, ts, tie, ts, "_next", slot, forward=True)
+    seen = neighbour(history, keys, ts, tie, ts, "_next", forward=True)
     return seen.select(
         *history.columns, F.col(ts).alias("active_from"),
         F.coalesce(F.col("_next").cast("timestamp_ntz"), open_end()).alias("active_to"))

@@ -1,76 +1,59 @@
-"""Ordered windows per key, split by time slot.
-
-A window over a key puts all rows of the key in one task. Here each key is cut
-into slots (hour, day, ...): the window runs within (key, slot), one summary row
-per slot is carried to its neighbours, and only those summaries meet per key.
-"""
+"""Ordered windows per key that a hot key does not gather in one task (see `ranges`)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from martworks.operators.grouping import ordered_list
+from martworks.operators.ranges import Ranges
 
-def _carried(rows: DataFrame, carry: DataFrame, on: list[str]) -> DataFrame:
-    """Left join on columns that may be null: null keys and null times carry like any other value."""
-    other = carry.select(*[F.col(c).alias(f"_c_{c}") for c in on], "_carry")
-    same = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in on]
-    return rows.join(other, same, "left").drop(*[f"_c_{c}" for c in on])
+# rows of one piece of a joined text
+_PIECE = 1000
 
 
-def neighbour(
-    df: DataFrame, keys: list[str], ts: str, tie: list[str], value: str,
-    name: str, slot: str = "day", forward: bool = False,
-) -> DataFrame:
+def neighbour(df: DataFrame, keys: list[str], ts: str, tie: list[str], value: str, name: str, forward: bool = False) -> DataFrame:
     """`lag(value)` per key by (ts, tie), or `lead` when `forward`.
 
     A key's first (last) row gets null. Also adds `<name>_exists`, which tells
     a missing neighbour from a null value.
     """
-    order = [ts, *tie]
-    slotted = df.withColumn("_slot", F.date_trunc(slot, F.col(ts).cast("timestamp")))
-    inside = Window.partitionBy(*keys, "_slot").orderBy(*order)
-    step = F.lead if forward else F.lag
-    packed = F.struct(F.col(value).alias("v"))
-    rows = slotted.withColumn("_in", step(packed).over(inside))
-
-    edge = (F.min if forward else F.max)(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], packed.alias("p")))
-    summary = slotted.groupBy(*keys, "_slot").agg(edge.alias("_edge"))
-    carry = summary.select(
-        *keys, "_slot", step(F.col("_edge.p")).over(Window.partitionBy(*keys).orderBy("_slot")).alias("_carry"))
-    both = _carried(rows, carry, [*keys, "_slot"])
-    got = F.coalesce("_in", "_carry")
-    return both.select(*df.columns, got["v"].alias(name), got.isNotNull().alias(f"{name}_exists"))
-
-
-def changes(df: DataFrame, keys: list[str], ts: str, tie: list[str], value: str, slot: str = "day") -> DataFrame:
+    stepped = Ranges(df, keys, [ts, *tie]).step(F.col(value), forward)
+    return stepped.select(*df.columns, F.col("_step")["v"].alias(name), F.col("_step").isNotNull().alias(f"{name}_exists"))
+
+
+def changes(df: DataFrame, keys: list[str], ts: str, tie: list[str], value: str) -> DataFrame:
     """Rows whose value differs from the key's previous row (null-safe)."""
-    seen = neighbour(df, keys, ts, tie, value, "_prev", slot)
+    seen = neighbour(df, keys, ts, tie, value, "_prev")
     return seen.where(~F.col("_prev_exists") | ~F.col(value).eqNullSafe(F.col("_prev"))).select(*df.columns)
 
 
-def running_max(df: DataFrame, keys: list[str], ts: str, value: str, name: str, slot: str = "day") -> DataFrame:
-    """Running maximum per key by time; rows of equal time share one value."""
-    slotted = df.withColumn("_slot", F.date_trunc(slot, F.col(ts).cast("timestamp")))
-    inside = (Window.partitionBy(*keys, "_slot").orderBy(ts)
-              .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    before = (Window.partitionBy(*keys).orderBy("_slot")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (
-        slotted.groupBy(*keys, "_slot").agg(F.max(value).alias("_top"))
-        .select(*keys, "_slot", F.max("_top").over(before).alias("_carry"))
-    )
-    rows = slotted.withColumn("_in", F.max(value).over(inside))
-    return _carried(rows, carry, [*keys, "_slot"]).select(*df.columns, F.greatest("_in", "_carry").alias(name))
-
-
-def ordered_runs(df: DataFrame, keys: list[str], ts: str, tie: list[str], value: str,
-                 name: str, sep: str = ", ", slot: str = "day") -> DataFrame:
-    """Per key the values in order as one text, joined slot by slot first."""
-    from martworks.operators.grouping import ordered_list
-
-    parts = (
-        df.withColumn("_slot", F.date_trunc(slot, F.col(ts).cast("timestamp")))
-        .groupBy(*keys, "_slot")
-        .agg(ordered_list(value, [ts, *tie], sep).alias("_part"), F.count("*").alias("_n"))
-    )
-    return parts.groupBy(*keys).agg(F.sum("_n").alias(f"{name}_count"), ordered_list("_part", ["_slot"], sep).alias(name))
+def _total(a: Column, b: Column) -> Column:
+    return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
+
+
+def running_max(df: DataFrame, keys: list[str], ts: str, value: str, name: str) -> DataFrame:
+    """Running maximum per key by time; rows of equal time share one value (they lie in one range)."""
+    laid = Ranges(df, keys, [ts])
+    inside = Window.partitionBy("_range", *keys).orderBy(ts).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = laid.before(F.col(value), F.max)
+    return carried.select(*df.columns, F.greatest(F.max(value).over(inside), "_before").alias(name))
+
+
+def running_sum(df: DataFrame, keys: list[str], order: list[str], value: Column, name: str) -> DataFrame:
+    """Sum of the value over the key's rows up to and with this one."""
+    laid = Ranges(df, keys, order)
+    inside = F.sum(value).over(laid.window().rowsBetween(Window.unboundedPreceding, 0))
+    return laid.before(value, F.sum).select(*df.columns, _total(inside, F.col("_before")).alias(name))
+
+
+def numbered(df: DataFrame, keys: list[str], order: list[str], name: str = "no") -> DataFrame:
+    """`row_number` per key in the given order, from 1."""
+    return running_sum(df, keys, order, F.lit(1).cast("long"), name)
+
+
+def ordered_runs(df: DataFrame, keys: list[str], ts: str, tie: list[str], value: str, name: str, sep: str = ", ") -> DataFrame:
+    """Per key the values in order as one text; made of pieces of bounded length, which only the last step joins."""
+    rows = numbered(df, keys, [ts, *tie], "_no")
+    parts = rows.groupBy(*keys, F.floor((F.col("_no") - 1) / _PIECE).alias("_piece")).agg(
+        ordered_list(value, ["_no"], sep).alias("_part"), F.count("*").alias("_n"))
+    return parts.groupBy(*keys).agg(F.sum("_n").alias(f"{name}_count"), ordered_list("_part", ["_piece"], sep).alias(name))

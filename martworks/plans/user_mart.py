@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from martworks.functions.time import local_time
-from martworks.operators.sequences import changes, neighbour, ordered_runs
+from martworks.operators.sequences import changes, neighbour, numbered, ordered_runs
 from martworks.plans.geo_events import channel_messages, city_timezones, geo_events
 
 TIE = ["lat", "lon"]
@@ -28,16 +28,27 @@ def home_by_stay(located: DataFrame, run_date: str, min_stay_days: int) -> DataF
     run date.
     """
     moves = changes(located, ["user_id"], "ts", TIE, "city_id")
-    ends = neighbour(moves, ["user_id"], "ts", TIE, "date", "left_on", slot="month", forward=True)
+    ends = neighbour(moves, ["user_id"], "ts", TIE, "date", "left_on", forward=True)
     stay = F.datediff(F.coalesce("left_on", F.lit(run_date).cast("date")), F.col("date"))
     return ends.where(stay >= min_stay_days).groupBy("user_id").agg(
         F.max(F.struct("ts", *TIE, "city")).alias("h")).select("user_id", F.col("h.city").alias("home_city"))
 
 
-def travels(located: DataFrame, slot: str = "day") -> DataFrame:
-    """Number and ordered list of the cities a user moved through."""
-    moves = changes(located.select("user_id", "ts", *TIE, "city", "city_id"), ["user_id"], "ts", TIE, "city_id", slot)
-    return ordered_runs(moves, ["user_id"], "ts", TIE, "city", "travel_array", slot="month").withColumnRenamed(
+def _moves(located: DataFrame) -> DataFrame:
+    return changes(located.select("user_id", "ts", *TIE, "city", "city_id"), ["user_id"], "ts", TIE, "city_id")
+
+
+def travel_steps(located: DataFrame) -> DataFrame:
+    """The cities a user moved through, one row each: user_id, no (from 1), city, city_id, ts.
+
+    The form for users with very many moves: no row grows with their number.
+    """
+    return numbered(_moves(located), ["user_id"], ["ts", *TIE]).select("user_id", "no", "city", "city_id", "ts")
+
+
+def travels(located: DataFrame) -> DataFrame:
+    """Number and ordered list of the cities a user moved through, as one text per user."""
+    return ordered_runs(_moves(located), ["user_id"], "ts", TIE, "city", "travel_array").withColumnRenamed(
         "travel_array_count", "travel_count")
 
 

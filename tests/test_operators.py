@@ -35,19 +35,43 @@ def test_latest_per_key_breaks_ties_by_log_id(spark, rows):
     assert rows(grouping.first_per_key(df, ["k"], ["t", "id"])) == [(1, 5, 1, "a"), (2, 1, 3, "c")]
 
 
-def test_neighbour_over_slots_equals_lag(spark):
+def test_neighbour_over_ranges_equals_lag(spark):
     df = spark.range(400).select(
         "id", F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 5).alias("u"),
         (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(hours=(F.col("id") * 37 % 300).cast("int"))).cast("timestamp_ntz").alias("ts"),
         F.when(F.col("id") % 4 == 0, None).otherwise(F.col("id") % 2).alias("v"))
     w = Window.partitionBy("u").orderBy("ts", "id")
     for forward, fn in ((False, F.lag), (True, F.lead)):
-        got = sequences.neighbour(df, ["u"], "ts", ["id"], "v", "n", "day", forward).withColumn("w", fn("v").over(w))
+        got = sequences.neighbour(df, ["u"], "ts", ["id"], "v", "n", forward).withColumn("w", fn("v").over(w))
         assert got.where("not (n <=> w)").count() == 0 and got.count() == 400
     top = sequences.running_max(df, ["u"], "ts", "id", "m").withColumn("w", F.max("id").over(Window.partitionBy("u").orderBy("ts")))
     assert top.where("m <> w").count() == 0
 
 
+def test_one_key_with_all_rows_spreads_over_the_ranges(spark, rows):
+    from martworks.operators.ranges import Ranges
+    df = spark.range(5000).select(F.lit("k").alias("u"), (F.col("id") * 7919 % 5000).alias("t"), (F.col("id") * 31 % 977).alias("v"))
+    laid = Ranges(df, ["u"], ["t"])
+    sizes = [r["count"] for r in laid.rows.groupBy("_range").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2500
+    w = Window.partitionBy("u").orderBy("t")
+    for got, want in (
+            (sequences.neighbour(df, ["u"], "t", [], "v", "n"), F.lag("v").over(w)),
+            (sequences.running_max(df, ["u"], "t", "v", "n"), F.max("v").over(w)),
+            (sequences.running_sum(df, ["u"], ["t"], F.col("v"), "n"), F.sum("v").over(w)),
+            (sequences.numbered(df, ["u"], ["t"], "n"), F.row_number().over(w))):
+        assert rows(got, "t", "n") == rows(df.select("t", want.alias("n")))
+
+
+def test_ranges_of_few_rows_and_none(spark, rows):
+    df = spark.createDataFrame([(None, 1, "x"), (None, 2, None), ("a", None, "y")], "u string, t int, v string")
+    assert rows(sequences.neighbour(df, ["u"], "t", [], "v", "n"), "u", "t", "n", "n_exists") == [
+        ("a", None, None, False), (None, 1, None, False), (None, 2, "x", True)]
+    for few in (df.where("false"), df.where("t = 1")):
+        assert sequences.neighbour(few, ["u"], "t", [], "v", "n", True).count() == few.count()
+        assert sequences.running_max(few, ["u"], "t", "v", "n").count() == few.count()
+
+
 def test_changes_keep_a_return_to_the_first_city(spark, rows):
     df = spark.createDataFrame([(1, "2024-01-01", "A"), (1, "2024-01-02", "A"), (1, "2024-01-03", "B"), (1, "2024-01-05", "A")],
                                "u int, d string, city string").withColumn("ts", F.col("d").cast("timestamp_ntz"))
