@@ -24,8 +24,8 @@ from martworks.llm.common import staged, text_or_empty
 from martworks.session import work_partitions
 
 DEPTH = 5
-# words that a group is planned for, words of one batch, bytes of one step
-GROUP_WORDS, BATCH_WORDS, STEP_BYTES = 1_000_000, 3_000_000, 1 << 20
+# words that a group is planned for, words counted and words dealt at once, bytes of one step
+GROUP_WORDS, COUNT_WORDS, DEAL_WORDS, STEP_BYTES = 1_000_000, 2_000_000, 1_200_000, 1 << 20
 # fixed sizes of what tasks are told: bits that mark frequent words, and heavy prefixes of 2, 3 and 4 words
 WORD_BITS, CELL_BITS = 23, 20
 
@@ -159,7 +159,7 @@ def _count_words(share: float):
                     alive = w.joined[:len(key)] if k == 0 else alive[:-1] & w.joined[k:k + len(key)]
                     cells[k] += np.bincount(_cell(key[alive]), minlength=1 << CELL_BITS)
                 seen += len(w.hashes)
-                if seen >= BATCH_WORDS:
+                if seen >= COUNT_WORDS:
                     yield from flush(found, cells, seen)
                     found, seen, cells = [], 0, None
         if seen:
@@ -186,11 +186,12 @@ def _pack(codes: np.ndarray, largest: int) -> list[np.ndarray]:
     return keys
 
 
-def _runs(keys: list[np.ndarray]) -> np.ndarray:
-    """Starts of equal neighbours."""
-    new = np.zeros(len(keys[0]), bool)
+def _runs(keys: list[np.ndarray], order: np.ndarray) -> np.ndarray:
+    """Starts of equal neighbours in the given order."""
+    new = np.zeros(len(order), bool)
     new[0] = True
     for key in keys:
+        key = key[order]
         new[1:] |= key[1:] != key[:-1]
     return np.flatnonzero(new)
 
@@ -225,14 +226,15 @@ def _deal_suffixes(frequent: np.ndarray, heavy: list[np.ndarray], groups: int):
                 if k < DEPTH - 1:
                     held &= alive & _marked(heavy[k - 1], _cell(key))
         grp = ((dealt >> U(8)) % U(groups)).astype(np.int64)
+        del key, dealt, held, alive, inverse
         keys = [grp, *_pack(codes, len(once) + 1)]
         order = np.lexsort(keys[::-1])
-        keys = [k[order] for k in keys]
-        start = _runs(keys)
+        start = _runs(keys, order)
         count = np.diff(np.append(start, len(order))).astype(np.uint32)
-        codes, grp = codes[:, order[start]], keys[0][start]
-        edge = np.append(_runs([grp]), len(grp))
-        pressed = zstandard.ZstdCompressor(level=1)
+        codes, grp = codes[:, order[start]], grp[order[start]]
+        del keys, order
+        edge = np.append(_runs([grp], np.arange(len(grp))), len(grp))
+        pressed = zstandard.ZstdCompressor(level=3)
         bodies = []
         for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
             own, local = np.unique(codes[:, a:b], return_inverse=True)
@@ -251,7 +253,7 @@ def _deal_suffixes(frequent: np.ndarray, heavy: list[np.ndarray], groups: int):
             for _, w in words_of(batch):
                 parts.append((w.hashes, w.joined))
                 seen += len(w.hashes)
-                if seen >= BATCH_WORDS:
+                if seen >= DEAL_WORDS:
                     yield from flush(*(np.concatenate(p) for p in zip(*parts)))
                     parts, seen = [], 0
         if parts:
@@ -317,7 +319,7 @@ def phrase_counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, Da
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), text_or_empty().alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = max(4 * work_partitions(spark), -(-size // (6 * GROUP_WORDS)))
+    groups = max(2 * work_partitions(spark), -(-size // (6 * GROUP_WORDS)))
     counted = staged(
         texts.mapInArrow(_count_words(1 / groups), "kind int, lang string, word binary, h long, n long")
         .groupBy("kind", "lang", "word", "h").agg(F.sum("n").alias("n")).where(F.col("n") >= F.when(F.col("kind") == 1, least).otherwise(0)))
