@@ -1,11 +1,13 @@
 """Collocations: phrases of two to five words that meet more often than their parts would by chance.
 
-Counting follows vertical partitioning of a suffix tree. Every occurrence of a
-frequent word begins a suffix, cut off after five words. Suffixes are grouped by
-their first words: two of them, and more where a prefix has more suffixes than a
-group may hold. A group is sorted on its own; neighbouring suffixes that agree
-in their first k words form a node of depth k, and its count is the total of
-its leaves. Suffixes of one batch that agree wholly travel as one with a count.
+Counting follows vertical partitioning of a suffix tree. A first scan counts
+prefixes of one word, a second one those of two words; prefixes too rare for any
+phrase are dropped. Every other prefix begins suffixes, cut off after five words
+or before the first rare pair. A third scan deals them to groups by their first
+words: two of them, and more where a prefix has more suffixes than a group may
+hold. A group is sorted on its own; neighbouring suffixes that agree in their
+first k words form a node of depth k, and its count is the total of its leaves.
+Suffixes of one batch that agree wholly travel as one with a count.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ from martworks.session import work_partitions
 DEPTH = 5
 # words that a group is planned for, words counted and words dealt at once, bytes of one step
 GROUP_WORDS, COUNT_WORDS, DEAL_WORDS, STEP_BYTES = 1_000_000, 2_000_000, 1_200_000, 1 << 20
-# fixed sizes of what tasks are told: bits that mark frequent words, and heavy prefixes of 2, 3 and 4 words
-WORD_BITS, CELL_BITS = 23, 20
+# fixed sizes of what tasks are told: bits that mark frequent words, frequent pairs, and heavy prefixes of 2, 3 and 4 words
+WORD_BITS, PAIR_BITS, CELL_BITS = 23, 25, 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -196,15 +198,87 @@ def _runs(keys: list[np.ndarray], order: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _deal_suffixes(frequent: np.ndarray, heavy: list[np.ndarray], groups: int):
-    """Truncated suffixes of a batch, sorted, counted and packed per group."""
-    schema = pa.schema([("grp", pa.int64()), ("body", pa.binary())])
+def _kept_words(frequent: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    return _marked(frequent, (hashes >> U(64 - WORD_BITS)).astype(np.int64))
+
+
+def _pair_cell(pair: np.ndarray) -> np.ndarray:
+    return (pair & U((1 << PAIR_BITS) - 1)).astype(np.int64)
+
+
+def _in_batches(flush, size: int):
+    """Runs `flush(hashes, joined)` over the words of about `size` at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, seen = [], 0
+        for batch in batches:
+            for _, w in words_of(batch):
+                parts.append((w.hashes, w.joined))
+                seen += len(w.hashes)
+                if seen >= size:
+                    yield from flush(*(np.concatenate(p) for p in zip(*parts)))
+                    parts, seen = [], 0
+        if parts:
+            yield from flush(*(np.concatenate(p) for p in zip(*parts)))
+
+    return run
+
+
+_BODIES = pa.schema([("grp", pa.int64()), ("body", pa.binary())])
+
+
+def _count_pairs(frequent: np.ndarray, groups: int):
+    """Pairs of frequent words of a batch, packed per group as half a hash and a count of at most 255."""
+    def flush(hashes: np.ndarray, joined: np.ndarray):
+        keep = _kept_words(frequent, hashes)
+        at = np.flatnonzero(joined[:-1] & keep[:-1] & keep[1:])
+        if not len(at):
+            return
+        pair = _fold(hashes[at], hashes[at + 1])
+        # sorted by group, then by the lower half
+        grp, half = (pair >> U(32)) % U(groups), pair & U(0xFFFFFFFF)
+        once, count = np.unique((grp << U(32)) | half, return_counts=True)
+        grp = (once >> U(32)).astype(np.int64)
+        edge = np.append(np.flatnonzero(np.append(True, grp[1:] != grp[:-1])), len(grp))
+        low, count = once.astype(np.uint32), np.minimum(count, 255).astype(np.uint8)
+        pressed = zstandard.ZstdCompressor(level=1)
+        bodies = []
+        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            # steps between sorted halves, by place of their bytes: the upper ones are mostly nought
+            step = np.diff(low[a:b], prepend=np.uint32(0)).astype("<u4")
+            planes = np.ascontiguousarray(step.view(np.uint8).reshape(-1, 4).T)
+            bodies.append(pressed.compress(struct.pack("<I", b - a) + planes.tobytes() + count[a:b].tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array(grp[edge[:-1]]), pa.array(bodies, pa.binary())], schema=_BODIES)
+
+    return _in_batches(flush, DEAL_WORDS)
+
+
+def _frequent_pairs(least: int):
+    """Cells of the pairs of a group that occur `least` times at least; pairs that share half a hash add up, so none is missed."""
+    def run(group: pa.Table) -> pa.Table:
+        halves, counts = [], []
+        for body in group.column("body").to_pylist():
+            raw = zstandard.ZstdDecompressor().decompress(body)
+            n = struct.unpack_from("<I", raw)[0]
+            planes = np.frombuffer(raw, np.uint8, 4 * n, 4).reshape(4, n)
+            halves.append(np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32))
+            counts.append(np.frombuffer(raw, np.uint8, n, 4 + 4 * n))
+        half, count = np.concatenate(halves), np.concatenate(counts)
+        order = np.argsort(half, kind="stable")
+        half, count = half[order], count[order].astype(np.int64)
+        start = np.flatnonzero(np.append(True, half[1:] != half[:-1]))
+        often = half[start][np.add.reduceat(count, start) >= min(least, 255)]
+        return pa.table({"cell": pa.array(np.unique(_pair_cell(often.astype(np.uint64))), pa.int64())})
+
+    return run
 
+
+def _deal_suffixes(frequent: np.ndarray, pairs: np.ndarray, heavy: list[np.ndarray], groups: int):
+    """Truncated suffixes of a batch, sorted, counted and packed per group."""
     def flush(hashes: np.ndarray, joined: np.ndarray):
-        keep = _marked(frequent, (hashes >> U(64 - WORD_BITS)).astype(np.int64))
+        keep = _kept_words(frequent, hashes)
         on = np.zeros(len(hashes), bool)
-        on[:-1] = joined[:-1] & keep[1:]
-        at = np.flatnonzero(keep & on)
+        on[:-1] = joined[:-1] & keep[:-1] & keep[1:] & _marked(pairs, _pair_cell(_fold(hashes[:-1], hashes[1:])))
+        at = np.flatnonzero(on)
         if not len(at):
             return
         once, inverse = np.unique(hashes[keep], return_inverse=True)
@@ -245,21 +319,9 @@ def _deal_suffixes(frequent: np.ndarray, heavy: list[np.ndarray], groups: int):
             small = local.astype("<u2" if len(own) < 65536 else "<u4")
             bodies.append(pressed.compress(b"".join([
                 struct.pack("<II", len(own), b - a), once[own - 1].astype("<u8").tobytes(), small.tobytes(), count[a:b].astype("<u4").tobytes()])))
-        yield pa.RecordBatch.from_arrays([pa.array(grp[edge[:-1]]), pa.array(bodies, pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(grp[edge[:-1]]), pa.array(bodies, pa.binary())], schema=_BODIES)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, seen = [], 0
-        for batch in batches:
-            for _, w in words_of(batch):
-                parts.append((w.hashes, w.joined))
-                seen += len(w.hashes)
-                if seen >= DEAL_WORDS:
-                    yield from flush(*(np.concatenate(p) for p in zip(*parts)))
-                    parts, seen = [], 0
-        if parts:
-            yield from flush(*(np.concatenate(p) for p in zip(*parts)))
-
-    return run
+    return _in_batches(flush, DEAL_WORDS)
 
 
 def _unpack(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -311,9 +373,9 @@ def phrase_counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, Da
     """(words, phrases, langs): the words and phrases of up to five words with `least` occurrences and more.
 
     words: lang, word (bytes), h (64-bit hash of both); phrases: words (hashes),
-    n; langs: lang, n (all word occurrences). Words below `least` can be in no
-    phrase of that count, so they cut the suffixes; the bit table that tells
-    them apart has a fixed size, and where it errs a rare word stays and is
+    n; langs: lang, n (all word occurrences). Words and pairs below `least` can
+    be in no phrase of that count, so they cut the suffixes; the bit tables that
+    tell them apart have a fixed size, and where they err a rare pair stays and is
     counted like any other.
     """
     spark = docs.sparkSession
@@ -328,7 +390,10 @@ def phrase_counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame, Da
     total = langs.agg(F.sum("n")).first()[0] or 0
     heavy = [_bits(counted.where((F.col("kind") == k) & (F.col("n") > total / groups)).select(F.col("h").alias("cell")), CELL_BITS)
              for k in range(2, DEPTH)]
-    suffixes = texts.mapInArrow(_deal_suffixes(frequent, heavy, groups), "grp long, body binary")
+    often = texts.mapInArrow(_count_pairs(frequent, groups), "grp long, body binary").groupBy("grp").applyInArrow(
+        _frequent_pairs(least), "cell long")
+    pairs = _bits(staged(often), PAIR_BITS)
+    suffixes = texts.mapInArrow(_deal_suffixes(frequent, pairs, heavy, groups), "grp long, body binary")
     nodes = suffixes.groupBy("grp").applyInArrow(_subtrees(heavy, least), "words array<long>, n long")
     phrases = nodes.groupBy("words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     both = phrases.unionByName(words.select(F.array("h").alias("words"), "n"))
