@@ -8,7 +8,6 @@ from martworks.functions.keys import hash_key, hashdiff
 from martworks.operators.filters import with_load_meta
 from martworks.operators.grouping import dedupe, latest_per_key
 from martworks.operators.joins import rows_absent, with_keys
-from martworks.operators.sequences import changes
 
 
 def load_hub(src: DataFrame, pk: str, business_key: str, existing: DataFrame | None, source: str, load_dt: str,
@@ -67,26 +66,19 @@ def load_satellite(src: DataFrame, key: str, attrs: list[str], existing: DataFra
     return with_load_meta(rows, source, load_dt)
 
 
-def load_versions(src: DataFrame, key: str, attrs: list[str], existing: DataFrame | None, source: str, at: str,
-                  diff: str = "hashdiff", business_key: tuple[str, Column] | None = None) -> DataFrame:
-    """Every changed version of a satellite, with the time in column `at` as its load time.
+def version_rows(src: DataFrame, key: str, attrs: list[str], source: str, at: str, diff: str = "hashdiff",
+                 business_key: tuple[str, Column] | None = None) -> DataFrame:
+    """Every version of a satellite that a message tells of, with the time in column `at` as its load time.
 
-    A version is kept if it differs from the one before it by (time, hashdiff),
-    stored or in the batch. So the rows do not depend on how messages are dealt to
-    batches, as long as those of a key come in the order of their times; resent
-    messages add nothing. An unreadable time is null and comes first.
+    Which of them are changes is for the history to say, which knows the others
+    of the key (`HistoryStore`). An unreadable time is null and comes first.
     """
     by = business_key[0] if business_key else key
     hub_key = business_key[1] if business_key else F.col(key)
     when = F.try_to_timestamp(F.col(at).cast("string")).cast("timestamp_ntz").alias("load_dt")
     rows = with_keys(src.select(by, *attrs, when), by).distinct().select(hub_key.alias(key), *attrs, "load_dt")
-    rows = rows.withColumn(diff, hashdiff(F.col(key), *[F.col(a) for a in attrs])).withColumn("_new", F.lit(True))
-    if existing is not None:
-        before = existing.join(rows.select(key).distinct(), key, "left_semi").select(
-            key, *attrs, "load_dt", diff, F.lit(False).alias("_new"))
-        rows = rows.unionByName(before).groupBy(key, *attrs, "load_dt", diff).agg(F.min("_new").alias("_new"))
-    kept = changes(rows, [key], "load_dt", [diff], diff).where("_new")
-    return kept.select(key, *attrs, diff, "load_dt", F.lit(source).alias("load_src"))
+    return rows.withColumn(diff, hashdiff(F.col(key), *[F.col(a) for a in attrs])).select(
+        key, *attrs, diff, "load_dt", F.lit(source).alias("load_src"))
 
 
 def current_satellite(sat: DataFrame, key: str) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martworks.functions.arrays import array_pluck, explode_items, zip_arrays
-from martworks.functions.keys import uuid3
+from martworks.functions.keys import hash_key, uuid3
+from martworks.operators.filters import union_all
 from martworks.operators.joins import enrich_items
-from martworks.operators.upsert import upsert_counter
-from martworks.operators.vault import load_hub, load_link, load_satellite, load_versions
+from martworks.operators.vault import load_hub, load_link, load_satellite, version_rows
 
 SOURCE = "stg-order-service"
 
@@ -89,49 +91,132 @@ def _hub_key(entity: str):
     return uuid3(F.col(_BUSINESS_KEY[entity]))
 
 
-def vault_batch(enriched: DataFrame, dds: dict[str, DataFrame], load_dt: str, at: str | None = None) -> dict[str, DataFrame]:
-    """New rows of 5 hubs, 4 links and 5 satellites of a batch of orders.
+_LINKS = {
+    "l_order_product": ("order", "product"), "l_product_category": ("product", "category"),
+    "l_order_user": ("order", "user"), "l_product_restaurant": ("product", "restaurant"),
+}
+_SATELLITES = {
+    "s_order_cost": ("order", ["cost", "payment"]), "s_order_status": ("order", ["status"]), "s_product_names": ("product", ["name"]),
+    "s_restaurant_names": ("restaurant", ["name"]), "s_user_names": ("user", ["username", "userlogin"]),
+}
+_HUBS = ["order", "user", "restaurant", "product", "category"]
+_OF_ITEMS = {"product", "category"}
 
-    With `at`, the column with the time of a message, satellites keep every
-    changed version under that time; without it the latest of the batch under `load_dt`.
-    """
-    orders = _flat_orders(enriched, [at] if at else [])
-    items = _flat_items(orders, [at] if at else [])
-    hubs = {"order": (orders, ["order_dt"]), "user": (orders, []), "restaurant": (orders, []), "product": (items, []), "category": (items, [])}
-    links = {
-        "l_order_product": (items, "order", "product"),
-        "l_product_category": (items, "product", "category"),
-        "l_order_user": (orders, "order", "user"),
-        "l_product_restaurant": (items, "product", "restaurant"),
-    }
-    satellites = {
-        "s_order_cost": (orders, "order", ["cost", "payment"]),
-        "s_order_status": (orders, "order", ["status"]),
-        "s_product_names": (items.withColumnRenamed("product_name", "name"), "product", ["name"]),
-        "s_restaurant_names": (orders.withColumnRenamed("restaurant_name", "name"), "restaurant", ["name"]),
-        "s_user_names": (orders, "user", ["username", "userlogin"]),
-    }
+
+def _sources(enriched: DataFrame, at: list[str]) -> Callable[[str], DataFrame]:
+    """table name -> the rows it is loaded from, with the names of its attributes."""
+    orders = _flat_orders(enriched, at)
+    items = _flat_items(orders, at)
+
+    def rows(table: str) -> DataFrame:
+        entities = {table[2:]} if table[0] == "h" else set(_LINKS[table]) if table[0] == "l" else {_SATELLITES[table][0]}
+        src = items if entities & _OF_ITEMS else orders
+        named = {"s_product_names": "product_name", "s_restaurant_names": "restaurant_name"}
+        return src.withColumnRenamed(named[table], "name") if table in named else src
+
+    return rows
+
+
+def vault_batch(enriched: DataFrame, dds: dict[str, DataFrame], load_dt: str) -> dict[str, DataFrame]:
+    """New rows of 5 hubs, 4 links and 5 satellites of a batch of orders; of a key the latest version in the batch counts."""
+    src = _sources(enriched, [])
     out = {}
-    for entity, (src, extra) in hubs.items():
-        out[f"h_{entity}"] = load_hub(src, f"h_{entity}_pk", _BUSINESS_KEY[entity], dds.get(f"h_{entity}"), SOURCE, load_dt, extra,
-                                      key=_hub_key(entity))
-    for table, (src, a, b) in links.items():
+    for entity in _HUBS:
+        hub = f"h_{entity}"
+        out[hub] = load_hub(src(hub), f"{hub}_pk", _BUSINESS_KEY[entity], dds.get(hub), SOURCE, load_dt,
+                            ["order_dt"] if entity == "order" else [], key=_hub_key(entity))
+    for table, (a, b) in _LINKS.items():
         members = {f"h_{a}_pk": _hub_key(a), f"h_{b}_pk": _hub_key(b)}
         out[table] = load_link(
-            src.select(_BUSINESS_KEY[a], _BUSINESS_KEY[b]), f"hk_{table[2:]}_pk", members, dds.get(table), SOURCE, load_dt,
+            src(table).select(_BUSINESS_KEY[a], _BUSINESS_KEY[b]), f"hk_{table[2:]}_pk", members, dds.get(table), SOURCE, load_dt,
             key=uuid3(F.concat(*members)))
-    for table, (src, entity, attrs) in satellites.items():
-        if at:
-            out[table] = load_versions(src, f"h_{entity}_pk", attrs, dds.get(table), SOURCE, at,
-                                       f"hk_{table[2:]}_hashdiff", (_BUSINESS_KEY[entity], _hub_key(entity)))
-            continue
-        # the latest version in the batch counts: later orders name it
+    for table, (entity, attrs) in _SATELLITES.items():
+        # later orders name it
         out[table] = load_satellite(
-            src, f"h_{entity}_pk", attrs, dds.get(table), SOURCE, load_dt, ["order_dt", *attrs],
+            src(table), f"h_{entity}_pk", attrs, dds.get(table), SOURCE, load_dt, ["order_dt", *attrs],
             diff=f"hk_{table[2:]}_hashdiff", business_key=(_BUSINESS_KEY[entity], _hub_key(entity)))
     return out
 
 
+def vault_rows(enriched: DataFrame, load_dt: str, at: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(hubs, links, versions) of a batch of messages, each kind of table in one layout with its name in `tbl`.
+
+    hubs: tbl, pk, business_key, order_dt, load_dt, load_src; links: tbl, pk, a, b,
+    load_dt, load_src; versions: tbl, pk, a0, a1, hashdiff, load_dt (the time in
+    column `at` of the message), load_src. Nothing is compared with what is stored.
+    """
+    src, new = _sources(enriched, [at]), vault_batch(enriched, {}, load_dt)
+    hubs, links, versions = [], [], []
+    for entity in _HUBS:
+        hub = new[f"h_{entity}"]
+        first = F.col("order_dt") if entity == "order" else F.lit(None).cast("timestamp_ntz")
+        hubs.append(hub.select(
+            F.lit(f"h_{entity}").alias("tbl"), F.col(f"h_{entity}_pk").alias("pk"), F.col(_BUSINESS_KEY[entity]).cast("string").alias("business_key"),
+            first.alias("order_dt"), "load_dt", "load_src"))
+    for table, (a, b) in _LINKS.items():
+        links.append(new[table].select(
+            F.lit(table).alias("tbl"), F.col(f"hk_{table[2:]}_pk").alias("pk"), F.col(f"h_{a}_pk").alias("a"), F.col(f"h_{b}_pk").alias("b"),
+            "load_dt", "load_src"))
+    for table, (entity, attrs) in _SATELLITES.items():
+        rows = version_rows(src(table), "pk", attrs, SOURCE, at, "hashdiff", (_BUSINESS_KEY[entity], _hub_key(entity)))
+        values = [F.col(a).cast("string") for a in attrs] + [F.lit(None).cast("string")] * (2 - len(attrs))
+        versions.append(rows.select(
+            F.lit(table).alias("tbl"), "pk", *[v.alias(f"a{i}") for i, v in enumerate(values)], "hashdiff", "load_dt", "load_src"))
+    return union_all(hubs), union_all(links), union_all(versions)
+
+
+_TYPES = {"order_id": "bigint", "cost": "decimal(19,5)", "payment": "decimal(19,5)"}
+
+
+def vault_table(rows: DataFrame, table: str) -> DataFrame:
+    """The rows of one table in the layout of `vault_rows` under the names and types of `vault_batch`."""
+    own = rows.where(F.col("tbl") == table)
+
+    def named(old: str, name: str) -> Column:
+        return F.col(old).cast(_TYPES.get(name, "string")).alias(name)
+
+    if table[0] == "h":
+        entity = table[2:]
+        extra = ["order_dt"] if entity == "order" else []
+        return own.select(F.col("pk").alias(f"{table}_pk"), named("business_key", _BUSINESS_KEY[entity]), *extra, "load_dt", "load_src")
+    if table[0] == "l":
+        a, b = _LINKS[table]
+        return own.select(F.col("pk").alias(f"hk_{table[2:]}_pk"), F.col("a").alias(f"h_{a}_pk"), F.col("b").alias(f"h_{b}_pk"), "load_dt", "load_src")
+    entity, attrs = _SATELLITES[table]
+    return own.select(F.col("pk").alias(f"h_{entity}_pk"), *[named(f"a{i}", a) for i, a in enumerate(attrs)],
+                      F.col("hashdiff").alias(f"hk_{table[2:]}_hashdiff"), "load_dt", "load_src")
+
+
+def missing_keys(unknown: DataFrame) -> Column:
+    """What an enriched order lacks, as an array of (kind, key): user and restaurant by id, an item by the hash of restaurant and item."""
+    p = F.col("payload")
+    lacking = F.filter(p["products"], lambda i: i["name"].isNull() | i["category"].isNull())
+    named = lambda kind, key: F.struct(F.lit(kind).alias("kind"), key.alias("key"))
+    one = lambda kind, key: F.when(F.array_contains("reasons", kind), F.array(named(kind, key)))
+    parts = [one("user", p["user"]["id"]), one("restaurant", p["restaurant"]["id"]),
+             F.transform(lacking, lambda i: named("item", hash_key(p["restaurant"]["id"], i["id"])))]
+    none = F.array().cast("array<struct<kind:string,key:string>>")
+    return F.array_distinct(F.concat(*[F.coalesce(x, none) for x in parts]))
+
+
+def dimension_keys(users: DataFrame, restaurants: DataFrame, menu: DataFrame) -> DataFrame:
+    """(kind, key) of dimension rows, as `missing_keys` names them."""
+    return union_all([
+        users.select(F.lit("user").alias("kind"), F.col("id").alias("key")),
+        restaurants.select(F.lit("restaurant").alias("kind"), F.col("id").alias("key")),
+        menu.select(F.lit("item").alias("kind"), hash_key(F.col("restaurant_id"), F.col("id")).alias("key"))]).where(
+        "key is not null").distinct()
+
+
+def as_message(enriched: DataFrame) -> Column:
+    """The payload of an enriched order as it came, without names."""
+    p = F.col("payload")
+    return F.to_json(F.struct(
+        p["date"].alias("date"), p["cost"].alias("cost"), p["payment"].alias("payment"), p["status"].alias("final_status"),
+        F.struct(p["restaurant"]["id"].alias("id")).alias("restaurant"), F.struct(p["user"]["id"].alias("id")).alias("user"),
+        F.transform(p["products"], lambda i: F.struct(i["id"].alias("id"), i["price"].alias("price"), i["quantity"].alias("quantity"))).alias("order_items")))
+
+
 def user_message(enriched: DataFrame) -> DataFrame:
     """Per order the keys and names of its products and categories, as parallel arrays."""
     products = F.col("payload.products")
@@ -167,7 +252,3 @@ def user_product_counters(messages: DataFrame) -> DataFrame:
 
 def user_category_counters(messages: DataFrame) -> DataFrame:
     return order_counters(message_categories(messages), "category_id", "category_name")
-
-
-def merge_counters(state: DataFrame, batch: DataFrame, key: str, label: str) -> DataFrame:
-    return upsert_counter(state, batch, ["user_id", key], "order_cnt", [label])

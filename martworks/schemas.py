@@ -43,10 +43,10 @@ DOC_DELIVERY = (
     "order_id string, order_ts timestamp_ntz, delivery_id string, courier_id string, address string,"
     " delivery_ts timestamp_ntz, sum decimal(14,2), tip_sum decimal(14,2), rate smallint")
 
-ORDER_MESSAGE = (
-    "object_id bigint, object_type string, sent_dttm string, payload struct<date: string, cost: decimal(19,5),"
-    " payment: decimal(19,5), final_status: string, restaurant: struct<id: string>, user: struct<id: string>,"
-    " order_items: array<struct<id: string, name: string, price: decimal(19,5), quantity: int>>>")
+ORDER_PAYLOAD = (
+    "date string, cost decimal(19,5), payment decimal(19,5), final_status string, restaurant struct<id: string>,"
+    " user struct<id: string>, order_items array<struct<id: string, name: string, price: decimal(19,5), quantity: int>>")
+ORDER_MESSAGE = f"object_id bigint, object_type string, sent_dttm string, payload struct<{ORDER_PAYLOAD}>"
 ENRICHED_ORDER = (
     "object_id bigint, object_type string, payload struct<id: bigint, date: string, cost: decimal(19,5),"
     " payment: decimal(19,5), status: string, restaurant: struct<id: string, name: string>,"

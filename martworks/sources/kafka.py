@@ -29,6 +29,15 @@ def topic_value(df: DataFrame, columns: list[str | Column]) -> DataFrame:
     return df.withColumn("value", F.to_json(F.struct(*columns)))
 
 
-def to_topic(df: DataFrame, columns: list[str | Column], topic: str, options: dict[str, str]) -> None:
+def topic_rows(df: DataFrame, columns: list[str | Column], batch_id: int | None = None) -> DataFrame:
+    """What is written to a topic: `value`, and the number of the batch as a header, by which readers drop repeated batches."""
+    rows = topic_value(df, columns)
+    if batch_id is None:
+        return rows.select("value")
+    header = F.struct(F.lit("batch_id").alias("key"), F.lit(str(int(batch_id))).cast("binary").alias("value"))
+    return rows.select("value", F.array(header).alias("headers"))
+
+
+def to_topic(df: DataFrame, columns: list[str | Column], topic: str, options: dict[str, str], batch_id: int | None = None) -> None:
     """Write a batch to a topic."""
-    topic_value(df, columns).select("value").write.format("kafka").options(**options).option("topic", topic).save()
+    topic_rows(df, columns, batch_id).write.format("kafka").options(**options).option("topic", topic).save()

@@ -8,38 +8,48 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from martworks.plans.order_vault import message_categories, message_products
-from martworks.sources.sinks import bucket_of
-from martworks.streaming.sinks import start, stored, write_batch
+from martworks.session import reliable
+from martworks.sources.runs import BUCKETS, FAN, RunStore
+from martworks.streaming.sinks import start
 
-BUCKETS = 64
 
+class CounterStore:
+    """Order keys that were counted, and what every batch added to the counters.
 
-def counter_writer(path: str, key: str, label: str, buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
-    """`foreachBatch` function: order keys seen for the first time, and how many of them each counter gained.
-
-    A batch is compared with the order keys of the batches before it, in the key
-    buckets it touches. So an order counts once however late it comes or is sent
-    again, no stream state grows, and a repeated batch writes the same rows.
+    A batch is compared with the order keys in the buckets it touches, so an
+    order counts once however late it comes or is sent again, and no stream state
+    grows. Counters are added up when they are read and when runs are merged;
+    a batch that is repeated adds what a failure left out.
     """
-    identity = ["user_id", key, "order_id"]
 
+    def __init__(self, spark: SparkSession, path: str, key: str, label: str, kinds: dict[str, T.DataType],
+                 buckets: int = BUCKETS, fan: int = FAN):
+        self.identity, self.counter, self.label = ["user_id", key, "order_id"], ["user_id", key], label
+        fields = {name: T.StructField(name, kind) for name, kind in kinds.items()}
+        count = T.StructField("order_cnt", T.LongType())
+        self.orders = RunStore(spark, f"{path}/orders", T.StructType([fields[c] for c in self.identity]), self.identity, buckets, fan)
+        self.counts = RunStore(spark, f"{path}/counts", T.StructType([*[fields[c] for c in self.counter], fields[label], count]),
+                               self.counter, buckets, fan, self._added)
+
+    def _added(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*self.counter).agg(F.max(self.label).alias(self.label), F.sum("order_cnt").alias("order_cnt"))
+
+    def add(self, df: DataFrame, batch_id: int) -> None:
+        if self.orders.holds(batch_id):
+            return
+        rows = reliable(df.groupBy(*self.identity).agg(F.max(self.label).alias(self.label)))
+        same = [F.col(f"n.{c}").eqNullSafe(F.col(f"k.{c}")) for c in self.identity]
+        fresh = reliable(rows.alias("n").join(self.orders.near(rows).alias("k"), same, "left_anti"))
+        # the order keys close the batch: before them nothing of it is known, so it can be computed again
+        self.counts.append(self._added(fresh.withColumn("order_cnt", F.lit(1).cast("long"))), batch_id)
+        self.orders.append(fresh, batch_id)
+
+
+def counter_writer(path: str, key: str, label: str, buckets: int = BUCKETS, fan: int = FAN) -> Callable[[DataFrame, int], None]:
+    """`foreachBatch` function over rows of (user_id, key, order_id, label)."""
     def write(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        rows = df.groupBy(*identity).agg(F.max(label).alias(label)).withColumn("bucket", bucket_of(identity, buckets)).persist()
-        try:
-            schema = T.StructType([*rows.schema.fields, T.StructField("batch_id", T.IntegerType())])
-            fresh, before = rows, stored(spark, f"{path}/orders", batch_id, schema)
-            if before is not None:
-                touched = [r.bucket for r in rows.select("bucket").distinct().collect()]  # at most `buckets` numbers
-                known = before.where(F.col("bucket").isin(touched)).select(*identity)
-                same = [F.col(f"n.{c}").eqNullSafe(F.col(f"k.{c}")) for c in identity]
-                fresh = rows.alias("n").join(known.alias("k"), same, "left_anti")
-            write_batch(fresh.repartition("bucket"), f"{path}/orders", batch_id, "bucket")
-            new = stored(spark, f"{path}/orders", None, schema).where(F.col("batch_id") == batch_id)
-            gained = new.groupBy("user_id", key).agg(F.max(label).alias(label), F.count("*").alias("order_cnt"))
-            write_batch(gained, f"{path}/counts", batch_id)
-        finally:
-            rows.unpersist()
+        kinds = {f.name: f.dataType for f in df.schema}
+        CounterStore(df.sparkSession, path, key, label, kinds, buckets, fan).add(df, batch_id)
     return write
 
 
@@ -50,6 +60,6 @@ def run_counters(messages: DataFrame, kind: str, path: str, checkpoint: str, eve
 
 
 def read_counters(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """Distinct orders per (user, key): the gains of all batches added up."""
-    return spark.read.parquet(f"{path}/counts").groupBy("user_id", f"{kind}_id").agg(
-        F.max(f"{kind}_name").alias(f"{kind}_name"), F.sum("order_cnt").alias("order_cnt"))
+    """Distinct orders per (user, key)."""
+    kinds = {"user_id": T.StringType(), f"{kind}_id": T.StringType(), f"{kind}_name": T.StringType(), "order_id": T.LongType()}
+    return CounterStore(spark, path, f"{kind}_id", f"{kind}_name", kinds).counts.read()

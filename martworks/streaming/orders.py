@@ -1,69 +1,105 @@
-"""Order messages: raw store, enrichment, vault and the message for the counters."""
+"""Order messages: raw store, dead letters, enrichment, parked orders, vault and the message for the counters."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martworks import schemas
-from martworks.functions.text import parse_json
+from martworks.operators.filters import union_all
 from martworks.operators.grouping import latest_per_key
-from martworks.plans.order_vault import enrich_orders, split_known, user_message, vault_batch
-from martworks.streaming.sinks import latest_stored, start, stored, write_batch
+from martworks.plans.order_vault import as_message, dimension_keys, enrich_orders, split_known, user_message
+from martworks.session import reliable
+from martworks.sources.runs import BUCKETS, FAN, RunStore
+from martworks.streaming.letters import DeadLetters, ParkedOrders, read_messages
+from martworks.streaming.sinks import start, write_batch
+from martworks.streaming.vault import OrderVault
 
-VAULT_TABLES = [
-    "h_order", "h_user", "h_restaurant", "h_product", "h_category",
-    "l_order_product", "l_product_category", "l_order_user", "l_product_restaurant",
-    "s_order_cost", "s_order_status", "s_product_names", "s_restaurant_names", "s_user_names",
-]
+Dimensions = tuple[DataFrame, DataFrame, DataFrame]
 
 
-def parse_orders(df: DataFrame) -> DataFrame:
-    """Typed order messages; malformed ones drop out."""
-    return df.withColumn("_m", parse_json(F.col("value").cast("string"), schemas.ORDER_MESSAGE)).select("_m.*").where(
-        F.col("object_id").isNotNull())
+def _latest_message(rows: DataFrame) -> DataFrame:
+    return latest_per_key(rows, ["object_id"], ["sent_dttm", "payload", "object_type"])
 
 
-def store_raw(batch: DataFrame, path: str, batch_id: int) -> None:
-    """Keep the message of every object; a resent object replaces the older one."""
-    rows = batch.select("object_id", "object_type", "sent_dttm", F.to_json("payload").alias("payload"))
-    write_batch(latest_per_key(rows, ["object_id"], ["sent_dttm"]), path, batch_id)
+def raw_store(spark: SparkSession, root: str, buckets: int = BUCKETS, fan: int = FAN) -> RunStore:
+    """The latest message of every object; one sent again replaces the older one."""
+    return RunStore(spark, f"{root}/raw", "object_id long, object_type string, sent_dttm string, payload string", ["object_id"],
+                    buckets, fan, _latest_message)
 
 
-def read_raw(spark, path: str) -> DataFrame:
-    return latest_stored(spark, path, ["object_id"])
+def _use(orders: DataFrame, root: str, dimensions: Dimensions, number: int, load_dt: str, source: str, out: int) -> DataFrame:
+    """Enriches parsed orders; known ones go to the vault and the counters, the others are parked. Returns the enriched ones."""
+    spark = orders.sparkSession
+    enriched = reliable(enrich_orders(orders, *dimensions, "sent_dttm"))
+    known, unknown = split_known(enriched)
+    ParkedOrders(spark, root).park(unknown, number, source)
+    OrderVault(spark, f"{root}/vault").load(known, number, load_dt, source)
+    write_batch(user_message(known), f"{root}/messages", out)
+    return enriched
 
 
 def order_writer(root: str, users: DataFrame, restaurants: DataFrame, menu: DataFrame,
                  load_dt: Callable[[int], str]) -> Callable[[DataFrame, int], None]:
-    """`foreachBatch` function: raw rows, rejects, vault tables and user messages.
+    """`foreachBatch` function for messages with a `value`.
 
-    Every message counts, so the vault does not depend on how messages are dealt
-    to batches. A repeated batch compares with the batches before it and so writes
-    the same rows again.
+    Every message counts: it is malformed (dead letters), or stored raw and then known
+    (vault, user messages) or parked until its user, restaurant and items
+    arrive (`release_parked`). Equal messages of a batch are one. The table
+    `batches` has the counts: n_in = n_malformed + n_repeated + n_known + n_parked.
+
+    All stores take a batch once, so repeating it completes what a failure left
+    out. What the vault says does not depend on how messages are dealt to batches or in
+    which order they come.
     """
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        batch = df.persist()
-        enriched = enrich_orders(batch, users, restaurants, menu, "sent_dttm").persist()
-        try:
-            store_raw(batch, f"{root}/raw", batch_id)
-            known, unknown = split_known(enriched)
-            write_batch(unknown, f"{root}/rejects", batch_id)
-            existing = {t: stored(spark, f"{root}/vault/{t}", batch_id) for t in VAULT_TABLES}
-            new = vault_batch(known, {t: old for t, old in existing.items() if old is not None}, load_dt(batch_id), "sent_dttm")
-            for table in VAULT_TABLES:
-                write_batch(new[table], f"{root}/vault/{table}", batch_id)
-            write_batch(user_message(known), f"{root}/messages", batch_id)
-        finally:
-            enriched.unpersist()
-            batch.unpersist()
+        messages = reliable(read_messages(df.select("value"), schemas.ORDER_MESSAGE, "object_id"))
+        DeadLetters(spark, f"{root}/dead").keep(messages, batch_id)
+        orders = messages.where("reason is null").select("object_id", "object_type", "sent_dttm", "payload")
+        raw_store(spark, root).append(
+            _latest_message(orders.withColumn("payload", F.to_json("payload"))), batch_id)
+        enriched = _use(orders, root, (users, restaurants, menu), batch_id, load_dt(batch_id), "stream", batch_id)
+        write_batch(_batch_counts(messages, enriched), f"{root}/batches", batch_id)
     return write
 
 
+def _batch_counts(messages: DataFrame, enriched: DataFrame) -> DataFrame:
+    known = F.size("reasons") == 0
+    zero = F.lit(0).cast("long")
+    read = messages.agg(F.count("*").alias("n_in"), F.count_if(F.col("reason").isNotNull()).alias("n_malformed")).select(
+        "n_in", "n_malformed", zero.alias("n_known"), zero.alias("n_parked"))
+    used = enriched.agg(F.count_if(known).alias("n_known"), F.count_if(~known).alias("n_parked")).select(
+        zero.alias("n_in"), zero.alias("n_malformed"), "n_known", "n_parked")
+    names = ["n_in", "n_malformed", "n_known", "n_parked"]
+    total = union_all([read, used]).agg(*[F.sum(n).alias(n) for n in names])
+    return total.withColumn("n_repeated", F.col("n_in") - F.col("n_malformed") - F.col("n_known") - F.col("n_parked"))
+
+
+def release_parked(root: str, arrived: Dimensions, dimensions: Dimensions, number: int, load_dt: str) -> DataFrame:
+    """Uses the parked orders that waited for rows of `arrived`, new rows of the dimensions; returns what became of them.
+
+    Only the buckets of the new keys are read, and only their orders enriched,
+    with the whole dimensions. An order that still lacks something stays
+    parked; one that leaves does so once. `number` counts the releases from 0; a
+    release that is repeated adds nothing.
+    """
+    parking = ParkedOrders(dimensions[0].sparkSession, root)
+    again = parking.released.holds(number, "release")
+    orders = reliable(parking.waiting(dimension_keys(*arrived)).where(F.lit(not again)).drop("row_id"))
+    if again:
+        return orders.select("object_id", "sent_dttm", F.lit(True).alias("released"))
+    # user messages of releases stand beside those of the batches, under negative numbers
+    enriched = _use(orders, root, dimensions, number, load_dt, "release", -1 - number)
+    known = split_known(enriched)[0]
+    parking.released.append(known.select("object_id", "sent_dttm", as_message(known).alias("payload")).select(
+        parking.row_id().alias("row_id")).distinct(), number, "release")
+    return enriched.select("object_id", "sent_dttm", (F.size("reasons") == 0).alias("released"))
+
+
 def run_orders(messages: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
                every: str | None = None) -> StreamingQuery:
-    """Order stream; messages sent again add nothing to the stores, and late ones count."""
-    return start(parse_orders(messages), write, checkpoint, every=every)
+    """Order stream over messages with a `value`; those sent again add nothing to the stores, and late ones count."""
+    return start(messages, write, checkpoint, every=every)

@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from martworks.operators.grouping import latest_per_key
-
 
 def write_batch(df: DataFrame, path: str, batch_id: int, *partition_cols: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_cols).parquet(
@@ -31,11 +29,6 @@ def stored(spark: SparkSession, path: str, before: int | None = None, schema: T.
     return df if before is None else df.where(F.col("batch_id") < before)
 
 
-def latest_stored(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The last written row per key: an upsert by appending."""
-    return latest_per_key(spark.read.parquet(path), keys, ["batch_id"]).drop("batch_id")
-
-
 def start(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append",
           every: str | None = None) -> StreamingQuery:
     """Start a query: all data present and stop, or every given interval."""

@@ -1,22 +1,27 @@
-"""Streams on files: two runs over one checkpoint, resends, repeated batches."""
+"""Streams on files: two runs over one checkpoint, resends, repeated batches, late and malformed messages."""
 
 from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from martworks import schemas
 from martworks.plans.order_vault import user_category_counters, user_product_counters
+from martworks.sources.ledger import BatchLedger, fenced
+from martworks.sources.static import StaticSide
 from martworks.streaming import campaigns, counters, orders
-from martworks.streaming.sinks import batch_sink, start, stored
+from martworks.streaming.letters import DeadLetters, ParkedOrders, read_messages
+from martworks.streaming.sinks import batch_sink, start
+from martworks.streaming.vault import VAULT_TABLES, OrderVault
 
 NOW = 1_000
 
 
 def put(folder, name, items):
     folder.mkdir(exist_ok=True)
-    (folder / name).write_text("\n".join(json.dumps({"value": v if isinstance(v, str) else json.dumps(v)}) for v in items))
+    (folder / name).write_text("\n".join(json.dumps({"value": v if v is None or isinstance(v, str) else json.dumps(v)}) for v in items))
 
 
 def topic(spark, folder):
@@ -31,23 +36,77 @@ def campaign(i, begin, end, restaurant="r1"):
 def test_campaigns(spark, tmp_path, rows):
     box = tmp_path / "in"
     put(box, "1.json", [campaign(1, 1, 5_000), campaign(2, NOW, 5_000), campaign(3, 1, NOW), "{broken", campaign(4, 1, 5_000, "nobody")])
-    subscribers = spark.createDataFrame([(1, "a", "r1"), (2, "a", "r1"), (3, "b", "r1")], "id int, client_id string, restaurant_id string")
+    raw = spark.createDataFrame([(1, "a", "r1"), (2, "a", "r1"), (3, "b", "r1")], "id int, client_id string, restaurant_id string")
+    subscribers = StaticSide(spark, f"{tmp_path}/static", f"subscribers_{tmp_path.name}", "restaurant_id", campaigns.SUBSCRIBER)
+    assert subscribers.refresh(raw, "v1", 4)
     sinks = campaigns.campaign_sinks(f"{tmp_path}/snapshot", None, None, batch_sink(f"{tmp_path}/feedback"))
-    run = lambda: campaigns.run_campaigns(topic(spark, box), subscribers, sinks, f"{tmp_path}/ck", F.lit(NOW)).awaitTermination()
+    run = lambda: campaigns.run_campaigns(topic(spark, box), subscribers, sinks, f"{tmp_path}/ck", f"{tmp_path}/dead", F.lit(NOW)).awaitTermination()
     run()
     feedback = lambda: spark.read.parquet(f"{tmp_path}/feedback")
     assert rows(feedback(), "adv_campaign_id", "client_id", "trigger_datetime_created") == [("1", "a", NOW), ("1", "b", NOW)]
+    assert rows(DeadLetters(spark, f"{tmp_path}/dead").read()) == [("{broken", "malformed", 1)]
     put(box, "2.json", [campaign(5, 1, 5_000)])
     run()
     assert feedback().count() == 4  # the first message is not delivered again
     assert rows(spark.read.parquet(f"{tmp_path}/snapshot"), "adv_campaign_id") == [("5",), ("5",)]
 
 
+def test_static_side_reads_the_raw_table_once_per_version(spark, tmp_path, rows):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            read.add(len(frame))
+            yield frame
+
+    raw = lambda n: spark.range(n).selectExpr("string(id % 5) as k", "id % 3 as v").mapInPandas(counted, "k string, v long")
+    side = StaticSide(spark, f"{tmp_path}/s", f"side_{tmp_path.name}", "k", ["k", "v"])
+    with pytest.raises(ValueError):
+        side.read()
+    assert side.refresh(raw(60), "v1", 4) and not side.refresh(raw(60), "v1", 4)
+    batch = spark.createDataFrame([("1",), ("9",)], "k string")
+    assert rows(side.join(batch)) == rows(side.join(batch)) == [("1", 0), ("1", 1), ("1", 2)]
+    assert read.value == 60
+    assert side.refresh(raw(1), "v2", 4) and read.value == 61 and rows(side.read(), "k", "v") == [("0", 0)]
+    # another session, which does not know the table, reads the same files
+    spark.sql(f"drop table side_{tmp_path.name}_v2")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = StaticSide(spark, f"{tmp_path}/b", f"big_{tmp_path.name}", "k", ["k", "v"])
+        big.refresh(raw(60), "v1", 4)
+        plan = big.join(batch.repartition(4, "k"))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1  # of the micro-batch only
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_sink_with_a_ledger_takes_a_batch_once(spark, tmp_path):
+    taken, ledger = [], BatchLedger(spark, f"{tmp_path}/ledger")
+    sink = fenced(ledger, "topic", lambda df, batch: taken.append(batch))
+    for batch in (0, 0, 1, 1, 0, 2):
+        sink(None, batch)
+    assert taken == [0, 1, 2] and ledger.last("topic") == 2 and ledger.last("other") == -1
+
+    def fails(df, batch):
+        raise RuntimeError("no connection")
+
+    with pytest.raises(RuntimeError):
+        fenced(ledger, "topic", fails)(None, 3)
+    assert ledger.last("topic") == 2  # it is sent again
+
+
 def test_now_is_taken_per_batch(spark):
     plan = campaigns.active_campaigns(spark.createDataFrame([campaign(1, 1, 2)], schemas.CAMPAIGN))
     assert plan.count() == 0  # ended in 1970
 
 
+def test_every_message_has_a_reason_or_fields(spark):
+    texts = [json.dumps(order(1, "OPEN", ["a"])), "{broken", None, "  ", "{}", "[1]", "7", '{"object_id":"x"}', '{"object_id":2,"payload":{"cost":"no number"}}']
+    got = read_messages(spark.createDataFrame([(t,) for t in texts], "value string"), schemas.ORDER_MESSAGE, "object_id").collect()
+    assert [r.reason for r in got] == [None, "malformed", "empty", "empty", "no object_id", "malformed", "malformed", "malformed", "malformed"]
+    assert got[0].object_id == 1 and got[0].payload.order_items[0].id == "a"
+
+
 def message(order, user, products):
     return (order, user, [f"p{p}" for p in products], [f"name{p}" for p in products], ["c"] * len(products), ["cat"] * len(products))
 
@@ -88,14 +147,27 @@ def test_late_orders_count_once(spark, tmp_path, rows):
 
 
 def test_counters_of_a_repeated_batch(spark, tmp_path, rows):
-    write = counters.counter_writer(f"{tmp_path}/out", "product_id", "product_name")
-    batch = lambda *sent: spark.createDataFrame([("u", *r, "name") for r in sent], "user_id string, product_id string, order_id int, product_name string")
-    for number, df in ((0, batch()), (1, batch(("p", 1), ("p", 2), (None, 1))), (2, batch(("p", 2), ("p", 3), (None, 1)))):
+    write = counters.counter_writer(f"{tmp_path}/out", "product_id", "product_name", fan=2)
+    ddl = "user_id string, product_id string, order_id long, product_name string"
+    batch = lambda *sent: spark.createDataFrame([("u", *r, "name") for r in sent], ddl)
+    for number, df in ((0, batch()), (1, batch(("p", 1), ("p", 2), (None, 1))), (2, batch(("p", 2), ("p", 3), (None, 1))), (3, batch(("p", 4)))):
         for _ in range(2):
             write(df, number)
-    assert rows(counters.read_counters(spark, f"{tmp_path}/out", "product"), "product_id", "order_cnt") == [("p", 3), (None, 1)]
-    plan = stored(spark, f"{tmp_path}/out/orders", 2).where("bucket in (1, 2)")._jdf.queryExecution().toString()
-    assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1]
+    assert rows(counters.read_counters(spark, f"{tmp_path}/out", "product"), "product_id", "order_cnt") == [("p", 4), (None, 1)]
+
+
+def test_a_counter_batch_that_failed_half_way_is_completed(spark, tmp_path, rows):
+    ddl = "user_id string, product_id string, order_id long, product_name string"
+    df = spark.createDataFrame([("u", "p", 1, "name"), ("u", "p", 2, "name")], ddl)
+    store = counters.CounterStore(spark, f"{tmp_path}/out", "product_id", "product_name", {f.name: f.dataType for f in df.schema})
+    real = store.orders.append
+    store.orders.append = lambda *a: (_ for _ in ()).throw(RuntimeError("lost"))
+    with pytest.raises(RuntimeError):
+        store.add(df, 0)
+    store.orders.append = real
+    store.add(df, 0)
+    store.add(df, 1)
+    assert rows(store.counts.read(), "order_cnt") == [(2,)]
 
 
 def order(i, status, items, sent="2022-01-01 00:00:00"):
@@ -104,25 +176,65 @@ def order(i, status, items, sent="2022-01-01 00:00:00"):
         "order_items": [{"id": p, "price": 1, "quantity": 1} for p in items]}}
 
 
+def dims(spark, items=(("r", "a", "A", "c1"), ("r", "b", "B", "c1"))):
+    return (spark.createDataFrame([("u", "U")], "id string, name string"), spark.createDataFrame([("r", "R")], "id string, name string"),
+            spark.createDataFrame(list(items), "restaurant_id string, id string, name string, category string"))
+
+
+def sizes_of(vault):
+    return {t: vault.table(t).count() for t in VAULT_TABLES}
+
+
 def test_order_stream(spark, tmp_path, rows):
     box, root = tmp_path / "in", f"{tmp_path}/dds"
-    dims = (spark.createDataFrame([("u", "U")], "id string, name string"), spark.createDataFrame([("r", "R")], "id string, name string"),
-            spark.createDataFrame([("r", "a", "A", "c1"), ("r", "b", "B", "c1")], "restaurant_id string, id string, name string, category string"))
-    write = orders.order_writer(root, *dims, lambda b: f"2022-02-{b + 1:02d} 00:00:00")
+    write = orders.order_writer(root, *dims(spark), lambda b: f"2022-02-{b + 1:02d} 00:00:00")
     run = lambda: orders.run_orders(topic(spark, box), write, f"{tmp_path}/ck").awaitTermination()
-    count = lambda t: stored(spark, f"{root}/vault/{t}").count()
-    put(box, "1.json", [order(1, "OPEN", ["a", "b"]), order(2, "OPEN", ["a"]), order(3, "OPEN", ["zzz"])])
+    vault = OrderVault(spark, f"{root}/vault")
+    put(box, "1.json", [order(1, "OPEN", ["a", "b"]), order(2, "OPEN", ["a"]), order(3, "OPEN", ["zzz"]), "{broken", None, order(2, "OPEN", ["a"])])
     run()
-    sizes = {t: count(t) for t in orders.VAULT_TABLES}
+    sizes = sizes_of(vault)
     assert sizes == {
         "h_order": 2, "h_user": 1, "h_restaurant": 1, "h_product": 2, "h_category": 1, "l_order_product": 3, "l_product_category": 2,
         "l_order_user": 2, "l_product_restaurant": 2, "s_order_cost": 2, "s_order_status": 2, "s_product_names": 2, "s_restaurant_names": 1, "s_user_names": 1}
-    assert stored(spark, f"{root}/rejects").count() == 1
+    assert rows(vault.table("s_order_cost"), "cost", "payment")[0][0] == 10
+    counted = lambda: rows(spark.read.parquet(f"{root}/batches"), "batch_id", "n_in", "n_malformed", "n_repeated", "n_known", "n_parked")
+    assert counted() == [(0, 6, 2, 1, 2, 1)]
+    assert rows(ParkedOrders(spark, root).parked(), "object_id") == [(3,)]
+    assert rows(DeadLetters(spark, f"{root}/dead").read(), "reason", "n") == [("empty", 1), ("malformed", 1)]
     put(box, "2.json", [order(1, "OPEN", ["a", "b"]), order(2, "CLOSED", ["a"], "2022-01-02 00:00:00")])
     run()
-    after = {t: count(t) for t in orders.VAULT_TABLES}
+    after = sizes_of(vault)
     assert {t: n - sizes[t] for t, n in after.items() if n != sizes[t]} == {"s_order_status": 1}  # only the changed status
-    assert orders.read_raw(spark, f"{root}/raw").count() == 3
+    raw = orders.raw_store(spark, root).read()
+    assert rows(raw, "object_id") == [(1,), (2,), (3,)] and "CLOSED" in rows(raw.where("object_id = 2"), "payload")[0][0]
+
+
+def test_a_parked_order_appears_once_its_keys_do(spark, tmp_path, rows):
+    root = f"{tmp_path}/dds"
+    users, restaurants, menu = dims(spark)
+    write = orders.order_writer(root, users.where("false"), restaurants, menu.where("id = 'a'"), lambda b: "2022-02-01 00:00:00")
+    sent = [order(1, "OPEN", ["a"]), order(2, "OPEN", ["a", "b"]), order(3, "OPEN", []), order(1, "CLOSED", ["a"], "2022-01-05 00:00:00")]
+    write(spark.createDataFrame([(json.dumps(m),) for m in sent], "value string"), 0)
+    vault, parking = OrderVault(spark, f"{root}/vault"), ParkedOrders(spark, root)
+    assert vault.table("h_order").count() == 0
+    assert rows(parking.parked().select("object_id", F.transform("lacks", lambda x: x["kind"]).alias("k")), "object_id", "k") == [
+        (1, ["user"]), (1, ["user"]), (2, ["item", "user"]), (3, ["user"])]
+    none = (users.where("false"), restaurants.where("false"), menu.where("false"))
+    # the user arrives, the item does not
+    first = (users, none[1], none[2]), (users, restaurants, menu.where("id = 'a'"))
+    assert rows(orders.release_parked(root, *first, 0, "2022-02-02 00:00:00"), "object_id", "released") == [(1, True), (1, True), (2, False), (3, True)]
+    assert rows(vault.table("h_order"), "order_id") == [(1,), (3,)]
+    assert rows(vault.table("s_order_status"), "status") == [("CLOSED",), ("OPEN",), ("OPEN",)]
+    assert orders.release_parked(root, *first, 0, "2022-02-02 00:00:00").count() == 0  # repeated
+    second = (none[0], none[1], menu.where("id = 'b'")), (users, restaurants, menu)
+    assert rows(orders.release_parked(root, *second, 1, "2022-02-03 00:00:00"), "object_id", "released") == [(2, True)]
+    assert parking.parked().count() == 0 and vault.table("h_order").count() == 3
+    messages = spark.read.parquet(f"{root}/messages")
+    assert sorted(r.order_id for r in messages.collect()) == [1, 1, 2, 3]
+    # a release reads the buckets of the new keys only
+    hits = parking.store.near(spark.createDataFrame([("user", "u")], "kind string, key string"))
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in plan.split("PartitionFilters")[1][:200]
 
 
 def test_a_repeated_batch_writes_the_same_rows(spark, tmp_path):
@@ -142,19 +254,13 @@ def test_bounded_batches(spark, tmp_path):
     assert seen == [1, 1, 1]
 
 
-def test_vault_history_does_not_depend_on_the_batches(spark, tmp_path, rows):
-    sent = [order(1, s, ["a"], f"2022-01-{d:02d} 00:00:00") for d, s in enumerate(("OPEN", "OPEN", "COOKING", "CLOSED", "OPEN"), 1)]
-    sent.append(sent[2])  # sent again at the end
-    dims = (spark.createDataFrame([("u", "U")], "id string, name string"), spark.createDataFrame([("r", "R")], "id string, name string"),
-            spark.createDataFrame([("r", "a", "A", "c1")], "restaurant_id string, id string, name string, category string"))
-    got = []
-    for n, size in enumerate((6, 3, 2)):
-        box, root = tmp_path / f"in{n}", f"{tmp_path}/dds{n}"
-        write = orders.order_writer(root, *dims, lambda b: f"2022-02-{b + 1:02d} 00:00:00")
-        for at in range(0, len(sent), size):
-            put(box, f"{at}.json", sent[at:at + size])
-            orders.run_orders(topic(spark, box), write, f"{tmp_path}/ck{n}").awaitTermination()
-        status = stored(spark, f"{root}/vault/s_order_status")
-        got.append(rows(status.select(F.dayofmonth("load_dt").alias("day"), "status"), "day", "status"))
-        assert stored(spark, f"{root}/vault/s_order_cost").count() == 1
-    assert got[0] == got[1] == got[2] == [(1, "OPEN"), (3, "COOKING"), (4, "CLOSED"), (5, "OPEN")]
+@pytest.mark.parametrize("deal", [[[0, 1, 2]], [[0, 2], [1]], [[2, 2], [1, 0]]])
+def test_status_history_is_the_same_however_messages_arrive(spark, tmp_path, rows, deal):
+    sent = [order(1, s, ["a"], f"2022-01-0{d} 00:00:00") for d, s in ((1, "A"), (2, "B"), (3, "A"))]
+    root = f"{tmp_path}/dds"
+    write = orders.order_writer(root, *dims(spark), lambda b: "2022-02-01 00:00:00")
+    for number, part in enumerate(deal):
+        write(spark.createDataFrame([(json.dumps(sent[i]),) for i in part], "value string"), number)
+    vault = OrderVault(spark, f"{root}/vault")
+    assert rows(vault.table("s_order_status").select(F.dayofmonth("load_dt").alias("d"), "status"), "d", "status") == [(1, "A"), (2, "B"), (3, "A")]
+    assert vault.table("s_order_cost").count() == 1 and vault.table("s_user_names").count() == 1
