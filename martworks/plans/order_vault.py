@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martworks.functions.arrays import array_pluck, explode_items, zip_arrays
-from martworks.functions.keys import hash_key, uuid3
-from martworks.operators.filters import union_all
+from martworks.functions.keys import hash_key, hashdiff, uuid3
+from martworks.operators.filters import union_all, with_load_meta
 from martworks.operators.joins import enrich_items
-from martworks.operators.vault import load_hub, load_link, load_satellite, version_rows
+from martworks.operators.vault import load_hub, load_link, load_satellite
 
 SOURCE = "stg-order-service"
 
@@ -103,10 +103,10 @@ _HUBS = ["order", "user", "restaurant", "product", "category"]
 _OF_ITEMS = {"product", "category"}
 
 
-def _sources(enriched: DataFrame, at: list[str]) -> Callable[[str], DataFrame]:
+def _sources(enriched: DataFrame) -> Callable[[str], DataFrame]:
     """table name -> the rows it is loaded from, with the names of its attributes."""
-    orders = _flat_orders(enriched, at)
-    items = _flat_items(orders, at)
+    orders = _flat_orders(enriched, [])
+    items = _flat_items(orders, [])
 
     def rows(table: str) -> DataFrame:
         entities = {table[2:]} if table[0] == "h" else set(_LINKS[table]) if table[0] == "l" else {_SATELLITES[table][0]}
@@ -119,7 +119,7 @@ def _sources(enriched: DataFrame, at: list[str]) -> Callable[[str], DataFrame]:
 
 def vault_batch(enriched: DataFrame, dds: dict[str, DataFrame], load_dt: str) -> dict[str, DataFrame]:
     """New rows of 5 hubs, 4 links and 5 satellites of a batch of orders; of a key the latest version in the batch counts."""
-    src = _sources(enriched, [])
+    src = _sources(enriched)
     out = {}
     for entity in _HUBS:
         hub = f"h_{entity}"
@@ -138,31 +138,51 @@ def vault_batch(enriched: DataFrame, dds: dict[str, DataFrame], load_dt: str) ->
     return out
 
 
+def _entries(rows: DataFrame, keep: list[str], wanted: dict[str, list[str]], width: int) -> DataFrame:
+    """One row per table and input row: `keep`, tbl, and the table's columns as texts x0, x1, … (`width` of them)."""
+    def entry(table: str, columns: list[str]) -> Column:
+        values = [F.col(c).cast("string") for c in columns] + [F.lit(None).cast("string")] * (width - len(columns))
+        return F.struct(F.lit(table).alias("tbl"), *[v.alias(f"x{i}") for i, v in enumerate(values)])
+
+    return rows.select(*keep, F.inline(F.array(*[entry(t, c) for t, c in wanted.items()])))
+
+
 def vault_rows(enriched: DataFrame, load_dt: str, at: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(hubs, links, versions) of a batch of messages, each kind of table in one layout with its name in `tbl`.
 
     hubs: tbl, pk, business_key, order_dt, load_dt, load_src; links: tbl, pk, a, b,
     load_dt, load_src; versions: tbl, pk, a0, a1, hashdiff, load_dt (the time in
-    column `at` of the message), load_src. Nothing is compared with what is stored.
+    column `at` of the message; null and first if it cannot be read), load_src.
+    The rows are those of `vault_batch`, for all tables of a kind from one aggregate.
+    Nothing is compared with what is stored.
     """
-    src, new = _sources(enriched, [at]), vault_batch(enriched, {}, load_dt)
-    hubs, links, versions = [], [], []
-    for entity in _HUBS:
-        hub = new[f"h_{entity}"]
-        first = F.col("order_dt") if entity == "order" else F.lit(None).cast("timestamp_ntz")
-        hubs.append(hub.select(
-            F.lit(f"h_{entity}").alias("tbl"), F.col(f"h_{entity}_pk").alias("pk"), F.col(_BUSINESS_KEY[entity]).cast("string").alias("business_key"),
-            first.alias("order_dt"), "load_dt", "load_src"))
-    for table, (a, b) in _LINKS.items():
-        links.append(new[table].select(
-            F.lit(table).alias("tbl"), F.col(f"hk_{table[2:]}_pk").alias("pk"), F.col(f"h_{a}_pk").alias("a"), F.col(f"h_{b}_pk").alias("b"),
-            "load_dt", "load_src"))
-    for table, (entity, attrs) in _SATELLITES.items():
-        rows = version_rows(src(table), "pk", attrs, SOURCE, at, "hashdiff", (_BUSINESS_KEY[entity], _hub_key(entity)))
-        values = [F.col(a).cast("string") for a in attrs] + [F.lit(None).cast("string")] * (2 - len(attrs))
-        versions.append(rows.select(
-            F.lit(table).alias("tbl"), "pk", *[v.alias(f"a{i}") for i, v in enumerate(values)], "hashdiff", "load_dt", "load_src"))
-    return union_all(hubs), union_all(links), union_all(versions)
+    orders = _flat_orders(enriched, [at])
+    items = _flat_items(orders, [at])
+    sources = {False: orders, True: items}
+
+    def both(keep: list[str], wanted: dict[str, list[str]], of_items: set[str], width: int) -> DataFrame:
+        parts = [_entries(sources[side], keep, {t: c for t, c in wanted.items() if (t in of_items) == side}, width) for side in sources]
+        return union_all(parts)
+
+    keys = {f"h_{e}": [_BUSINESS_KEY[e]] for e in _HUBS}
+    hubs = both(["order_dt"], keys, {f"h_{e}" for e in _OF_ITEMS}, 1).where("x0 is not null").groupBy("tbl", "x0").agg(
+        F.min(F.when(F.col("tbl") == "h_order", F.col("order_dt"))).alias("order_dt"))
+    hubs = hubs.select("tbl", uuid3(F.col("x0")).alias("pk"), F.col("x0").alias("business_key"), "order_dt")
+
+    pairs = {t: [_BUSINESS_KEY[a], _BUSINESS_KEY[b]] for t, (a, b) in _LINKS.items()}
+    links = both([], pairs, {t for t, ends in _LINKS.items() if set(ends) & _OF_ITEMS}, 2).where(
+        "x0 is not null and x1 is not null").distinct().select("tbl", uuid3(F.col("x0")).alias("a"), uuid3(F.col("x1")).alias("b"))
+    links = links.select("tbl", uuid3(F.concat("a", "b")).alias("pk"), "a", "b")
+
+    named = {"s_product_names": ["product_name"], "s_restaurant_names": ["restaurant_name"]}
+    told = {t: [_BUSINESS_KEY[e], *named.get(t, attrs)] for t, (e, attrs) in _SATELLITES.items()}
+    versions = both([at], told, {t for t, (e, _) in _SATELLITES.items() if e in _OF_ITEMS}, 3).where("x0 is not null").distinct()
+    two = F.col("tbl").isin([t for t, (_, attrs) in _SATELLITES.items() if len(attrs) == 2])
+    pk, a0, a1 = F.col("pk"), F.col("x1"), F.col("x2")
+    versions = versions.withColumn("pk", uuid3(F.col("x0"))).select(
+        "tbl", "pk", a0.alias("a0"), a1.alias("a1"), F.when(two, hashdiff(pk, a0, a1)).otherwise(hashdiff(pk, a0)).alias("hashdiff"),
+        F.try_to_timestamp(F.col(at).cast("string")).cast("timestamp_ntz").alias("load_dt"), F.lit(SOURCE).alias("load_src"))
+    return with_load_meta(hubs, SOURCE, load_dt), with_load_meta(links, SOURCE, load_dt), versions
 
 
 _TYPES = {"order_id": "bigint", "cost": "decimal(19,5)", "payment": "decimal(19,5)"}
