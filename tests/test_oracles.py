@@ -1,4 +1,4 @@
-"""Every registered query against its SQL twin on the smallest data."""
+"""Every query of the catalog against its SQL twin on the smallest data."""
 
 from __future__ import annotations
 
@@ -8,9 +8,9 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry_module
+from martworks.catalog import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
 
 
 @pytest.fixture(scope="module")
