@@ -10,20 +10,19 @@ import numpy as np
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martworks.llm.bytesmath import mix, shingles, words
 from martworks.llm.common import logit
 
-# bound of the labelled sample: rows per label, and characters of one training text
-SAMPLE_ROWS = 4000
-SAMPLE_CHARS = 32_768
+# bound of the labelled sample: rows per label
+SAMPLE_ROWS = 2000
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int = SAMPLE_ROWS):
     """(texts, labels, share of label 1 among all rows to learn from).
 
-    At most `rows` documents per label, chosen by hash of the id; of a text over
-    SAMPLE_CHARS characters a piece of that size from a place given by its hash.
-    The ids are chosen from the labels alone, so only the sample is joined (its
-    size is bounded, so it is broadcast).
+    At most `rows` documents per label, chosen by hash of the id, with their
+    whole texts. The ids are chosen from the labels alone, so only the sample is
+    joined (its size is bounded, so it is broadcast).
     """
     usable = labels.where(learn & F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
     counts = {r["y"]: r["n"] for r in usable.groupBy(F.col(label).alias("y")).agg(F.count("*").alias("n")).collect()}
@@ -32,22 +31,23 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     by_label = [usable.where(F.col(label) == y).select("doc_id", F.lit(y).alias("y")).orderBy(
         F.xxhash64("doc_id"), "doc_id").limit(rows) for y in (0, 1)]
     chosen = by_label[0].unionByName(by_label[1]).groupBy("doc_id").agg(F.min("y").alias("y"))
-    start = F.pmod(F.xxhash64("text"), F.greatest(F.lit(1), F.char_length("text") - SAMPLE_CHARS + 1)) + 1
     got = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select(
-        "doc_id", "y", F.substring("text", start.cast("int"), F.lit(SAMPLE_CHARS)).alias("text")).toPandas()
+        "doc_id", "y", "text").toPandas()
     # one order whatever the tasks returned first
     got = got.sort_values(["doc_id", "text"], ignore_index=True)
     return list(got["text"]), got["y"].to_numpy(), counts[1] / (counts[0] + counts[1])
 
 
 def distinct_texts(texts: list[str], keys: int = 4) -> np.ndarray:
-    """Positions of texts that share no minimum of 3-word hashes with an earlier one: near copies count once."""
+    """Positions of texts that share no minimum of 3-word hashes with an earlier one: near copies count once.
+
+    The hashes depend on nothing but the texts, so every session keeps the same ones.
+    """
     seen: set = set()
     keep = []
     for i, text in enumerate(texts):
-        words = text.split()
-        grams = np.array([hash(tuple(words[j:j + 3])) & 0xFFFFFFFFFFFF for j in range(max(1, len(words) - 2))], np.uint64)
-        low = {(k, int(((grams * np.uint64(2 * k + 0x9E3779B1)) & np.uint64(0xFFFFFFFF)).min())) for k in range(keys)}
+        grams = shingles(words(text), 3)
+        low = {(k, int(mix(grams + np.uint64(k)).min()) if len(grams) else -1) for k in range(keys)}
         if not low & seen:
             keep.append(i)
         seen |= low
@@ -118,7 +118,7 @@ def trained(size: int, samples: list[bytes], segment: int) -> bytes:
     return b" ".join(samples)[:size]
 
 
-GRAM = 5
+GRAM = 8
 
 
 def _grams(text: str) -> tuple[bytes, np.ndarray]:

@@ -67,12 +67,21 @@ class Model:
         return self.languages[best], float(p[best]), bool(p[best] >= self.least)
 
 
-def sample(docs: DataFrame, learn: Column) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Subword counts and language numbers of a bounded labelled sample, the same number of rows per language at most."""
+def _shares(packed: list[bytes]) -> np.ndarray:
+    """Shares of the buckets in some texts: a row per text, only for as many as a step needs."""
+    out = np.zeros((len(packed), BUCKETS), np.float32)
+    for i, body in enumerate(packed):
+        n = len(body) // 6
+        out[i, np.frombuffer(body[:2 * n], "<u2")] = np.frombuffer(body[2 * n:], "<u4")
+    return out / out.sum(axis=1, keepdims=True)
+
+
+def sample(docs: DataFrame, learn: Column) -> tuple[list[bytes], np.ndarray, list[str]]:
+    """Packed subword counts and language numbers of a bounded labelled sample, the same number of rows per language at most."""
     usable = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
     languages = sorted(r["lang"] for r in usable.select("lang").distinct().collect())
     if not languages:
-        return np.zeros((0, BUCKETS), np.int32), np.zeros(0, int), []
+        return [], np.zeros(0, int), []
     rows = max(LEAST_ROWS, SAMPLE_ROWS // len(languages))
     # ids first, texts only for those chosen (bounded, so broadcast)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -92,21 +101,16 @@ def sample(docs: DataFrame, learn: Column) -> tuple[np.ndarray, np.ndarray, list
     got = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id").mapInPandas(
         run, "doc_id long, lang string, packed binary, ok boolean").where("ok").toPandas()
     got = got.sort_values(["doc_id", "lang", "packed"], ignore_index=True)
-    counts = np.zeros((len(got), BUCKETS), np.float32)
-    for i, packed in enumerate(got["packed"]):
-        n = len(packed) // 6
-        counts[i, np.frombuffer(packed[:2 * n], "<u2")] = np.frombuffer(packed[2 * n:], "<u4")
     place = {lang: i for i, lang in enumerate(languages)}
-    return counts, got["lang"].map(place).to_numpy(), languages
+    return list(got["packed"]), got["lang"].map(place).to_numpy(), languages
 
 
 def train(docs: DataFrame, learn: Column, epochs: int = 12, batch: int = 64, rate: float = 8.0, seed: int = 5) -> Model:
     """Stochastic gradient descent on four fifths of the sample; the rest sets temperature and rejection bound."""
-    counts, y, languages = sample(docs, learn)
+    packed, y, languages = sample(docs, learn)
     if not len(y):
         return Model([UNKNOWN], np.zeros((BUCKETS, 1)), np.zeros(1))
     rng = np.random.default_rng(seed)
-    counts /= counts.sum(axis=1, keepdims=True)
     back = np.arange(len(y)) % 5 == 4
     learnt = np.flatnonzero(~back)
     k = len(languages)
@@ -117,7 +121,7 @@ def train(docs: DataFrame, learn: Column, epochs: int = 12, batch: int = 64, rat
         rng.shuffle(learnt)
         for at in range(0, len(learnt), batch):
             own = learnt[at:at + batch]
-            x = counts[own]
+            x = _shares([packed[i] for i in own])
             hidden = x @ embed
             z = hidden @ weight + bias
             p = np.exp(z - z.max(axis=1, keepdims=True))
@@ -133,7 +137,8 @@ def train(docs: DataFrame, learn: Column, epochs: int = 12, batch: int = 64, rat
             done += 1
     model = Model(languages, (embed @ weight).astype(np.float64), bias.astype(np.float64))
     if back.any():
-        z = counts[back] @ model.table + model.bias
+        held = np.flatnonzero(back)
+        z = np.concatenate([_shares([packed[i] for i in held[at:at + batch]]) @ model.table for at in range(0, len(held), batch)]) + model.bias
         truth = y[back]
 
         def loss(t: float) -> float:

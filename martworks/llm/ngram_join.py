@@ -90,7 +90,8 @@ def jaccard(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return both.astype(np.float64) / union
 
 
-def near_duplicates(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+def near_duplicates(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL,
+                    extra: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: doc_id, class_id (smallest doc_id its links reach, itself included), n_links (other
     documents with n-gram Jaccard >= threshold), same_id (smallest doc_id with the same n-gram set), kept.
 
@@ -101,7 +102,8 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOL
     threshold; buckets of any size are handled: their members are joined to the
     smallest, and the resulting groups are compared in blocks. A null doc_id is
     returned with a null class and no links unless it shares its n-gram set with
-    a document that has an id. Repeated rows count as documents.
+    a document that has an id. Repeated rows count as documents. `extra` may name
+    row_key, the hash of the text, to tell apart rows that share an id.
     """
     spark = ready(docs.sparkSession)
     bands, rows = bands_and_rows(threshold, recall)
@@ -131,14 +133,21 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOL
         found.select(F.col("node").alias("id"), "component"), "id", "left").select(
         "h1", "h2", F.col("id").alias("same_id"), F.coalesce("component", "id").alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return signed.select("doc_id", "h1", "h2", "grams").join(per_class, ["h1", "h2"], "left").select(
-        "doc_id", F.when(F.col("grams") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+    return signed.select("doc_id", "row_key", "h1", "h2", "grams").join(per_class, ["h1", "h2"], "left").select(
+        "doc_id", *extra, F.when(F.col("grams") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.when(F.col("grams") > 0, F.col("same_id")).otherwise(F.col("doc_id")).alias("same_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
 
 
 def one_of_each(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents, all columns kept, without those that reach a smaller doc_id."""
-    gone = near_duplicates(docs, n, threshold).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """The documents, all columns kept, without those that reach a smaller doc_id.
+
+    Rows go by id and text: of two rows that share an id only the one that is
+    linked goes. Repeated rows of one id and text stay or go together; rows
+    without id, text or words stay; an empty table stays empty; texts are compared
+    whole and columns of any name are kept.
+    """
+    gone = near_duplicates(docs, n, threshold, extra=("row_key",)).where("not kept").select(
+        F.col("doc_id").alias("__gone_id"), F.col("row_key").alias("__gone_key")).distinct()
+    return docs.join(gone, (F.col("doc_id") == F.col("__gone_id")) & (F.xxhash64(text_or_empty()) == F.col("__gone_key")), "left_anti")

@@ -34,6 +34,8 @@ END_ID = 1
 LONG_TEXT = 1 << 20
 # tokens of a shard: a few thousand documents, tens of MB with its index
 SHARD_TOKENS = 2_000_000
+# Texts that the vocabulary has as one token.
+SPECIAL = {"<|endoftext|>": 50256}
 # documents of one inverted index inside a shard
 INDEX_DOCS = 256
 K1, B = 1.2, 0.75
@@ -43,11 +45,15 @@ K1, B = 1.2, 0.75
 def encoder(ranks_path: str, pattern: str) -> tiktoken.Encoding:
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    known = set(ranks.values())
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={
+        text: i for text, i in SPECIAL.items() if i not in known})
 
 
 def token_ids(enc: tiktoken.Encoding, text: str) -> np.ndarray:
     """Ids of a text and the end id. The call by list is faster, the one by buffer holds long texts in less memory."""
+    if any(s in text for s in enc.special_tokens_set):
+        return np.array([*enc.encode(text, allowed_special="all"), END_ID], np.uint32)
     if len(text) < LONG_TEXT:
         return np.array([*enc.encode_ordinary(text), END_ID], np.uint32)
     return np.append(enc.encode_to_numpy(text, disallowed_special=()), np.uint32(END_ID))

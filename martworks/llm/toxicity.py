@@ -11,7 +11,7 @@ from martworks.llm.compression import Pair, contrast, distinct_texts, labelled_s
 
 WINDOW_WORDS = 8
 ORDINARY_BYTES = 60_000
-TOXIC_BYTES = 1_024
+TOXIC_BYTES = 2_048
 # windows compressed at once
 STRETCH = 4_096
 THRESHOLD = 0.5
