@@ -20,6 +20,7 @@ from martworks.operators.upsert import appended, insert_ignore, upsert, upsert_c
 from martworks.plans import delivery
 from martworks.session import reliable, run_dir
 from martworks.sources import files, incremental, sinks
+from martworks.sources.kafka import topic_value
 from martworks.sources.paged import read_paged
 from martworks.sources.state import WatermarkStore
 
@@ -130,17 +131,53 @@ def _(t):
     return t.spark.read.parquet(f"{root}/events")
 
 
-@query("copy_documents", f"""select event_id::varchar as object_id,
+@query("copy_documents", f"""with now as (select event_id, user_id, case when event_id % 5 = 0 then 'changed' else event_type end as event_type,
+  case when event_id % 5 = 0 then ts + interval 60 day else ts end as ts from events)
+select event_id::varchar as object_id,
  '{{"event_id":' || event_id || ',"event_type":"' || event_type || '","ts":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '","user_id":' || user_id || '}}' as object_value,
- {ts_sql('ts')} as update_ts from events""")
+ {ts_sql('ts')} as update_ts from now""")
 def _(t):
+    """Documents copied in four runs; a fifth of them change after they were copied and replace what was stored."""
     root = run_dir(t.spark, "docs")
     state = WatermarkStore(t.spark, f"{root}/state")
-    write = lambda df: sinks.append_rows(df, f"{root}/events")
+    store = incremental.document_store(t.spark, f"{root}/events")
     rows = t.events.select("event_id", "event_type", "ts", "user_id")
-    for source in (rows.where("ts < timestamp_ntz '2024-01-15'"), rows, rows):
-        incremental.copy_documents(source, "event_id", "ts", state, "events", write)
-    return t.spark.read.parquet(f"{root}/events")
+    later = rows.where("event_id % 5 = 0").withColumn("event_type", F.lit("changed")).withColumn("ts", F.expr("ts + interval 60 days"))
+    for source in (rows.where("ts < timestamp_ntz '2024-01-15'"), rows, rows, rows.where("event_id % 5 <> 0").unionByName(later)):
+        incremental.copy_documents(source, "event_id", "ts", state, "events", incremental.upsert_documents(store))
+    return store.read()
+
+
+@query("cursor_batch", f"""select {_EVENT_COLS} from events where event_id > 100 order by event_id limit 300""")
+def _(t):
+    """What a bounded run of an extract takes: the next rows in order of the cursor."""
+    return incremental.incremental_by_id(t.events, "event_id", 100, 300)
+
+
+@query("topic_messages", """select c_custkey, '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_nationkey":' || c_nationkey || '}' as value from customer""")
+def _(t):
+    return topic_value(t.customer.select("c_custkey", "c_name", "c_nationkey"), ["c_custkey", "c_name", "c_nationkey"]).select("c_custkey", "value")
+
+
+_PROFILE_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+
+
+@query("table_profile", "with r as (select count(*) as n from orders) " + " union all ".join(
+    f"""select '{c}' as col_name, '{kind}' as data_type, n as n_rows, count(*) filter ({c} is null) as n_null, count(distinct {c}) as n_distinct,
+ count(distinct {c}) = n as is_unique from orders, r group by n""" for c, kind in zip(_PROFILE_COLUMNS, ["bigint", "bigint", "string", "string"])))
+def _(t):
+    return quality.profile_table(t.orders.select(*_PROFILE_COLUMNS))
+
+
+@query("bucketed_layout", """select o_orderkey, count(*) as cnt, sum(l_quantity::bigint) as quantity from orders join lineitem on l_orderkey = o_orderkey group by 1""")
+def _(t):
+    """Two tables laid out in buckets of the order: joined and grouped where they lie."""
+    name = run_dir(t.spark, "layout").rsplit("-", 1)[1]
+    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity")
+    for table, rows in ((f"orders_{name}", t.orders.select("o_orderkey", "o_orderdate")), (f"lines_{name}", lines)):
+        sinks.write_layout(rows, table, None, ["o_orderkey"], ["o_orderkey"], 8)
+    both = t.spark.table(f"orders_{name}").join(t.spark.table(f"lines_{name}"), "o_orderkey")
+    return both.groupBy("o_orderkey").agg(F.count("*").alias("cnt"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"))
 
 
 # ---- files ---------------------------------------------------------------------------
@@ -217,7 +254,7 @@ def order_documents(t: Tables) -> DataFrame:
     items = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(F.struct(
         F.col("l_partkey").cast("string").alias("id"), F.col("l_quantity").cast("int").alias("quantity"),
         money("l_extendedprice").alias("price"))).alias("order_items"))
-    return t.orders.join(items, "o_orderkey").select(
+    return t.orders.join(items, "o_orderkey", "left").select(
         F.col("o_orderkey").alias("id"), F.col("o_orderkey").cast("string").alias("object_id"),
         F.to_json(F.struct(
             F.col("o_orderkey").cast("string").alias("_id"), F.struct(F.col("o_custkey").cast("string").alias("id")).alias("user"),
@@ -254,8 +291,7 @@ def _(t):
     return delivery.fact_product_sales(orders, delivery.order_bonuses(stored(bonus_events(t))), dm_orders, dm_products)[0]
 
 
-@query("fact_orders", """with o as (select *, o_orderdate + interval 1 second * (o_orderkey % 86400) as ts from orders
-  where o_orderkey in (select l_orderkey from lineitem)),
+@query("fact_orders", """with o as (select *, o_orderdate + interval 1 second * (o_orderkey % 86400) as ts from orders),
  u as (select c_custkey::varchar as k, row_number() over (order by c_custkey::varchar) as id from customer)
 select o_orderkey::varchar as order_key, case when o_orderstatus = 'P' then 'CANCELLED' else 'CLOSED' end as order_status, u.id as user_id,
  s_suppkey as restaurant_id, dense_rank() over (order by ts) as timestamp_id
@@ -264,7 +300,7 @@ def _(t):
     return _order_facts(t)[0]
 
 
-@query("fact_orders_rejects", """with o as (select * from orders where o_orderkey in (select l_orderkey from lineitem))
+@query("fact_orders_rejects", """with o as (select * from orders)
 select o_orderkey::varchar as order_key, 'user' as missing from o where o_custkey not in (select c_custkey from customer)
 union all select o_orderkey::varchar, 'restaurant' from o where o_custkey in (select c_custkey from customer)
  and o_custkey % 10 not in (select s_suppkey from supplier)""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def count_by(df: DataFrame, *keys: str, name: str = "cnt") -> DataFrame:
@@ -19,14 +19,57 @@ def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
     return count_by(df, *keys).where("cnt > 1")
 
 
+# bits of a value, one more for null; times between the years 1 and 9999 need 59
+_BITS = {T.BooleanType: 2, T.ByteType: 9, T.ShortType: 17, T.IntegerType: 33, T.DateType: 33, T.LongType: 65,
+         T.TimestampType: 60, T.TimestampNTZType: 60}
+_FIXED = (*_BITS, T.FloatType, T.DoubleType, T.DecimalType)
+_YEAR_1 = 62_135_596_800_000_000  # microseconds from there to 1970
+
+
+def _whole_number(df: DataFrame, c: str) -> Column:
+    """A value as a number from 1 in the order of its type, 0 for null."""
+    kind, value = df.schema[c].dataType, F.col(c)
+    if isinstance(kind, T.TimestampType):
+        number = F.unix_micros(value).cast("decimal(38,0)") + F.lit(_YEAR_1)
+    elif isinstance(kind, T.TimestampNTZType):
+        number = F.timestamp_diff("MICROSECOND", F.lit("0001-01-01").cast("timestamp_ntz"), value).cast("decimal(38,0)")
+    elif isinstance(kind, T.DateType):
+        number = F.unix_date(value).cast("decimal(38,0)") + F.lit(1 << 31)
+    else:
+        number = value.cast("int" if isinstance(kind, T.BooleanType) else kind).cast("decimal(38,0)") + F.lit(str(1 << (_BITS[type(kind)] - 2))).cast("decimal(38,0)")
+    return F.coalesce(number + 1, F.lit(0).cast("decimal(38,0)"))
+
+
+def _one_number(df: DataFrame, order: list[str]) -> Column | None:
+    """Several order columns as one decimal, if they are whole numbers or times that fit its digits."""
+    kinds = [type(df.schema[c].dataType) for c in order]
+    if not order or any(k not in _BITS for k in kinds) or sum(_BITS[k] for k in kinds) > 125:
+        return None
+    packed = F.lit(0).cast("decimal(38,0)")
+    for c, kind in zip(order, kinds):
+        packed = (packed * F.lit(str(1 << _BITS[kind])).cast("decimal(38,0)") + _whole_number(df, c)).cast("decimal(38,0)")
+    if sum(_BITS[k] for k in kinds) + 65 > 125:
+        return packed
+    # room for a choice between equal rows of the order that reruns repeat
+    row = F.xxhash64(*df.columns).cast("decimal(38,0)") + F.lit(str(1 << 63)).cast("decimal(38,0)")
+    return (packed * F.lit(str(1 << 64)).cast("decimal(38,0)") + row).cast("decimal(38,0)")
+
+
 def pick_per_key(df: DataFrame, keys: list[str], order: list[str], latest: bool = True) -> DataFrame:
     """The whole latest (or earliest) row of each key.
 
-    One aggregate over (order, row) structs: partial results are merged map
-    side, so a key with very many rows never meets in one task as a window
-    would make it. The order columns should be unique within a key.
+    One aggregate: partial results are merged map side, so a key with very many
+    rows never meets in one task as a window would make it. Rows of numbers and
+    times are kept in a hash table under one number made of the order columns; rows
+    with texts or arrays are compared as structs, which Spark sorts for. The order
+    columns should be unique within a key, the last one being there for that; rows
+    equal in a single one are told apart by their hash.
     """
     rest = [c for c in df.columns if c not in keys]
+    number = _one_number(df, order)
+    if number is not None and rest and all(isinstance(df.schema[c].dataType, _FIXED) for c in rest):
+        by = F.max_by if latest else F.min_by
+        return df.withColumn("_order", number).groupBy(*keys).agg(*[by(c, "_order").alias(c) for c in rest]).select(*df.columns)
     ordered = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.struct(*rest).alias("_row"))
     best = (F.max if latest else F.min)(ordered)
     return df.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best._row.*").select(*df.columns)
@@ -41,8 +84,9 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
 
 
 def dedupe(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
-    """One row per key: the earliest by `order`, or any row when none is given."""
-    return first_per_key(df, keys, order) if order else df.dropDuplicates(keys)
+    """One row per key: the earliest by `order`, or by all other columns when none is given, so reruns keep the same row."""
+    rest = order or [c for c in df.columns if c not in keys]
+    return first_per_key(df, keys, rest) if rest else df.dropDuplicates(keys)
 
 
 def two_level(df: DataFrame, keys1: list, aggs1: list[Column], keys2: list, aggs2: list[Column]) -> DataFrame:

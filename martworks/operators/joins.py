@@ -56,10 +56,6 @@ def lookup_default(df: DataFrame, dim: DataFrame, keys: list[str], defaults: dic
     return joined.withColumns({c: F.coalesce(F.col(c), d) for c, d in defaults.items()})
 
 
-def lookup_dim(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    return df.join(dim, key)
-
-
 def join_static(stream: DataFrame, static: DataFrame, key: str, dedup: list[str]) -> DataFrame:
     """Stream rows joined with the deduplicated static side."""
     return stream.join(static.dropDuplicates(dedup), key)

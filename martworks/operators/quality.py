@@ -103,3 +103,21 @@ def describe_table(df: DataFrame) -> DataFrame:
     """Column, type and nullability of a table."""
     rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema]
     return df.sparkSession.createDataFrame(rows, "col_name string, data_type string, nullable boolean")
+
+
+def profile_table(df: DataFrame) -> DataFrame:
+    """Per column: col_name, data_type, n_rows, n_null, n_distinct, is_unique (no value twice, none missing).
+
+    What constraints the data would meet, counted exactly: values are counted
+    first and the counts per column after, so a hot value is one row per task.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    values = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("col_name"), F.col(c).cast("string").alias("value")) for c in kinds])))
+    counted = values.groupBy("col_name", "value").agg(F.count("*").alias("n"))
+    kind = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
+    n_null = F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0))
+    n_distinct = F.count("value")
+    return counted.groupBy("col_name").agg(F.sum("n").alias("n_rows"), n_null.alias("n_null"), n_distinct.alias("n_distinct")).select(
+        "col_name", kind[F.col("col_name")].alias("data_type"), "n_rows", "n_null", "n_distinct",
+        (F.col("n_distinct") == F.col("n_rows")).alias("is_unique"))

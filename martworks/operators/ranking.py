@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from martworks.session import reliable, work_partitions
 
@@ -133,7 +133,3 @@ def tiles(df: DataFrame, values: dict[str, str], id_col: str, n: int = 5) -> Dat
 
 def quintile(df: DataFrame, value: str, id_col: str, n: int = 5, name: str = "tile") -> DataFrame:
     return tiles(df, {name: value}, id_col, n)
-
-
-def rank_column(*order: Column | str) -> Column:
-    return F.row_number().over(Window.orderBy(*order))

@@ -12,11 +12,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update_cols: l
            order: list[str] | None = None) -> DataFrame:
     """Insert new keys, update the listed columns of known keys.
 
-    The source is cut to one row per key first (the latest by `order`), so the
-    join meets each key once on both sides. Rows with a null key are rejected.
+    The source is cut to one row per key first, the latest by `order` or else by
+    all its other columns, so the join meets each key once on both sides and reruns
+    take the same row. Rows with a null key are rejected.
     """
     batch = with_keys(source, *keys)
-    batch = latest_per_key(batch, keys, order) if order else batch.dropDuplicates(keys)
+    rest = order or [c for c in batch.columns if c not in keys]
+    batch = latest_per_key(batch, keys, rest) if rest else batch.dropDuplicates(keys)
     old = target.select(*keys, F.struct(*[c for c in target.columns if c not in keys]).alias("_old"))
     new = batch.select(*keys, F.struct(*[c for c in target.columns if c not in keys]).alias("_new"))
     merged = old.join(new, keys, "full")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from martworks.functions.money import signed_amount, sum_if
 from martworks.operators.filters import on_day
-from martworks.operators.grouping import latest_per_key, two_level
+from martworks.operators.grouping import two_level
 from martworks.operators.upsert import insert_new
 
 
@@ -28,11 +28,9 @@ def new_items(increment: DataFrame, existing: DataFrame) -> DataFrame:
 
 def new_customers(increment: DataFrame, existing: DataFrame) -> DataFrame:
     """Unknown customers: latest name, largest city id."""
-    named = latest_per_key(
-        increment.select("customer_id", "date_time", "uniq_id", "first_name", "last_name"), ["customer_id"], ["date_time", "uniq_id"])
-    city = increment.groupBy("customer_id").agg(F.max("city_id").alias("city_id"))
-    rows = named.join(city, "customer_id").select("customer_id", "first_name", "last_name", "city_id")
-    return insert_new(existing, rows, "customer_id")
+    last = F.max(F.struct("date_time", "uniq_id", "first_name", "last_name")).alias("last")
+    rows = increment.where("customer_id is not null").groupBy("customer_id").agg(last, F.max("city_id").alias("city_id"))
+    return insert_new(existing, rows.select("customer_id", "last.first_name", "last.last_name", "city_id"), "customer_id")
 
 
 def fact_sales(increment: DataFrame, cal: DataFrame, day: str | None = None) -> DataFrame:

@@ -5,10 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martworks.functions.text import canonical_json
+from martworks.operators.grouping import latest_per_key
 from martworks.operators.ranking import batch
+from martworks.sources.runs import RunStore
 from martworks.sources.state import WatermarkStore
 
 
@@ -90,3 +92,22 @@ def copy_documents(source: DataFrame, id_col: str, ts_col: str, state: Watermark
         return last
     finally:
         rows.unpersist()
+
+
+def _latest_document(rows: DataFrame) -> DataFrame:
+    return latest_per_key(rows, ["object_id"], ["update_ts", "object_value"])
+
+
+def document_store(spark: SparkSession, path: str, ts_type: str = "timestamp_ntz") -> RunStore:
+    """Copied documents: the latest version of every object_id, in buckets."""
+    return RunStore(spark, path, f"object_id string, object_value string, update_ts {ts_type}", ["object_id"], merge=_latest_document)
+
+
+def upsert_documents(store: RunStore) -> Callable[[DataFrame], None]:
+    """A `write` for `copy_documents`: inserts new documents and replaces older versions.
+
+    A run repeated after a failure brings the same versions again, which changes nothing.
+    """
+    def write(df: DataFrame) -> None:
+        store.append(_latest_document(df), store.manifest().ledger.get("copy", -1) + 1, "copy")
+    return write

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martworks.functions.text import kafka_text
+from martworks.functions.text import json_message, kafka_text
 
 
 def topic_options(brokers: str, security: dict[str, str] | None = None, **extra: str) -> dict[str, str]:
@@ -26,7 +26,7 @@ def read_topic(spark: SparkSession, topic: str, options: dict[str, str], max_per
 
 def topic_value(df: DataFrame, columns: list[str | Column]) -> DataFrame:
     """The rows with their JSON message as `value`."""
-    return df.withColumn("value", F.to_json(F.struct(*columns)))
+    return df.withColumn("value", json_message(*columns))
 
 
 def topic_rows(df: DataFrame, columns: list[str | Column], batch_id: int | None = None) -> DataFrame:

@@ -35,6 +35,25 @@ def test_latest_per_key_breaks_ties_by_log_id(spark, rows):
     assert rows(grouping.first_per_key(df, ["k"], ["t", "id"])) == [(1, 5, 1, "a"), (2, 1, 3, "c")]
 
 
+def test_rows_of_numbers_are_picked_without_a_sort(spark, rows):
+    df = spark.range(3000).select(
+        (F.col("id") % 7).alias("k"),
+        F.when(F.col("id") % 11 > 0, (F.lit("0001-01-01").cast("timestamp_ntz") + F.make_dt_interval(days=(F.col("id") * 37 % 3000000).cast("int")))).cast("timestamp_ntz").alias("t"),
+        F.when(F.col("id") % 5 > 0, F.col("id") - 1500).otherwise(-9223372036854775807 + F.col("id")).alias("n"), (F.col("id") / 3).alias("x"),
+        F.col("id").cast("decimal(30,2)").alias("d"))
+    for fn, best in ((grouping.latest_per_key, F.max), (grouping.first_per_key, F.min)):
+        got = fn(df, ["k"], ["t", "n"])
+        want = df.groupBy("k").agg(best(F.struct("t", "n", "x", "d")).alias("b")).select("k", "b.*")
+        assert rows(got) == rows(want)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "Sort" not in plan
+    tied = df.withColumn("t", F.to_date(F.lit("2024-01-01"))).drop("n")
+    assert rows(grouping.latest_per_key(tied, ["k"], ["t"])) == rows(grouping.latest_per_key(tied.repartition(7), ["k"], ["t"]))
+    mixed = df.withColumn("t", F.col("t").cast("date")).withColumn("b", F.col("n") > 3)
+    assert rows(grouping.latest_per_key(mixed, ["k"], ["b", "t"]), "k", "b", "t") == rows(
+        mixed.groupBy("k").agg(F.max(F.struct("b", "t")).alias("m")).select("k", "m.b", "m.t"))
+
+
 def test_neighbour_over_ranges_equals_lag(spark):
     df = spark.range(400).select(
         "id", F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 5).alias("u"),
