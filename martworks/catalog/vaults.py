@@ -79,15 +79,30 @@ def chat_staging(t: Tables) -> dict[str, DataFrame]:
     }
 
 
-def _chat(t: Tables, upto: str) -> tuple[dict, dict, dict]:
+def _both(old: dict[str, DataFrame], new: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {table: old[table].unionByName(new[table]) for table in old}
+
+
+def _stored(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {table: reliable(rows) for table, rows in tables.items()}
+
+
+def _chat(t: Tables, upto: str) -> dict[str, DataFrame]:
+    """Tables of one kind after two loads: the second one gets everything and adds what the first one did not have."""
     stg = chat_staging(t)
-    hubs = chat_vault.chat_hubs(stg, {}, _LOAD)
+    first = {**stg, "dialogs": stg["dialogs"].where("message_id % 2 = 0"), "group_log": stg["group_log"].where("user_id % 2 = 0")}
+    old = _stored(chat_vault.chat_hubs(first, {}, _FIRST))
+    hubs = _both(old, chat_vault.chat_hubs(stg, old, _LOAD))
     if upto == "hubs":
-        return hubs, {}, {}
-    links = chat_vault.chat_links(stg, hubs, {}, _LOAD)
+        return hubs
+    hubs = _stored(hubs)
+    known = _stored(chat_vault.chat_links(first, hubs, {}, _FIRST))
+    links = _both(known, chat_vault.chat_links(stg, hubs, known, _LOAD))
     if upto == "links":
-        return hubs, links, {}
-    return hubs, links, chat_vault.chat_satellites(stg, hubs, links, {}, _LOAD)
+        return links
+    links = _stored(links)
+    before = _stored(chat_vault.chat_satellites(first, hubs, links, {}, _FIRST))
+    return _both(before, chat_vault.chat_satellites(stg, hubs, links, before, _LOAD))
 
 
 def _stack(tables: dict[str, DataFrame], columns: dict[str, list[str]], names: str = "abc") -> DataFrame:
@@ -104,7 +119,7 @@ def _stack(tables: dict[str, DataFrame], columns: dict[str, list[str]], names: s
 union all select 'h_groups', md5(n_nationkey::varchar), n_nationkey::varchar, '' from nation
 union all select 'h_dialogs', md5(o_orderkey::varchar), o_orderkey::varchar, '' from orders""")
 def _(t):
-    return _stack(_chat(t, "hubs")[0], {
+    return _stack(_chat(t, "hubs"), {
         "h_users": ["hk_user_id", "user_id"], "h_groups": ["hk_group_id", "group_id"], "h_dialogs": ["hk_message_id", "message_id"]})
 
 
@@ -121,30 +136,30 @@ union all select 'l_user_message', {_link_sql('o_custkey', 'o_orderkey')} from o
 union all select 'l_groups_dialogs', {_link_sql('o_orderkey', 'o_custkey % 25')} from orders where o_orderstatus <> 'P'
 union all select distinct 'l_user_group_activity', {_link_sql('user_id', 'user_id % 25')} from events where user_id in (select c_custkey from customer)""")
 def _(t):
-    return _stack(_chat(t, "links")[1], {
+    return _stack(_chat(t, "links"), {
         "l_admins": ["hk_l_admin_id", "hk_group_id", "hk_user_id"], "l_user_message": ["hk_l_user_message", "hk_user_id", "hk_message_id"],
         "l_groups_dialogs": ["hk_l_groups_dialogs", "hk_message_id", "hk_group_id"],
         "l_user_group_activity": ["hk_l_user_group_activity", "hk_user_id", "hk_group_id"]})
 
 
 @query("chat_satellites", f"""with d as (select timestamp '2000-01-01' as d0)
-select 's_user_chatinfo' as tbl, {_H('c_custkey')} as a, c_name as b, '' as c from customer
-union all select 's_user_socdem', {_H('c_custkey')}, c_mktsegment, c_nationkey::varchar from customer
-union all select 's_group_private_status', {_H('n_nationkey')}, (n_regionkey = 0)::varchar, '' from nation
-union all select 's_group_name', {_H('n_nationkey')}, n_name, '' from nation
-union all select 's_dialog_info', {_H('o_orderkey')}, o_orderpriority, o_custkey::varchar from orders
-union all select 's_admins', md5('32:' || {_H('n_nationkey')} || '|32:' || {_H('n_nationkey')}), 'true', (d0 + interval 1 day * n_nationkey)::varchar
+select 's_user_chatinfo' as tbl, {_H('c_custkey')} as a, c_name as b, '' as c, '' as d from customer
+union all select 's_user_socdem', {_H('c_custkey')}, c_mktsegment, c_nationkey::varchar, '' from customer
+union all select 's_group_private_status', {_H('n_nationkey')}, (n_regionkey = 0)::varchar, '', '' from nation
+union all select 's_group_name', {_H('n_nationkey')}, n_name, '', '' from nation
+union all select 's_dialog_info', {_H('o_orderkey')}, o_orderpriority, o_custkey::varchar, o_custkey::varchar from orders
+union all select 's_admins', md5('32:' || {_H('n_nationkey')} || '|32:' || {_H('n_nationkey')}), 'true', (d0 + interval 1 day * n_nationkey)::varchar, ''
   from nation, d where n_nationkey in (select c_custkey from customer)
 union all select distinct 's_auth_history', md5('32:' || {_H('user_id')} || '|32:' || {_H('user_id % 25')}), case when event_type = 'signup' then 'add' else 'leave' end,
-  {ts_sql('ts')} from events where user_id in (select c_custkey from customer)""")
+  {ts_sql('ts')}, case when event_type = 'signup' then user_id::varchar end from events where user_id in (select c_custkey from customer)""")
 def _(t):
-    sats = _chat(t, "satellites")[2]
+    sats = _chat(t, "satellites")
     sats["s_auth_history"] = sats["s_auth_history"].withColumn("at", F.date_format("event_dt", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     return _stack(sats, {
         "s_admins": ["hk_l_admin_id", "is_admin", "admin_from"], "s_user_chatinfo": ["hk_user_id", "chat_name"],
         "s_user_socdem": ["hk_user_id", "country", "age"], "s_group_private_status": ["hk_group_id", "is_private"],
-        "s_group_name": ["hk_group_id", "group_name"], "s_dialog_info": ["hk_message_id", "message", "message_from"],
-        "s_auth_history": ["hk_l_user_group_activity", "event", "at"]})
+        "s_group_name": ["hk_group_id", "group_name"], "s_dialog_info": ["hk_message_id", "message", "message_from", "message_to"],
+        "s_auth_history": ["hk_l_user_group_activity", "event", "at", "user_id_from"]}, "abcd")
 
 
 @query("group_conversion", f"""with oldest as (select n_nationkey as g from nation order by n_nationkey limit 10),
@@ -156,7 +171,11 @@ select {_H('added.g')} as hk_group_id, cnt_added_users, cnt_messages, cnt_users,
  ((2000000 * cnt_users + cnt_added_users) // (2 * cnt_added_users))::double / 1000000 as group_conversion
 from added join oldest using (g) left join talk using (g)""")
 def _(t):
-    hubs, links, sats = _chat(t, "satellites")
+    stg = chat_staging(t)
+    hubs = chat_vault.chat_hubs(stg, {}, _LOAD)
+    hubs = {**hubs, **_stored({name: hubs[name] for name in ("h_users", "h_groups")})}
+    links = chat_vault.chat_links(stg, hubs, {}, _LOAD)
+    sats = chat_vault.chat_satellites(stg, hubs, links, {}, _LOAD)
     return chat_vault.group_conversion(
         hubs["h_groups"], links["l_groups_dialogs"], links["l_user_message"], links["l_user_group_activity"], sats["s_auth_history"])
 

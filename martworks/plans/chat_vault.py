@@ -35,12 +35,12 @@ def _member(df: DataFrame, column: str, hub: DataFrame, pk: str, name: str) -> D
 
 def chat_links(stg: dict[str, DataFrame], hubs: dict[str, DataFrame], dds: dict[str, DataFrame], load_dt: str) -> dict[str, DataFrame]:
     """New rows of the four links; `hubs` holds the complete hubs."""
-    users, groups, dialogs = hubs["h_users"], hubs["h_groups"], hubs["h_dialogs"]
+    users, groups = hubs["h_users"], hubs["h_groups"]
     admins = _member(_member(stg["groups"].select("id", "admin_id"), "admin_id", users, "hk_user_id", "user_id"),
                      "id", groups, "hk_group_id", "group_id")
-    # both message links start from one join of messages and their hub
-    messages = _member(stg["dialogs"].select("message_id", "message_from", "message_group"),
-                       "message_id", dialogs, "hk_message_id", "message_id")
+    # the hub of messages is loaded from the same rows: its key is a hash, and no message can be missing there
+    messages = stg["dialogs"].where("message_id is not null").select(
+        hash_key(F.col("message_id")).alias("hk_message_id"), "message_from", "message_group")
     written = _member(messages, "message_from", users, "hk_user_id", "user_id")
     posted = _member(messages, "message_group", groups, "hk_group_id", "group_id")
     activity = _member(_member(stg["group_log"].select("user_id", "group_id").distinct(), "user_id", users, "hk_user_id", "user_id"),
