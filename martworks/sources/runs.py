@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 BUCKETS, FAN = 16, 8
-_MANIFEST = "version long, ledger string, run string, level int"
+_MANIFEST = "version long, buckets int, ledger string, run string, level int"
 
 
 @dataclass(frozen=True)
@@ -58,11 +58,13 @@ class RunStore:
         rows = [r for r in rows if r.version == last]
         if not rows:
             return Manifest()
+        if rows[0].buckets != self.buckets:
+            raise ValueError(f"{self.path} has {rows[0].buckets} buckets, not {self.buckets}")
         return Manifest(last, json.loads(rows[0].ledger), tuple(sorted((r.run, r.level) for r in rows if r.run is not None)))
 
     def _switch(self, new: Manifest) -> Manifest:
         ledger = json.dumps(new.ledger, sort_keys=True)
-        rows = [(new.version, ledger, run, level) for run, level in new.runs] or [(new.version, ledger, None, None)]
+        rows = [(new.version, self.buckets, ledger, run, level) for run, level in new.runs or [(None, None)]]
         self.spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("overwrite").parquet(
             f"{self.path}/manifest/slot{new.version % 2}")
         return new

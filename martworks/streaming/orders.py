@@ -30,19 +30,19 @@ def raw_store(spark: SparkSession, root: str, buckets: int = BUCKETS, fan: int =
                     buckets, fan, _latest_message)
 
 
-def _use(orders: DataFrame, root: str, dimensions: Dimensions, number: int, load_dt: str, source: str, out: int) -> DataFrame:
+def _use(orders: DataFrame, root: str, dimensions: Dimensions, number: int, load_dt: str, source: str, out: int, buckets: int) -> DataFrame:
     """Enriches parsed orders; known ones go to the vault and the counters, the others are parked. Returns the enriched ones."""
     spark = orders.sparkSession
     enriched = reliable(enrich_orders(orders, *dimensions, "sent_dttm"))
     known, unknown = split_known(enriched)
-    ParkedOrders(spark, root).park(unknown, number, source)
-    OrderVault(spark, f"{root}/vault").load(known, number, load_dt, source)
+    ParkedOrders(spark, root, buckets).park(unknown, number, source)
+    OrderVault(spark, f"{root}/vault", buckets).load(known, number, load_dt, source)
     write_batch(user_message(known), f"{root}/messages", out)
     return enriched
 
 
 def order_writer(root: str, users: DataFrame, restaurants: DataFrame, menu: DataFrame,
-                 load_dt: Callable[[int], str]) -> Callable[[DataFrame, int], None]:
+                 load_dt: Callable[[int], str], buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
     """`foreachBatch` function for messages with a `value`.
 
     Every message counts: it is malformed (dead letters), or stored raw and then known
@@ -52,16 +52,17 @@ def order_writer(root: str, users: DataFrame, restaurants: DataFrame, menu: Data
 
     All stores take a batch once, so repeating it completes what a failure left
     out. What the vault says does not depend on how messages are dealt to batches or in
-    which order they come.
+    which order they come. `buckets` is the number of key buckets of every store;
+    whoever reads them gives the same.
     """
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         messages = reliable(read_messages(df.select("value"), schemas.ORDER_MESSAGE, "object_id"))
-        DeadLetters(spark, f"{root}/dead").keep(messages, batch_id)
+        DeadLetters(spark, f"{root}/dead", buckets).keep(messages, batch_id)
         orders = messages.where("reason is null").select("object_id", "object_type", "sent_dttm", "payload")
-        raw_store(spark, root).append(
+        raw_store(spark, root, buckets).append(
             _latest_message(orders.withColumn("payload", F.to_json("payload"))), batch_id)
-        enriched = _use(orders, root, (users, restaurants, menu), batch_id, load_dt(batch_id), "stream", batch_id)
+        enriched = _use(orders, root, (users, restaurants, menu), batch_id, load_dt(batch_id), "stream", batch_id, buckets)
         write_batch(_batch_counts(messages, enriched), f"{root}/batches", batch_id)
     return write
 
@@ -78,7 +79,8 @@ def _batch_counts(messages: DataFrame, enriched: DataFrame) -> DataFrame:
     return total.withColumn("n_repeated", F.col("n_in") - F.col("n_malformed") - F.col("n_known") - F.col("n_parked"))
 
 
-def release_parked(root: str, arrived: Dimensions, dimensions: Dimensions, number: int, load_dt: str) -> DataFrame:
+def release_parked(root: str, arrived: Dimensions, dimensions: Dimensions, number: int, load_dt: str,
+                   buckets: int = BUCKETS) -> DataFrame:
     """Uses the parked orders that waited for rows of `arrived`, new rows of the dimensions; returns what became of them.
 
     Only the buckets of the new keys are read, and only their orders enriched,
@@ -86,13 +88,13 @@ def release_parked(root: str, arrived: Dimensions, dimensions: Dimensions, numbe
     parked; one that leaves does so once. `number` counts the releases from 0; a
     release that is repeated adds nothing.
     """
-    parking = ParkedOrders(dimensions[0].sparkSession, root)
+    parking = ParkedOrders(dimensions[0].sparkSession, root, buckets)
     again = parking.released.holds(number, "release")
     orders = reliable(parking.waiting(dimension_keys(*arrived)).where(F.lit(not again)).drop("row_id"))
     if again:
         return orders.select("object_id", "sent_dttm", F.lit(True).alias("released"))
     # user messages of releases stand beside those of the batches, under negative numbers
-    enriched = _use(orders, root, dimensions, number, load_dt, "release", -1 - number)
+    enriched = _use(orders, root, dimensions, number, load_dt, "release", -1 - number, buckets)
     known = split_known(enriched)[0]
     parking.released.append(known.select("object_id", "sent_dttm", as_message(known).alias("payload")).select(
         parking.row_id().alias("row_id")).distinct(), number, "release")

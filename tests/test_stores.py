@@ -56,6 +56,12 @@ def test_a_run_that_was_not_listed_is_written_again(spark, tmp_path, rows):
     assert rows(store.read()) == [(0,), (1,), (2,)]
 
 
+def test_another_bucket_count_is_an_error(spark, tmp_path):
+    RunStore(spark, f"{tmp_path}/t", "k long", ["k"], buckets=2).append(spark.range(3).select(F.col("id").alias("k")), 0)
+    with pytest.raises(ValueError):
+        RunStore(spark, f"{tmp_path}/t", "k long", ["k"], buckets=4).near(spark.range(1).select(F.col("id").alias("k")))
+
+
 def test_rows_that_replace_each_other(spark, tmp_path, rows):
     latest = lambda df: df.groupBy("k").agg(F.max_by("v", "at").alias("v"), F.max("at").alias("at"))
     store = RunStore(spark, f"{tmp_path}/t", "k string, v int, at int", ["k"], 2, 2, latest)

@@ -187,9 +187,9 @@ def sizes_of(vault):
 
 def test_order_stream(spark, tmp_path, rows):
     box, root = tmp_path / "in", f"{tmp_path}/dds"
-    write = orders.order_writer(root, *dims(spark), lambda b: f"2022-02-{b + 1:02d} 00:00:00")
+    write = orders.order_writer(root, *dims(spark), lambda b: f"2022-02-{b + 1:02d} 00:00:00", 2)
     run = lambda: orders.run_orders(topic(spark, box), write, f"{tmp_path}/ck").awaitTermination()
-    vault = OrderVault(spark, f"{root}/vault")
+    vault = OrderVault(spark, f"{root}/vault", 2)
     put(box, "1.json", [order(1, "OPEN", ["a", "b"]), order(2, "OPEN", ["a"]), order(3, "OPEN", ["zzz"]), "{broken", None, order(2, "OPEN", ["a"])])
     run()
     sizes = sizes_of(vault)
@@ -199,35 +199,35 @@ def test_order_stream(spark, tmp_path, rows):
     assert rows(vault.table("s_order_cost"), "cost", "payment")[0][0] == 10
     counted = lambda: rows(spark.read.parquet(f"{root}/batches"), "batch_id", "n_in", "n_malformed", "n_repeated", "n_known", "n_parked")
     assert counted() == [(0, 6, 2, 1, 2, 1)]
-    assert rows(ParkedOrders(spark, root).parked(), "object_id") == [(3,)]
-    assert rows(DeadLetters(spark, f"{root}/dead").read(), "reason", "n") == [("empty", 1), ("malformed", 1)]
+    assert rows(ParkedOrders(spark, root, 2).parked(), "object_id") == [(3,)]
+    assert rows(DeadLetters(spark, f"{root}/dead", 2).read(), "reason", "n") == [("empty", 1), ("malformed", 1)]
     put(box, "2.json", [order(1, "OPEN", ["a", "b"]), order(2, "CLOSED", ["a"], "2022-01-02 00:00:00")])
     run()
     after = sizes_of(vault)
     assert {t: n - sizes[t] for t, n in after.items() if n != sizes[t]} == {"s_order_status": 1}  # only the changed status
-    raw = orders.raw_store(spark, root).read()
+    raw = orders.raw_store(spark, root, 2).read()
     assert rows(raw, "object_id") == [(1,), (2,), (3,)] and "CLOSED" in rows(raw.where("object_id = 2"), "payload")[0][0]
 
 
 def test_a_parked_order_appears_once_its_keys_do(spark, tmp_path, rows):
     root = f"{tmp_path}/dds"
     users, restaurants, menu = dims(spark)
-    write = orders.order_writer(root, users.where("false"), restaurants, menu.where("id = 'a'"), lambda b: "2022-02-01 00:00:00")
+    write = orders.order_writer(root, users.where("false"), restaurants, menu.where("id = 'a'"), lambda b: "2022-02-01 00:00:00", 2)
     sent = [order(1, "OPEN", ["a"]), order(2, "OPEN", ["a", "b"]), order(3, "OPEN", []), order(1, "CLOSED", ["a"], "2022-01-05 00:00:00")]
     write(spark.createDataFrame([(json.dumps(m),) for m in sent], "value string"), 0)
-    vault, parking = OrderVault(spark, f"{root}/vault"), ParkedOrders(spark, root)
+    vault, parking = OrderVault(spark, f"{root}/vault", 2), ParkedOrders(spark, root, 2)
     assert vault.table("h_order").count() == 0
     assert rows(parking.parked().select("object_id", F.transform("lacks", lambda x: x["kind"]).alias("k")), "object_id", "k") == [
         (1, ["user"]), (1, ["user"]), (2, ["item", "user"]), (3, ["user"])]
     none = (users.where("false"), restaurants.where("false"), menu.where("false"))
     # the user arrives, the item does not
     first = (users, none[1], none[2]), (users, restaurants, menu.where("id = 'a'"))
-    assert rows(orders.release_parked(root, *first, 0, "2022-02-02 00:00:00"), "object_id", "released") == [(1, True), (1, True), (2, False), (3, True)]
+    assert rows(orders.release_parked(root, *first, 0, "2022-02-02 00:00:00", 2), "object_id", "released") == [(1, True), (1, True), (2, False), (3, True)]
     assert rows(vault.table("h_order"), "order_id") == [(1,), (3,)]
     assert rows(vault.table("s_order_status"), "status") == [("CLOSED",), ("OPEN",), ("OPEN",)]
-    assert orders.release_parked(root, *first, 0, "2022-02-02 00:00:00").count() == 0  # repeated
+    assert orders.release_parked(root, *first, 0, "2022-02-02 00:00:00", 2).count() == 0  # repeated
     second = (none[0], none[1], menu.where("id = 'b'")), (users, restaurants, menu)
-    assert rows(orders.release_parked(root, *second, 1, "2022-02-03 00:00:00"), "object_id", "released") == [(2, True)]
+    assert rows(orders.release_parked(root, *second, 1, "2022-02-03 00:00:00", 2), "object_id", "released") == [(2, True)]
     assert parking.parked().count() == 0 and vault.table("h_order").count() == 3
     messages = spark.read.parquet(f"{root}/messages")
     assert sorted(r.order_id for r in messages.collect()) == [1, 1, 2, 3]
@@ -258,10 +258,10 @@ def test_bounded_batches(spark, tmp_path):
 def test_status_history_is_the_same_however_messages_arrive(spark, tmp_path, rows, deal):
     sent = [order(1, s, ["a"], f"2022-01-0{d} 00:00:00") for d, s in ((1, "A"), (2, "B"), (3, "A"))]
     root = f"{tmp_path}/dds"
-    write = orders.order_writer(root, *dims(spark), lambda b: "2022-02-01 00:00:00")
+    write = orders.order_writer(root, *dims(spark), lambda b: "2022-02-01 00:00:00", 2)
     for number, part in enumerate(deal):
         write(spark.createDataFrame([(json.dumps(sent[i]),) for i in part], "value string"), number)
-    vault = OrderVault(spark, f"{root}/vault")
+    vault = OrderVault(spark, f"{root}/vault", 2)
     assert rows(vault.table("s_order_status").select(F.dayofmonth("load_dt").alias("d"), "status"), "d", "status") == [(1, "A"), (2, "B"), (3, "A")]
     assert vault.table("s_order_cost").count() == 1 and vault.table("s_user_names").count() == 1
 
