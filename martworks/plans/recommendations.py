@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from martworks.functions.geo import EARTH_KM, haversine_km, metre_cell
 from martworks.operators.grouping import latest_per_key
 from martworks.operators.joins import salted_pairs
 from martworks.plans.geo_events import all_messages, geo_events, subscriptions
+from martworks.session import reliable
 
 # The cell itself and the 13 cells ahead of it: each pair of touching cells meets once.
 _AHEAD = [(x, y, z) for x in (-1, 0, 1) for y in (-1, 0, 1) for z in (-1, 0, 1) if (x, y, z) >= (0, 0, 0)]
+# Keys a user carries at most to tell which one owns a pair.
+SHORT_LIST = 256
 
 
 def contacts(events: DataFrame) -> DataFrame:
@@ -20,38 +23,75 @@ def contacts(events: DataFrame) -> DataFrame:
         F.least("user_id", "user_id_to").alias("user_left"), F.greatest("user_id", "user_id_to").alias("user_right")).distinct()
 
 
-def near_pairs(points: DataFrame, key: str, km: float, block: int = 5000) -> DataFrame:
-    """Unordered pairs (u < v) that share `key` and are at most `km` apart.
-
-    `points` has one row per (user_id, key) with lat and lon. The join is on
-    (key, cell of edge km), not on the key: users of a channel who are far apart
-    never meet. Two users of one cell are within sqrt(3) km, so the candidates
-    stay within a constant factor of the answers. Hot cells are cut into blocks.
-    """
-    cell = metre_cell(F.col("lat"), F.col("lon"), km)
-    placed = points.withColumns({f"_c{a}": c for a, c in cell.items()})
-    left = placed.select(
-        F.col(key), F.col("user_id").alias("u"), F.col("lat").alias("lat_u"), F.col("lon").alias("lon_u"), "_cx", "_cy", "_cz",
-        F.explode(F.array(*[
-            F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(z).alias("z")) for x, y, z in _AHEAD])).alias("_step"))
-    left = left.withColumn("_same", (F.col("_step.x") == 0) & (F.col("_step.y") == 0) & (F.col("_step.z") == 0))
-    left = left.withColumns({f"_c{a}": F.col(f"_c{a}") + F.col(f"_step.{a}") for a in "xyz"})
-    # cubes which the sphere does not cross hold no user
-    edge = km / EARTH_KM
+def _on_sphere(km: float) -> Column:
+    """Whether the sphere crosses the cube of edge `km` named by _ox, _oy, _oz."""
+    edge, slack = km / EARTH_KM, 1e-9
     near2, far2 = F.lit(0.0), F.lit(0.0)
     for a in "xyz":
-        low, high = F.col(f"_c{a}") * edge, (F.col(f"_c{a}") + 1) * edge
+        low, high = F.col(f"_o{a}") * edge, (F.col(f"_o{a}") + 1) * edge
         inner = F.when((low <= 0) & (high >= 0), F.lit(0.0)).otherwise(F.least(F.abs(low), F.abs(high)))
         outer = F.greatest(F.abs(low), F.abs(high))
         near2, far2 = near2 + inner * inner, far2 + outer * outer
-    slack = 1e-9
-    left = left.where((near2 <= 1 + slack) & (far2 >= 1 - slack)).drop("_step")
-    right = placed.select(F.col(key), F.col("user_id").alias("v"), F.col("lat").alias("lat_v"), F.col("lon").alias("lon_v"),
-                          "_cx", "_cy", "_cz")
-    met = salted_pairs(left, right, [key, "_cx", "_cy", "_cz"], F.col("u"), F.col("v"), block)
+    return (near2 <= 1 + slack) & (far2 >= 1 - slack)
+
+
+def near_pairs(points: DataFrame, key: str, km: float, block: int = 5000, most: int = SHORT_LIST) -> DataFrame:
+    """Unordered pairs (u < v) that share `key` and are at most `km` apart.
+
+    `points` has one row per (user_id, key) with lat and lon, the same in all
+    rows of a user. The join is on (key, cell of edge km), not on the key: users
+    of a channel who are far apart never meet. Occupied cells are counted and
+    paired first, so a user row is repeated for occupied neighbours only, and a
+    user alone in a neighbourhood is not joined at all. Two users of one cell
+    are within sqrt(3) km, so the candidates stay within a constant factor of the
+    answers. Hot cells are cut into blocks.
+
+    A pair belongs to the smallest key under which it meets: each user carries
+    the keys that have somebody near, and other keys pass the pair over, so
+    pairs need no `distinct`. Users with more than `most` such keys carry none;
+    only pairs with such a user are made unique afterwards.
+    """
+    axes = ["_cx", "_cy", "_cz"]
+    cell = metre_cell(F.col("lat"), F.col("lon"), km)
+    # written, because cells, lists and both sides of the join read it
+    placed = reliable(points.select("user_id", key, "lat", "lon", *[c.alias(f"_c{a}") for a, c in cell.items()]))
+    cells = placed.groupBy(key, *axes).agg(F.count("*").alias("_n"))
+    steps = F.explode(F.array(*[F.struct(*[F.lit(v).alias(a) for a, v in zip("xyz", at)]) for at in _AHEAD]))
+    ahead = cells.withColumn("_step", steps).select(
+        key, *axes, "_n", *[(F.col(f"_c{a}") + F.col(f"_step.{a}")).alias(f"_o{a}") for a in "xyz"]).where(_on_sphere(km))
+    same = (F.col("_cx") == F.col("_ox")) & (F.col("_cy") == F.col("_oy")) & (F.col("_cz") == F.col("_oz"))
+    others = cells.select(key, *[F.col(f"_c{a}").alias(f"_o{a}") for a in "xyz"])
+    meet = reliable(ahead.withColumn("_same", same).where(~F.col("_same") | (F.col("_n") > 1)).join(
+        others, [key, "_ox", "_oy", "_oz"]).drop("_n"))
+    busy = meet.select(key, *axes).unionByName(
+        meet.select(key, *[F.col(f"_o{a}").alias(f"_c{a}") for a in "xyz"])).distinct()
+    near = reliable(placed.join(busy, [key, *axes]))
+
+    counts = near.groupBy("user_id").agg(F.count("*").alias("_keys"))
+    short = counts.where(F.col("_keys") <= most).select("user_id")
+    lists = near.select("user_id", key).join(short, "user_id").groupBy("user_id").agg(F.collect_set(key).alias("_list"))
+    listed = near.join(lists, "user_id", "left")
+    left = listed.join(meet, [key, *axes]).select(
+        key, F.col("user_id").alias("u"), F.col("lat").alias("lat_u"), F.col("lon").alias("lon_u"), F.col("_list").alias("_lu"),
+        "_same", "_ox", "_oy", "_oz")
+    right = listed.select(
+        key, F.col("user_id").alias("v"), F.col("lat").alias("lat_v"), F.col("lon").alias("lon_v"), F.col("_list").alias("_lv"),
+        *[F.col(f"_c{a}").alias(f"_o{a}") for a in "xyz"])
     close = haversine_km(F.col("lat_u"), F.col("lon_u"), F.col("lat_v"), F.col("lon_v")) <= km
-    return met.where((F.col("u") != F.col("v")) & (~F.col("_same") | (F.col("u") < F.col("v"))) & close).select(
-        F.least("u", "v").alias("user_left"), F.greatest("u", "v").alias("user_right")).distinct()
+    once = (F.col("u") != F.col("v")) & (~F.col("_same") | (F.col("u") < F.col("v")))
+
+    def pairs(a: DataFrame, b: DataFrame, condition: Column) -> DataFrame:
+        met = salted_pairs(a, b, [key, "_ox", "_oy", "_oz"], F.col("u"), F.col("v"), block)
+        return met.where(once & close & condition).select(
+            F.least("u", "v").alias("user_left"), F.greatest("u", "v").alias("user_right"))
+
+    owner = F.array_min(F.array_intersect("_lu", "_lv")) == F.col(key)
+    owned = pairs(left.where("_lu is not null"), right.where("_lv is not null"), owner)
+    if not counts.where(F.col("_keys") > most).head(1):
+        return owned
+    rest = pairs(left.where("_lu is null"), right, F.lit(True)).unionByName(
+        pairs(left.where("_lu is not null"), right.where("_lv is null"), F.lit(True)))
+    return owned.unionByName(rest.distinct())
 
 
 def recommendation_mart(events: DataFrame, places: DataFrame, users: DataFrame, run_date: str, km: float = 1.0) -> DataFrame:

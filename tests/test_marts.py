@@ -295,3 +295,27 @@ def test_near_pairs_equal_brute_force(spark):
     for block in (5000, 2):
         got = recommendations.near_pairs(pts, "channel", 1.0, block)
         assert got.count() == want.count() > 100 and got.exceptAll(want).count() == 0
+
+
+def test_a_pair_with_several_shared_channels_has_one_owner(spark):
+    base = spark.range(60).select(
+        F.col("id").alias("user_id"), (10 + (F.col("id") * 7919 % 200) / 10000).alias("lat"), (20 + (F.col("id") * 104729 % 200) / 10000).alias("lon"))
+    # user n is in channels n % 4 to 11, so pairs share up to twelve; user 59 is alone far away
+    pts = base.withColumn("lat", F.when(F.col("user_id") == 59, -50.0).otherwise(F.col("lat"))).withColumn(
+        "channel", F.explode(F.sequence(F.col("user_id") % 4, F.lit(11))))
+    from martworks.functions.geo import haversine_km
+    a, b = pts.alias("a"), pts.alias("b")
+    want = a.join(b, (F.col("a.channel") == F.col("b.channel")) & (F.col("a.user_id") < F.col("b.user_id"))).where(
+        haversine_km(F.col("a.lat"), F.col("a.lon"), F.col("b.lat"), F.col("b.lon")) <= 1).select(
+            F.col("a.user_id").alias("user_left"), F.col("b.user_id").alias("user_right")).distinct()
+    # all lists short, some short, none short
+    for block, most in ((5000, 256), (3, 256), (3, 10), (5000, 0)):
+        got = recommendations.near_pairs(pts, "channel", 1.0, block, most)
+        assert got.count() == want.count() > 100 and got.exceptAll(want).count() == 0
+    whole = recommendations.near_pairs(pts, "channel", 1.0)
+    assert "HashAggregate(keys=[user_left" not in whole._jdf.queryExecution().executedPlan().toString()
+
+
+def test_near_pairs_of_nobody(spark):
+    none = spark.createDataFrame([], "user_id bigint, channel bigint, lat double, lon double")
+    assert recommendations.near_pairs(none, "channel", 1.0).count() == 0
