@@ -83,20 +83,28 @@ def enrich_items(df: DataFrame, order_key: str, items: str, item_key: str, menu:
 
 
 def salted_pairs(left: DataFrame, right: DataFrame, on: list[str], left_spread: Column, right_spread: Column,
-                 target: int) -> DataFrame:
+                 target: int, sizes: DataFrame | None = None) -> DataFrame:
     """Inner equi-join that cuts hot keys into blocks on both sides.
 
-    Keys are counted first. A key with more than `target` rows on a side is cut
+    Keys are counted first, unless `sizes` (the keys, `_nl`, `_nr`: rows of a key
+    at most, left and right) is known already. A key with more than `target` rows on a side is cut
     there into ceil(count / target) blocks by the hash of the spread column;
     each row meets every block of the other side once. So no task compares more
     than about target x target rows, and every pair still appears exactly once.
     Keys under the target, normally almost all, have one block and no copies.
     """
+    def cuts(n: str) -> Column:
+        return F.ceil(F.col(n) / F.lit(target)).cast("int")
+
     def blocks(df: DataFrame, name: str) -> DataFrame:
         counted = df.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > target)
-        return counted.select(*on, F.ceil(F.col("_n") / F.lit(target)).cast("int").alias(name))
+        return counted.select(*on, cuts("_n").alias(name))
 
-    hot = blocks(left, "_bl").join(blocks(right, "_br"), on, "full")
+    if sizes is None:
+        hot = blocks(left, "_bl").join(blocks(right, "_br"), on, "full")
+    else:
+        hot = sizes.where((F.col("_nl") > target) | (F.col("_nr") > target)).select(
+            *on, cuts("_nl").alias("_bl"), cuts("_nr").alias("_br"))
     nl, nr = F.coalesce("_bl", F.lit(1)), F.coalesce("_br", F.lit(1))
 
     def cut(df: DataFrame, own: str, n_own: Column, spread: Column, other: str, n_other: Column) -> DataFrame:

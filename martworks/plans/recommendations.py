@@ -60,9 +60,10 @@ def near_pairs(points: DataFrame, key: str, km: float, block: int = 5000, most:
     ahead = cells.withColumn("_step", steps).select(
         key, *axes, "_n", *[(F.col(f"_c{a}") + F.col(f"_step.{a}")).alias(f"_o{a}") for a in "xyz"]).where(_on_sphere(km))
     same = (F.col("_cx") == F.col("_ox")) & (F.col("_cy") == F.col("_oy")) & (F.col("_cz") == F.col("_oz"))
-    others = cells.select(key, *[F.col(f"_c{a}").alias(f"_o{a}") for a in "xyz"])
+    others = cells.select(key, *[F.col(f"_c{a}").alias(f"_o{a}") for a in "xyz"], F.col("_n").alias("_no"))
     meet = reliable(ahead.withColumn("_same", same).where(~F.col("_same") | (F.col("_n") > 1)).join(
-        others, [key, "_ox", "_oy", "_oz"]).drop("_n"))
+        others, [key, "_ox", "_oy", "_oz"]))
+    sizes = meet.groupBy(key, "_ox", "_oy", "_oz").agg(F.sum("_n").alias("_nl"), F.max("_no").alias("_nr"))
     busy = meet.select(key, *axes).unionByName(
         meet.select(key, *[F.col(f"_o{a}").alias(f"_c{a}") for a in "xyz"])).distinct()
     near = reliable(placed.join(busy, [key, *axes]))
@@ -81,7 +82,7 @@ def near_pairs(points: DataFrame, key: str, km: float, block: int = 5000, most:
     once = (F.col("u") != F.col("v")) & (~F.col("_same") | (F.col("u") < F.col("v")))
 
     def pairs(a: DataFrame, b: DataFrame, condition: Column) -> DataFrame:
-        met = salted_pairs(a, b, [key, "_ox", "_oy", "_oz"], F.col("u"), F.col("v"), block)
+        met = salted_pairs(a, b, [key, "_ox", "_oy", "_oz"], F.col("u"), F.col("v"), block, sizes)
         return met.where(once & close & condition).select(
             F.least("u", "v").alias("user_left"), F.greatest("u", "v").alias("user_right"))
 
