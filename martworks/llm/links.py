@@ -8,7 +8,30 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from martworks.llm.common import Forest, block_pairs
+from martworks.llm.common import block_pairs
+
+
+def joined(linked: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(rows, columns) of each connected part of a matrix of links, rows without links left out.
+
+    Parts are grown by whole rows and columns, each of which is read once.
+    """
+    seen_row, seen_column = np.zeros(len(linked), bool), np.zeros(linked.shape[1], bool)
+    parts = []
+    for first in np.flatnonzero(linked.any(axis=1)):
+        if seen_row[first]:
+            continue
+        rows, columns, front = [], [], np.array([first])
+        seen_row[first] = True
+        while len(front):
+            rows.append(front)
+            reached = np.flatnonzero(linked[front].any(axis=0) & ~seen_column)
+            seen_column[reached] = True
+            columns.append(reached)
+            front = np.flatnonzero(linked[:, reached].any(axis=1) & ~seen_row)
+            seen_row[front] = True
+        parts.append((np.concatenate(rows), np.concatenate(columns)))
+    return parts
 
 
 def count_links(members: DataFrame, weight: str, target: float, likeness: Callable, threshold: float) -> DataFrame:
@@ -28,20 +51,21 @@ def count_links(members: DataFrame, weight: str, target: float, likeness: Callab
             a = b = np.arange(n)
         else:
             a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        links, forest = np.zeros(n, np.int64), Forest(n)
+        links, root = np.zeros(n, np.int64), ids.copy()
         if len(a) and len(b):
             bodies = list(frame["body"])
             linked = likeness([bodies[i] for i in a], [bodies[i] for i in b]) >= threshold
             if side[0] == -1:
                 np.fill_diagonal(linked, False)
             links[a] += linked @ copies[b]
-            if side[0] != -1:
+            if side[0] == -1:
+                # rows and columns are the same members, so a part holds both sides of each
+                np.fill_diagonal(linked, links > 0)
+            else:
                 links[b] += linked.T @ copies[a]
-            for i in range(len(a)):
-                # one link to the smallest partner and to each new tree
-                for j in np.flatnonzero(linked[i]):
-                    forest.link(int(a[i]), int(b[j]))
-        root = np.array([ids[forest.root(i)] for i in range(n)])
+            for rows, columns in joined(linked):
+                part = np.concatenate([a[rows], b[columns]])
+                root[part] = ids[part].min()
         found = links > 0
         return pd.DataFrame({"id": ids[found], "links": links[found], "root": root[found]})
 

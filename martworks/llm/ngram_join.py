@@ -17,6 +17,8 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 # n-grams compared in one task: two blocks of this size
 BLOCK = 400_000
+# documents compared in one task: two blocks of this size, so the matrix of a task is bounded however short the texts
+BLOCK_DOCS = 2_000
 
 
 def bands_and_rows(threshold: float, recall: float, most: int = 160) -> tuple[int, int]:
@@ -125,8 +127,9 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOL
         chosen.select("id", "grp", "copies", "grams", "h1", "h2"), ["h1", "h2"]).where("doc_id = id").dropDuplicates(["h1", "h2"])
     members = plain.join(bearer, ["doc_id", "row_key"]).dropDuplicates(["h1", "h2"]).select(
         "grp", "id", "copies", "grams", "text").mapInPandas(
-        _sets(n), "grp long, id long, copies long, grams long, body binary")
-    linked = staged(count_links(members, "grams", BLOCK, jaccard, threshold))
+        _sets(n), "grp long, id long, copies long, grams long, body binary").withColumn(
+        "weight", F.greatest(F.col("grams"), F.lit(-(-BLOCK // BLOCK_DOCS))))
+    linked = staged(count_links(members, "weight", BLOCK, jaccard, threshold))
     edges = linked.select(F.col("id").alias("u"), F.explode("roots").alias("v"))
     found = staged(components(edges))
     per_class = classes.join(linked.groupBy("id").agg(F.sum("links").alias("links")), "id", "left").join(
