@@ -22,11 +22,15 @@ BLOCK_DOCS = 2_000
 
 
 def bands_and_rows(threshold: float, recall: float, most: int = 160) -> tuple[int, int]:
-    """Most rows a band (so fewest false candidates) whose bands reach the recall at the threshold within `most` hashes."""
-    best = (most, 1)
+    """Most rows a band (so fewest false candidates) whose bands reach the recall at the threshold within `most` hashes.
+
+    Where even single rows need more hashes, the recall counts and `most` gives way.
+    """
+    if threshold >= 1:
+        return 1, 12
     for rows in range(1, 13):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold ** rows))
-        if bands * rows <= most:
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-threshold ** rows))
+        if rows == 1 or bands * rows <= most:
             best = (bands, rows)
     return best
 

@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from martworks.llm import embeddings, links, ngram_join, quotes
 from martworks.llm.bytesmath import shingles, words
@@ -81,6 +80,14 @@ def test_connected_parts_of_a_matrix():
             assert set(np.flatnonzero(np.array(low[:40]) == low[rows[0]])) == set(rows)
 
 
+def test_bands_reach_the_recall():
+    assert ngram_join.bands_and_rows(0.8, 0.9999) == (24, 5)
+    for threshold in (0.02, 0.3, 0.5, 0.8, 0.95):
+        bands, rows = ngram_join.bands_and_rows(threshold, 0.999)
+        assert 1 - (1 - threshold ** rows) ** bands >= 0.999
+    assert ngram_join.bands_and_rows(1.0, 0.999) == (1, 12)
+
+
 def test_many_short_near_copies(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 50)
     # texts differ in their last or first word: each is linked to those that differ at the same end
