@@ -46,3 +46,11 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = plan_of(QUERIES["rows_absent"](spark, SF))
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)" in plan
     assert re.search(r"ReadSchema: struct<o_custkey:bigint,o_orderstatus:string>", plan)
+
+
+def test_growing_dimensions_are_not_broadcast(spark):
+    """The menu is exploded and Spark guesses it at a tenth of its size; users grow too: both are shuffled, whatever Spark guesses."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100m")
+    plan = plan_of(QUERIES["order_rejects"](spark, SF))
+    assert not re.search(r"BroadcastHashJoin \[user_id|BroadcastHashJoin \[[^\]]*_i_id", plan)
+    assert re.search(r"SortMergeJoin \[restaurant_id#\d+, _i_id", plan)
