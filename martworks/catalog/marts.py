@@ -81,13 +81,13 @@ def shipping_log(t: Tables) -> DataFrame:
     line = t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", money("l_extendedprice").alias("price"),
         money("l_tax").alias("tax"), money("l_discount").alias("discount"), "l_returnflag", "l_linestatus")
-    one = line.withColumn("shipping_id", F.md5(F.concat_ws(
-        "|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyy-MM-dd"),
-        "price", "tax", "discount", "l_returnflag", "l_linestatus")))
     nation = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("o_custkey"), "n_name", "n_nationkey")
-    orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
-    rows = one.join(orders, "l_orderkey").join(nation, "o_custkey")
+    orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate").join(nation, "o_custkey")
+    # lines are moved once, and before they carry a digest, which does not compress
+    rows = line.join(orders, "l_orderkey").withColumn("shipping_id", F.md5(F.concat_ws(
+        "|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyy-MM-dd"),
+        "price", "tax", "discount", "l_returnflag", "l_linestatus")))
     percent = lambda c: (F.col(c) * 100).cast("bigint")
     agreement = F.concat_ws(":", F.col("l_suppkey") * 10000 + percent("tax") * 100 + percent("discount"),
                             F.concat(F.lit("agreement-"), F.col("l_suppkey")), F.col("tax"), F.col("discount"))
