@@ -49,16 +49,12 @@ def dense_ids(df: DataFrame, order: list[str], name: str = "id", start: int = 1)
     """Dense integer ids from `start` in the given order (unique columns)."""
     laid = _sorted_layout(df, order)
     starts = _partition_starts(laid)
-    spark = df.sparkSession
-    offsets = spark.createDataFrame(
-        [(int(part), int(before)) for part, (before, _) in starts.items()], "_part int, _before bigint")
     row_in_part = F.col("_pos").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    # one offset row per partition of the layout
-    return (
-        laid.withColumn("_part", F.shiftright("_pos", _ROW_BITS).cast("int"))
-        .join(F.broadcast(offsets), "_part")
-        .select(*df.columns, (F.col("_before") + row_in_part + F.lit(start)).alias(name))
-    )
+    # one offset per partition of the layout, as a literal: Spark would take a join with them for the product of both
+    # sizes and then shuffle what is joined with a table of a few ids
+    before = F.get(F.array(*[F.lit(starts.get(part, (0, 0))[0]).cast("bigint") for part in range(max(starts, default=0) + 1)]),
+                   F.shiftright("_pos", _ROW_BITS).cast("int"))
+    return laid.select(*df.columns, (before + row_in_part + F.lit(start)).alias(name))
 
 
 def tile_window(df: DataFrame, value: str, id_col: str, n: int = 5, name: str = "tile") -> DataFrame:

@@ -39,23 +39,26 @@ def shipping_transfer(log: DataFrame) -> DataFrame:
 
 
 def shipping_info(log: DataFrame, rates: DataFrame, transfers: DataFrame, agreements: DataFrame) -> DataFrame:
-    """One row per shipping with the ids of its rate, agreement and transfer."""
-    base = log.select(
-        "shipping_id", "shipping_plan_datetime", "payment", "vendor_id", "vendor_agreement_description",
-        "shipping_transfer_description", "shipping_transfer_rate", "shipping_country", "shipping_country_base_rate",
-    ).distinct()
+    """One row per shipping with the ids of its rate, agreement and transfer.
+
+    The short tables come first, so their texts are not moved. Rows are dealt by agreement, which
+    serves the unique rows as well as the join: the log is shuffled once.
+    """
     named = transfers.select(
         F.col("id").alias("shipping_transfer_id"), "shipping_transfer_rate",
         F.concat_ws(":", "transfer_type", "transfer_model").alias("transfer_text"))
-    with_transfer = join_on_expr(base, named, {
+    with_transfer = join_on_expr(log, named, {
         "transfer_text": F.regexp_replace("shipping_transfer_description", AGREEMENT_SEPARATOR, ":"),
         "shipping_transfer_rate": F.col("shipping_transfer_rate")})
-    with_agreement = join_on_expr(with_transfer, agreements.select("agreement_id"), {
-        "agreement_id": split_part(F.col("vendor_agreement_description"), AGREEMENT_SEPARATOR, 1, "bigint")})
     # the base rate is part of the key: a country with two rates must not double rows
-    with_rate = with_agreement.join(
+    with_rate = with_transfer.join(
         rates.withColumnRenamed("id", "shipping_country_rate_id"), ["shipping_country", "shipping_country_base_rate"])
-    return with_rate.select(
+    text = F.col("vendor_agreement_description")
+    base = with_rate.select(
+        "shipping_id", "shipping_plan_datetime", "payment", "vendor_id", "shipping_transfer_id", "shipping_country_rate_id",
+        split_part(text, AGREEMENT_SEPARATOR, 1, "bigint").alias("agreement_id"), text,
+    ).repartition("agreement_id").distinct()
+    return base.join(agreements.select("agreement_id"), "agreement_id").select(
         "shipping_id", "shipping_plan_datetime", F.col("payment").alias("payment_amount"), "vendor_id",
         "shipping_transfer_id", F.col("agreement_id").alias("shipping_agreement_id"), "shipping_country_rate_id")
 

@@ -54,3 +54,12 @@ def test_growing_dimensions_are_not_broadcast(spark):
     plan = plan_of(QUERIES["order_rejects"](spark, SF))
     assert not re.search(r"BroadcastHashJoin \[user_id|BroadcastHashJoin \[[^\]]*_i_id", plan)
     assert re.search(r"SortMergeJoin \[restaurant_id#\d+, _i_id", plan)
+
+
+def test_log_is_shuffled_once_for_its_ids(spark):
+    """Tables of a few ids look as small as they are, and one exchange by agreement serves the unique rows and the join."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "300k")
+    plan = plan_of(QUERIES["shipping_info"](spark, SF))
+    assert not re.search(r"SortMergeJoin \[(transfer_text|shipping_country)#", plan)
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) <= 3 and not any("shipping_id" in line for line in moved)
