@@ -338,7 +338,8 @@ def _(t):
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("delivery_id"), F.col("l_suppkey").cast("string").alias("courier_id"),
             F.col("l_returnflag").alias("address"), iso("l_shipdate").alias("delivery_ts"), price.alias("sum"),
             (price * money("l_tax")).cast("decimal(14,2)").alias("tip_sum"), (1 + F.col("l_linenumber") % 5).alias("rate"))).alias("object_value"))
-    docs = stored(docs.repartition("object_id"))
+    # as the join dealt them: documents are not moved once more to be stored
+    docs = stored(docs)
     courier_docs = t.supplier.select(
         F.col("s_suppkey").cast("string").alias("object_id"),
         F.to_json(F.struct(F.col("s_suppkey").cast("string").alias("_id"), F.col("s_name").alias("name"))).alias("object_value"),
