@@ -91,16 +91,17 @@ def _chat(t: Tables, upto: str) -> dict[str, DataFrame]:
     """Tables of one kind after two loads: the second one gets everything and adds what the first one did not have."""
     stg = chat_staging(t)
     first = {**stg, "dialogs": stg["dialogs"].where("message_id % 2 = 0"), "group_log": stg["group_log"].where("user_id % 2 = 0")}
+    # what a load adds is stored, and the stored rows before it are not written again
     old = _stored(chat_vault.chat_hubs(first, {}, _FIRST))
     hubs = _both(old, chat_vault.chat_hubs(stg, old, _LOAD))
     if upto == "hubs":
         return hubs
-    hubs = _stored(hubs)
+    hubs = _both(old, _stored(chat_vault.chat_hubs(stg, old, _LOAD)))
     known = _stored(chat_vault.chat_links(first, hubs, {}, _FIRST))
     links = _both(known, chat_vault.chat_links(stg, hubs, known, _LOAD))
     if upto == "links":
         return links
-    links = _stored(links)
+    links = _both(known, _stored(chat_vault.chat_links(stg, hubs, known, _LOAD)))
     before = _stored(chat_vault.chat_satellites(first, hubs, links, {}, _FIRST))
     return _both(before, chat_vault.chat_satellites(stg, hubs, links, before, _LOAD))
 
