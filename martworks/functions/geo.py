@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martworks.operators.joins import growing
+from martworks.session import reliable
+
 EARTH_KM = 6371.0
 # Up to this many places the search is one expression over literals.
 INLINE_PLACES = 64
@@ -12,8 +15,10 @@ INLINE_PLACES = 64
 CELL_EDGES = (0.01, 0.05, 0.25, 1.25)
 # A place list held in one row has about this many places at most.
 LIST_PLACES = 20_000
-# Cell numbers beyond any real cell: points already settled get such a key.
-_SETTLED = 1_000
+# Dense places are searched in smaller cells first, with about this many places at most on average, …
+PLACES_PER_CELL = 4
+# … of an edge halved so often at most (some 6 m), each level larger than the one before by a factor.
+_HALVINGS, _GROWTH = 14, 5
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -95,44 +100,65 @@ def _cell(axis: Column, edge: float) -> Column:
     return F.floor(axis / edge)
 
 
+def _finest_edge(vec: DataFrame, count: int) -> float:
+    """The largest edge below the coarser ones at which an occupied cube holds a few places on average."""
+    ladder = [CELL_EDGES[0] / 2**i for i in range(_HALVINGS)]
+    cubes = vec.agg(*[F.approx_count_distinct(F.struct(*[_cell(F.col(f"_{a}"), e) for a in "xyz"])).alias(f"e{i}")
+                      for i, e in enumerate(ladder)]).first()
+    return next((e for e, n in zip(ladder, cubes) if count <= PLACES_PER_CELL * n), ladder[-1])
+
+
 def _nearest_by_cells(pts: DataFrame, located: DataFrame, lat: str, lon: str) -> DataFrame:
     """Exact search over cubes of the unit sphere, smallest edge first.
 
-    The places of a cube and its 26 neighbours form one list row, which is
+    The smallest edge follows from how dense the places are: an occupied cube holds a
+    few. The places of a cube and its 26 neighbours form one list row, which is
     equi-joined to the point's cube. A hit closer than one edge is final, since
-    every place that near lies in the neighbourhood; otherwise the next, larger
-    edge is tried. Points already settled get spread keys that match nothing. So
-    a point meets at most one row per level and the point side is never multiplied
-    or grouped; Spark broadcasts the place side when it is under its size threshold
-    and else splits hot cubes by its skew-join rule. Very long place lists are cut
-    into blocks by hash, one join per block, which bounds the length of a list row.
+    every place that near lies in the neighbourhood; the other points alone go on to
+    the next, larger edge, and lists are made only for their cubes. Every level is a
+    written table, so one join runs at a time. Of places at one spot the smallest
+    id stays. Where a list would still be very long, places are cut into blocks by
+    hash, one join per block, which bounds the length of a list row.
     """
-    blocks = max(1, -(-located.count() // LIST_PLACES))
     best_type = f"struct<d:double,place_id:{located.schema['place_id'].dataType.simpleString()},place:string>"
-    vec = _with_vector(located, "lat", "lon").withColumn("_block", F.pmod(F.xxhash64("place_id"), F.lit(blocks)))
-    out = _with_vector(pts, lat, lon).withColumn("_best", F.lit(None).cast(best_type))
-    settled_within = 0.0
-    for edge in CELL_EDGES:
+    vec = reliable(_with_vector(located, "lat", "lon").groupBy("_x", "_y", "_z").agg(
+        F.min(F.struct("place_id", "place")).alias("_p")).select("_x", "_y", "_z", "_p.place_id", "_p.place"))
+    count = vec.count()
+    fine = _finest_edge(vec, count) if count else CELL_EDGES[0]
+    edges = [fine]
+    while edges[-1] * _GROWTH < CELL_EDGES[0]:
+        edges.append(edges[-1] * _GROWTH)
+    edges += [e for e in CELL_EDGES if e > fine]
+    rest = _with_vector(pts, lat, lon).withColumn("_best", F.lit(None).cast(best_type))
+    done = None
+    for i, edge in enumerate(edges):
+        out = rest.withColumns({f"_c{axis}": _cell(F.col(f"_{axis}"), edge) for axis in "xyz"})
         by_cell = vec
         for axis in "xyz":
             cell = _cell(F.col(f"_{axis}"), edge)
             by_cell = by_cell.withColumn(f"_c{axis}", F.explode(F.array(cell - 1, cell, cell + 1)))
-        open_ = F.col("_best").isNull() | (F.col("_best.d") > F.lit(settled_within * settled_within))
-        spread = F.lit(_SETTLED) + F.pmod(F.xxhash64("_x", "_y"), F.lit(1_000_000))
-        out = out.withColumns({
-            f"_c{axis}": F.when(open_, _cell(F.col(f"_{axis}"), edge)).otherwise(spread) for axis in "xyz"})
+        cube = ["_cx", "_cy", "_cz"]
+        by_cell = reliable(by_cell.join(out.select(*cube).distinct(), cube, "left_semi"))
+        longest = by_cell.groupBy(*cube).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        blocks = max(1, -(-longest // LIST_PLACES))
         for block in range(blocks):
-            part = by_cell if blocks == 1 else by_cell.where(F.col("_block") == block)
-            lists = part.groupBy("_cx", "_cy", "_cz").agg(
-                F.collect_list(F.struct("_x", "_y", "_z", "place_id", "place")).alias("_near"))
+            part = by_cell if blocks == 1 else by_cell.where(F.pmod(F.xxhash64("place_id"), F.lit(blocks)) == block)
+            lists = part.groupBy(*cube).agg(F.collect_list(F.struct("_x", "_y", "_z", "place_id", "place")).alias("_near"))
             near = F.array_min(F.transform("_near", lambda p: F.struct(
                 _chord2(F.col("_x"), F.col("_y"), F.col("_z"), p["_x"], p["_y"], p["_z"]).alias("d"),
                 p["place_id"].alias("place_id"), p["place"].alias("place"))))
             # least skips nulls, so a cube without places keeps what was found
-            out = out.join(lists, ["_cx", "_cy", "_cz"], "left").withColumn("_best", F.least(near, "_best")).drop("_near")
-        out = out.drop("_cx", "_cy", "_cz")
-        settled_within = edge
-    return out.select(*pts.columns, "_best.place_id", "_best.place", _chord2_km(F.col("_best.d")).alias("km"))
+            out = out.join(growing(lists), cube, "left").withColumn("_best", F.least(near, "_best")).drop("_near")
+            if blocks > 1:
+                out = reliable(out)
+        out = reliable(out.drop(*cube))
+        final = F.lit(True) if i == len(edges) - 1 else F.coalesce(F.col("_best.d") <= F.lit(edge * edge), F.lit(False))
+        settled = out.where(final)
+        done = settled if done is None else done.unionByName(settled)
+        rest = out.where(~final)
+        if rest.isEmpty():
+            break
+    return done.select(*pts.columns, "_best.place_id", "_best.place", _chord2_km(F.col("_best.d")).alias("km"))
 
 
 def metre_cell(lat: Column, lon: Column, km: float) -> dict[str, Column]:

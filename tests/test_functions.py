@@ -151,3 +151,17 @@ def test_points_without_coordinates_are_left_out(spark):
 def test_haversine_of_a_quarter_circle(spark):
     km = one(spark, geo.haversine_km(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(90.0)))
     assert abs(km - math.pi / 2 * geo.EARTH_KM) < 1e-6
+
+
+def test_nearest_place_searches_dense_lists_in_small_cells(spark, rows):
+    """Lists follow the density: a dense spot has no long list rows, far points still find their place, equal spots give the smaller id."""
+    places = spark.range(3000).select(
+        F.col("id").alias("place_id"), F.concat(F.lit("p"), F.col("id").cast("string")).alias("place"),
+        (F.lit(50.0) + (F.col("id") % 50) / 10_000).alias("lat"), (F.lit(10.0) + F.floor(F.col("id") % 2500 / 50) / 10_000).alias("lon"))
+    vec = geo._with_vector(places, "lat", "lon")
+    assert geo._finest_edge(vec, 2500) < geo.CELL_EDGES[0] / 100
+    spots = [(1, 50.00101, 10.00002), (2, 50.0, 10.0), (3, -50.0, -170.0), (4, 51.0, 10.0)]
+    got = geo.nearest_place(spark.createDataFrame(spots, "id int, lat double, lon double"), places).collect()
+    want = brute_force(np.array([s[1:] for s in spots]), np.array([(r.lat, r.lon) for r in places.collect()]))
+    assert all(abs(r.km - want[r.id - 1]) < 1e-4 for r in got) and len(got) == 4
+    assert {r.id: r.place_id for r in got}[2] == 0
