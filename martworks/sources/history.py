@@ -43,7 +43,10 @@ class HistoryStore:
         """Adds versions (repeated ones count once); False if the batch is there already."""
         if self.store.holds(batch_id, source):
             return False
-        fresh = reliable(versions.select(*self.version).distinct())
+        told_of = versions.select(*self.version).distinct()
+        # versions that are stored change no mark: only new ones are written, and only their keys are read and marked
+        stored = [F.col(f"n.{c}").eqNullSafe(F.col(f"s.{c}")) for c in self.version]
+        fresh = reliable(told_of.alias("n").join(self.store.near(told_of).alias("s"), stored, "left_anti"))
         keys = fresh.select(*self.keys).distinct()
         same = [F.col(f"s.{k}").eqNullSafe(F.col(f"n.{k}")) for k in self.keys]
         known = self.store.near(fresh).alias("s").join(keys.alias("n"), same, "left_semi")
