@@ -37,6 +37,8 @@ WIDTH = 50
 SEED = 20
 # bytes of text handled at once inside a task
 PIECE = 2_000_000
+# starts of strings whose hashes are held at once
+SCAN = 1 << 18
 # suffix tuples brought into suffix order at once; a name is never cut
 SORT_ROWS = 60_000
 _POSITION = U((1 << 22) - 1)
@@ -66,19 +68,27 @@ def _batches(frames: Iterator[pd.DataFrame], width: int) -> Iterator[tuple[pd.Da
 
 
 def anchors(parts: list[bytes], width: int, seed: int) -> tuple[np.ndarray, ...]:
-    """Runs of strings with one anchor: name, part, first and last start, anchor position (all within `data`)."""
+    """Runs of strings with one anchor: name, part, first and last start, anchor position (all within `data`).
+
+    The starts are scanned SCAN at a time, so the arrays of a scan stay small however much text is handled at once.
+    """
     data = np.frombuffer(b"".join(parts), np.uint8)
     ends = np.cumsum([len(p) for p in parts])
-    sums = prefix(data)
-    names = windows(sums, seed)
-    key = (names & ~_POSITION) | np.arange(len(names), dtype=np.uint64)
-    at = (slide_min(key, width - seed + 1) & _POSITION).astype(np.int64)
-    part = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    start = np.flatnonzero(np.arange(width, len(data) + 1) <= ends[part[:len(data) - width + 1]])
-    at, own = at[start], part[start]
-    first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (own[1:] != own[:-1])]))
-    last = np.append(first[1:], len(at)) - 1
-    return names[at[first]], own[first], start[first], start[last], at[first], data
+    runs, before, begun = [], [], (-1, -1, -1)
+    for low in range(0, len(data) - width + 1, SCAN):
+        names = windows(prefix(data[low:low + SCAN + width - 1]), seed)
+        key = (names & ~_POSITION) | np.arange(low, low + len(names), dtype=np.uint64)
+        at = (slide_min(key, width - seed + 1) & _POSITION).astype(np.int64)
+        start = np.arange(low, low + len(at))
+        own = np.searchsorted(ends, start, side="right")
+        whole = start + width <= ends[own]
+        at, own, start = (np.append(b, x[whole]) for b, x in zip(begun, (at, own, start)))
+        first = np.flatnonzero((at[1:] != at[:-1]) | (own[1:] != own[:-1])) + 1
+        runs.append((names[at[first] - low], own[first], start[first], at[first]))
+        before.append(start[first - 1])
+        begun = at[-1], own[-1], start[-1]
+    name, own, first, at = (np.concatenate(x) for x in zip(*runs))
+    return name, own, first, np.append(np.concatenate(before)[1:], begun[2]), at, data
 
 
 def _name_rows(width: int, seed: int):
