@@ -119,6 +119,8 @@ def trained(size: int, samples: list[bytes], segment: int) -> bytes:
 
 
 GRAM = 8
+# a passage is told already if a found one holds so many bytes of its core
+PIECE = 6
 
 
 def _grams(text: str) -> tuple[bytes, np.ndarray]:
@@ -136,7 +138,9 @@ def contrast(own: list[str], other: list[str], size: int, least: float = 0.005,
     """Passages that far more texts of one class hold, the commonest last (nearest to what is compressed).
 
     Telling are the byte n-grams whose document frequencies differ; each is
-    widened by the neighbours that nearly all of its texts show around it.
+    widened by the neighbours that nearly all of its texts show around it. One
+    telling word makes an n-gram with every ordinary neighbour it has; it is held
+    once, or the room would go to the few commonest words in all their contexts.
     """
     mine = [_grams(t) for t in own]
     gram, n = np.unique(np.concatenate([np.unique(g) for _, g in mine]), return_counts=True)
@@ -151,7 +155,8 @@ def contrast(own: list[str], other: list[str], size: int, least: float = 0.005,
     good = (z >= strength) & (p > 3 * q)
     found: list[bytes] = []
     for _, core in sorted(((int(k), int(g).to_bytes(GRAM, "big")) for k, g in zip(n[good], gram[good])), reverse=True):
-        if any(core in f for f in found):
+        pieces = [core[i:i + PIECE] for i in range(GRAM - PIECE + 1)]
+        if any(piece in f for f in found for piece in pieces):
             continue
         passage = _extended(core, [data for data, _ in mine])
         if sum(map(len, found)) + len(passage) > size:

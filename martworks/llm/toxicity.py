@@ -40,7 +40,7 @@ def features(pair: Pair, text: str) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Pair:
-    """Dictionaries from one half of the bounded labelled sample, score weights from the other.
+    """Dictionaries from three quarters of the bounded labelled sample, score weights from the last one.
 
     The ordinary dictionary is trained on ordinary windows. The toxic one holds
     the same ordinary text, so that common words cost alike, and behind it what
@@ -55,11 +55,12 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Pair:
         return pair
     low = [t.lower() for t in texts]
     keep = distinct_texts(low)
-    half = keep[::2]
-    toxic, ordinary = ([low[i] for i in half if y[i] == c] for c in (1, 0))
+    last = np.arange(len(keep)) % 4 == 3
+    told = keep[~last]
+    toxic, ordinary = ([low[i] for i in told if y[i] == c] for c in (1, 0))
     base = trained(ORDINARY_BYTES, [w for t in ordinary for w in windows(t)], 32)
     pair = Pair(base, base + contrast(toxic, ordinary, TOXIC_BYTES), 3)
-    rest = keep[1::2] if len(set(y[keep[1::2]])) == 2 else keep
+    rest = keep[last] if len(set(y[keep[last]])) == 2 else keep
     pair.calibrate(np.array([features(pair, texts[i]) for i in rest]), y[rest], share)
     return pair
 

@@ -11,6 +11,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from martworks.llm.common import ready
+from martworks.llm.compression import contrast
 from martworks.llm.language import _shares, subword_counts
 from martworks.llm.ngram_join import one_of_each
 from martworks.llm.packing import END_ID, encoder, token_ids
@@ -31,6 +32,16 @@ def test_every_session_learns_alike():
     assert len(out) == 1 and "nasty" in out.pop()
 
 
+def test_a_common_telling_word_leaves_room_for_rarer_ones():
+    plain = [f"{a}{b}{c} {c}{a}{b}" for a in "klmnpr" for b in "aeiou" for c in "stvwz"]
+    rows = [" ".join(plain[(i * k) % len(plain)] for k in (3, 7, 11, 13, 17)) for i in range(400)]
+    # one word in many contexts, three in a tenth of the texts each
+    own = [f"{t} {plain[i % 29][:3]} scoundrel {plain[i % 31][:3]} {'knavery gallows villain'.split()[i % 3] if i % 3 == i % 10 % 3 else ''}"
+           for i, t in enumerate(rows[:300])]
+    body = contrast(own, rows, 120)
+    assert len(body) <= 121 and all(piece in body for piece in (b"scound", b"knaver", b"gallow", b"villai"))
+
+
 def test_one_of_each_drops_rows_not_ids(spark):
     a = "one two three four five six seven eight nine ten eleven twelve"
     b = "quite another text with other words that nothing else in here has"
