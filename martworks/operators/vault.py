@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from martworks.functions.keys import hash_key, hashdiff
 from martworks.operators.filters import with_load_meta
 from martworks.operators.grouping import dedupe, latest_per_key
-from martworks.operators.joins import rows_absent, with_keys
+from martworks.operators.joins import growing, rows_absent, with_keys
 
 
 def load_hub(src: DataFrame, pk: str, business_key: str, existing: DataFrame | None, source: str, load_dt: str,
@@ -21,7 +21,7 @@ def load_hub(src: DataFrame, pk: str, business_key: str, existing: DataFrame | N
     rows = dedupe(with_keys(src.select(business_key, *extra), business_key), [business_key], order or (list(extra) or None))
     rows = rows.withColumn(pk, key if key is not None else hash_key(F.col(business_key))).select(pk, business_key, *extra)
     if existing is not None:
-        rows = rows_absent(rows, existing, pk)
+        rows = rows_absent(rows, growing(existing), pk)
     return with_load_meta(rows, source, load_dt)
 
 
@@ -40,7 +40,7 @@ def load_link(src: DataFrame, pk: str, members: dict[str, Column] | list[str], e
     names = list(members)
     rows = rows.withColumn(pk, key if key is not None else hash_key(*[F.col(m) for m in names])).select(pk, *names)
     if existing is not None:
-        rows = rows_absent(rows, existing, pk)
+        rows = rows_absent(rows, growing(existing), pk)
     return with_load_meta(rows, source, load_dt)
 
 
@@ -62,7 +62,7 @@ def load_satellite(src: DataFrame, key: str, attrs: list[str], existing: DataFra
     rows = rows.withColumn(diff, hashdiff(F.col(key), *[F.col(a) for a in attrs]))
     if existing is not None:
         current = existing.groupBy(key).agg(F.max_by(diff, "load_dt").alias("_known"))
-        rows = rows.join(current, key, "left").where(~F.col(diff).eqNullSafe(F.col("_known"))).drop("_known")
+        rows = rows.join(growing(current), key, "left").where(~F.col(diff).eqNullSafe(F.col("_known"))).drop("_known")
     return with_load_meta(rows, source, load_dt)
 
 
