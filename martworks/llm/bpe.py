@@ -5,8 +5,16 @@ neighbouring pair; every step merges the leftmost pair of the lowest rank and
 looks up the two pairs that the merge made. Ranks come from a literal map, dealt
 to small maps by crc32 because Spark searches a map from its first key. Words
 that are frequent in a bounded sample are folded once and put into such a map
-too; any other word is folded where it stands, so results do not depend on the
-sample. Decoding joins the bytes of the ids.
+too, with the beginnings and ends that tokens cut from them. Any other word is
+cut in two known pieces if two tokens that meet there were neighbours in a folded
+word, and is folded where it stands if there is no such cut. Decoding joins the
+bytes of the ids.
+
+The cut is exact. Merges inside two neighbouring tokens depend on no others as
+long as no merge crosses their border, and the first to cross it in a word would
+cross it in the two tokens alone. So tokens of which all neighbours are
+neighbours in some fold are the fold of their bytes, and results do not depend on
+the sample.
 """
 
 from __future__ import annotations
@@ -14,6 +22,7 @@ from __future__ import annotations
 import base64
 import json
 import zlib
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -22,7 +31,12 @@ from martworks.llm.common import ready, staged, text_or_empty
 RANK_MAPS = 1 << 14
 # bounds of the sample and of the words folded ahead
 SAMPLE_DOCS = 20_000
-FREQUENT_WORDS = 150_000
+FOLDED_WORDS = 200_000
+# bounds of what the map of known pieces holds, and of the neighbours
+FREQUENT_WORDS, BEGINNINGS, ENDS = 90_000, 20_000, 40_000
+NEIGHBOURS = 100_000
+# lengths of the end at which a word is cut, likeliest first
+CUTS = (4, 5, 3, 6, 7, 2, 8)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -77,6 +91,19 @@ def fold_word(word: Column, rank) -> Column:
     return _let(F.hex(word), lambda code: F.coalesce(rank(code).cast("string"), folded(code)))
 
 
+@dataclass
+class Known:
+    """Ids of known words and pieces as text, and for a token those that follow it in a fold."""
+
+    ids: dict[str, str]
+    after: dict[int, list[int]]
+
+    def neighbours(self) -> Column:
+        """`after` as a literal array of arrays, by token."""
+        rows = [self.after.get(i, []) for i in range(max(self.after, default=0) + 1)]
+        return F.from_json(F.lit(json.dumps(rows, separators=(",", ":"))), "array<array<int>>")
+
+
 class Coder:
     """Encoding and decoding expressions for one rank file and split pattern."""
 
@@ -98,22 +125,55 @@ class Coder:
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(text, F.lit(self.pattern), F.lit(0))
 
-    def frequent(self, docs: DataFrame) -> dict[str, str]:
-        """Ids of the words that are most frequent in a bounded sample of documents."""
+    def frequent(self, docs: DataFrame) -> Known:
+        """Words that are most frequent in a bounded sample of documents, and what is known from folding them."""
         chosen = docs.select(F.xxhash64("doc_id").alias("place"), "doc_id").orderBy("place").limit(SAMPLE_DOCS).select("doc_id").distinct()
         # ids of a bounded number of documents
         part = docs.join(F.broadcast(chosen), "doc_id")
         words = part.select(F.explode(self.words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-        top = staged(words.where((F.col("n") > 1) & (F.length("word") <= 64)).orderBy(F.desc("n"), "word").limit(FREQUENT_WORDS))
-        return {r["word"]: r["ids"] for r in top.repartition(24).select(
-            "word", self.with_ranks(lambda rank: fold_word(F.col("word"), rank)).alias("ids")).toLocalIterator()}
-
-    def encode(self, text: Column, frequent: dict[str, str]) -> Column:
+        top = staged(words.where(F.length("word") <= 64).orderBy(F.desc("n"), "word").limit(FOLDED_WORDS))
+        folded = staged(top.repartition(24).select(
+            "word", "n", self.with_ranks(lambda rank: fold_word(F.col("word"), rank)).alias("ids")))
+        tokens = folded.select(F.split("ids", ",").alias("t")).where(F.size("t") > 1)
+        # tokens before and after every border
+        cut = tokens.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("t") - 1), lambda i: F.struct(
+            F.slice("t", F.lit(1), i).alias("left"), F.slice("t", i + 1, F.size("t")).alias("right")))).alias("c"))
+
+        def pieces(side: str, most: int) -> DataFrame:
+            best = cut.groupBy(F.col(f"c.{side}").alias("t")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "t").limit(most)
+            # a border inside a character cuts no text
+            return best.select(self.decode(F.col("t")).cast("string").alias("word"), F.array_join("t", ",").alias("ids")).where(
+                F.is_valid_utf8("word"))
+
+        own = folded.where("n > 1").orderBy(F.desc("n"), "word").limit(FREQUENT_WORDS).select("word", "ids")
+        # a word of the vocabulary is its one id, whatever the merges make of it, so words win over pieces
+        known = {}
+        for rows in (pieces("left", BEGINNINGS), pieces("right", ENDS), own):
+            known.update((r["word"], r["ids"]) for r in rows.toLocalIterator())
+        pairs = cut.select(F.element_at("c.left", -1).cast("int").alias("a"), F.element_at("c.right", 1).cast("int").alias("b"))
+        after: dict[int, list[int]] = {}
+        for r in pairs.groupBy("a", "b").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "a", "b").limit(NEIGHBOURS).toLocalIterator():
+            after.setdefault(r["a"], []).append(r["b"])
+        return Known(known, after)
+
+    def encode(self, text: Column, frequent: Known) -> Column:
         """Ids of a text as text, joined by commas."""
-        maps = max(1, len(frequent) // 3)
-        known = _dealt(frequent, maps, "string")
-        return F.array_join(self.with_ranks(lambda rank: _let(known, lambda k: F.transform(self.words(text), lambda w: F.coalesce(
-            _found(k, maps, w), fold_word(w, rank))))), ",")
+        maps = max(1, len(frequent.ids) // 3)
+        known, after = _dealt(frequent.ids, maps, "string"), frequent.neighbours()
+
+        def cut(word: Column, size: int, k: Column, pairs: Column) -> Column:
+            met = lambda l, r: F.array_contains(
+                F.get(pairs, F.substring_index(l, ",", -1).cast("int")), F.substring_index(r, ",", 1).cast("int"))
+            return F.when(F.length(word) > size, _let(_found(k, maps, F.substring(word, -size, size)), lambda r: F.when(
+                r.isNotNull(), _let(_found(k, maps, F.substring(word, F.lit(1), F.length(word) - size)), lambda l: F.when(
+                    met(l, r), F.concat(l, F.lit(","), r))))))
+
+        def ids(word: Column, rank, k: Column, pairs: Column) -> Column:
+            return F.coalesce(_found(k, maps, word), rank(F.hex(word)).cast("string"),
+                              *[cut(word, size, k, pairs) for size in CUTS], fold_word(word, rank))
+
+        return F.array_join(self.with_ranks(lambda rank: _let(known, lambda k: _let(after, lambda pairs: F.transform(
+            self.words(text), lambda w: ids(w, rank, k, pairs))))), ",")
 
     def decode(self, ids: Column) -> Column:
         """Bytes of an array of ids given as text."""
