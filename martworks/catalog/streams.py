@@ -10,7 +10,7 @@ from martworks.plans.order_vault import user_message
 from martworks.functions.keys import hash_key
 from martworks.operators.joins import rows_absent
 from martworks.operators.vault import load_hub, version_rows
-from martworks.session import reliable, run_dir
+from martworks.session import reliable, run_dir, write_table
 from martworks.sources.history import HistoryStore
 from martworks.sources.runs import RunStore
 from martworks.sources.static import StaticSide
@@ -26,7 +26,7 @@ _NOW = 1705276800  # 2024-01-15 00:00:00 UTC
 
 def _stream(t: Tables, df: DataFrame, path: str, per_trigger: int = 0) -> DataFrame:
     """The rows as files, read back as a stream."""
-    df.write.parquet(path)
+    write_table(df, path)
     reader = t.spark.readStream.schema(df.schema)
     if per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
@@ -151,7 +151,7 @@ def _(t):
     # dealt by hash, so versions come late, and most of them twice
     part = F.pmod(F.xxhash64("hk_order", "load_dt", "status"), F.lit(3))
     for number in range(3):
-        store.load(versions.where(part >= number) if number < 2 else versions, number)
+        store.load(versions.where(part >= number) if number < 2 else versions, number, unique=True)
     return store.changes()
 
 

@@ -9,7 +9,7 @@ from martworks.functions.keys import hash_key, uuid3
 from martworks.operators.filters import union_all
 from martworks.operators.vault import load_hub, load_link, load_satellite
 from martworks.plans import chat_vault, order_vault
-from martworks.session import reliable
+from martworks.session import reliable, staging
 
 _LOAD = "2002-01-01 00:00:00"
 _FIRST = "2001-01-01 00:00:00"
@@ -210,7 +210,8 @@ def order_dimensions(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def known_orders(t: Tables) -> DataFrame:
     """Enriched orders as a stored table: the vault reads them once per table."""
-    return reliable(order_vault.split_known(order_vault.enrich_orders(order_messages(t), *order_dimensions(t)))[0])
+    with staging(t.spark) as keep:
+        return keep(order_vault.split_known(order_vault.enrich_orders(order_messages(t), *order_dimensions(t)))[0])
 
 
 def _two_loads(t: Tables, kind: str) -> dict[str, DataFrame]:

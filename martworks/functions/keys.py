@@ -40,13 +40,18 @@ def hash_key(*columns: Column, method: str = "md5") -> Column:
 def uuid3(c: Column, namespace: uuid.UUID = uuid.NAMESPACE_DNS) -> Column:
     """RFC 4122 version 3 UUID of a string, as 36 characters of text."""
     digest = F.md5(F.concat(F.unhex(F.lit(namespace.hex)), F.encode(c.cast("string"), "UTF-8")))
-    # the variant nibble keeps its low two bits below the fixed bits 10
-    variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
-    return F.concat(
-        F.substring(digest, 1, 8), F.lit("-"), F.substring(digest, 9, 4), F.lit("-3"),
-        F.substring(digest, 14, 3), F.lit("-"), variant, F.substring(digest, 18, 3),
-        F.lit("-"), F.substring(digest, 21, 12),
-    )
+
+    def dashed(d: Column) -> Column:
+        # the variant nibble keeps its low two bits below the fixed bits 10
+        variant = F.translate(F.substring(d, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+        return F.concat(
+            F.substring(d, 1, 8), F.lit("-"), F.substring(d, 9, 4), F.lit("-3"),
+            F.substring(d, 14, 3), F.lit("-"), variant, F.substring(d, 18, 3),
+            F.lit("-"), F.substring(d, 21, 12),
+        )
+
+    # the digest stands in the expression once: written out per part, a key of keys in a filter or a lambda is hashed dozens of times
+    return F.get(F.transform(F.array(digest), dashed), F.lit(0))
 
 
 def hashdiff(*columns: Column) -> Column:

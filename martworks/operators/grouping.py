@@ -70,9 +70,13 @@ def pick_per_key(df: DataFrame, keys: list[str], order: list[str], latest: bool
     if number is not None and rest and all(isinstance(df.schema[c].dataType, _FIXED) for c in rest):
         by = F.max_by if latest else F.min_by
         return df.withColumn("_order", number).groupBy(*keys).agg(*[by(c, "_order").alias(c) for c in rest]).select(*df.columns)
-    ordered = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.struct(*rest).alias("_row"))
+    # a column that the order has is not carried twice
+    at = {c: f"_o{i}" for i, c in enumerate(order)}
+    more = [c for c in rest if c not in at]
+    ordered = F.struct(*[F.col(c).alias(o) for c, o in at.items()], *([F.struct(*more).alias("_row")] if more else []))
     best = (F.max if latest else F.min)(ordered)
-    return df.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best._row.*").select(*df.columns)
+    picked = {c: F.col(f"_best.{at[c]}") if c in at else F.col(f"_best._row.`{c}`") for c in rest}
+    return df.groupBy(*keys).agg(best.alias("_best")).select(*[picked[c].alias(c) if c in picked else F.col(c) for c in df.columns])
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -77,20 +77,21 @@ def enrich_items(df: DataFrame, order_key: str, items: str, item_key: str, menu:
     """Add menu fields to the structs of an item array.
 
     Items are exploded with their position, equi-joined to the menu on
-    (scope, item) and collected back in order, one order at a time. An item the
-    menu lacks keeps null fields.
+    (scope, item) and collected back in order, one order at a time. Only the item
+    key travels to the menu and only the menu fields back; the rest of an item
+    waits in its array. An item the menu lacks keeps null fields.
     """
-    others = [c for c in df.columns if c not in (items, order_key)]
     item_fields = df.schema[items].dataType.elementType.fieldNames()
+    key = f"_i_{item_key}"
     flat = df.select(order_key, *scope, F.posexplode(items).alias("_at", "_item")).select(
-        order_key, *scope, "_at", *[F.col("_item")[f].alias(f"_i_{f}") for f in item_fields])
-    known = menu.select(*scope, F.col(item_key).alias(f"_i_{item_key}"), *fields)
-    joined = flat.join(growing(known), [*scope, f"_i_{item_key}"], how)
-    element = F.struct("_at", *[F.col(f"_i_{f}").alias(f) for f in item_fields], *fields)
-    packed = joined.groupBy(order_key).agg(F.array_sort(F.collect_list(element)).alias("_all")).select(
-        order_key,
-        F.transform("_all", lambda e: F.struct(*[e[f].alias(f) for f in [*item_fields, *fields]])).alias(items))
-    return df.select(order_key, *others).join(packed, order_key, "left")
+        order_key, *scope, "_at", F.col("_item")[item_key].alias(key))
+    known = menu.select(*scope, F.col(item_key).alias(key), *fields)
+    joined = flat.join(growing(known), [*scope, key], how)
+    packed = joined.groupBy(order_key).agg(F.array_sort(F.collect_list(F.struct("_at", *fields))).alias("_all"))
+    named = F.transform("_all", lambda e: F.struct(
+        *[F.get(F.col(items), e["_at"])[f].alias(f) for f in item_fields], *[e[f].alias(f) for f in fields]))
+    others = [c for c in df.columns if c not in (items, order_key)]
+    return df.join(packed, order_key, "left").select(order_key, *others, named.alias(items))
 
 
 def salted_pairs(left: DataFrame, right: DataFrame, on: list[str], left_spread: Column, right_spread: Column,

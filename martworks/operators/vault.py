@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from martworks.functions.keys import hash_key, hashdiff
 from martworks.operators.filters import with_load_meta
 from martworks.operators.grouping import dedupe, latest_per_key
-from martworks.operators.joins import growing, rows_absent, with_keys
+from martworks.operators.joins import growing, with_keys
 
 
 def load_hub(src: DataFrame, pk: str, business_key: str, existing: DataFrame | None, source: str, load_dt: str,
@@ -20,9 +20,7 @@ def load_hub(src: DataFrame, pk: str, business_key: str, existing: DataFrame | N
     """
     rows = dedupe(with_keys(src.select(business_key, *extra), business_key), [business_key], order or (list(extra) or None))
     rows = rows.withColumn(pk, key if key is not None else hash_key(F.col(business_key))).select(pk, business_key, *extra)
-    if existing is not None:
-        rows = rows_absent(rows, growing(existing), pk)
-    return with_load_meta(rows, source, load_dt)
+    return with_load_meta(_new_only(rows, existing, pk), source, load_dt)
 
 
 def load_link(src: DataFrame, pk: str, members: dict[str, Column] | list[str], existing: DataFrame | None, source: str,
@@ -33,15 +31,19 @@ def load_link(src: DataFrame, pk: str, members: dict[str, Column] | list[str], e
     over business keys. In the second form `src` holds just those business keys:
     they are made unique first and hashed after.
     """
-    if isinstance(members, dict):
-        rows = with_keys(src, *src.columns).distinct().select(*[c.alias(m) for m, c in members.items()])
-    else:
-        rows = with_keys(src.select(*members), *members).dropDuplicates(members)
     names = list(members)
-    rows = rows.withColumn(pk, key if key is not None else hash_key(*[F.col(m) for m in names])).select(pk, *names)
-    if existing is not None:
-        rows = rows_absent(rows, growing(existing), pk)
-    return with_load_meta(rows, source, load_dt)
+    key = key if key is not None else hash_key(*[F.col(m) for m in names])
+    if isinstance(members, dict):
+        # the hub keys are made again after the comparison, which moves the short business keys in their place
+        rows = _new_only(with_keys(src, *src.columns).distinct().withColumns(members).withColumn(pk, key).select(pk, *src.columns), existing, pk)
+        return with_load_meta(rows.select(pk, *[c.alias(m) for m, c in members.items()]), source, load_dt)
+    rows = with_keys(src.select(*members), *members).dropDuplicates(members).withColumn(pk, key).select(pk, *names)
+    return with_load_meta(_new_only(rows, existing, pk), source, load_dt)
+
+
+def _new_only(rows: DataFrame, existing: DataFrame | None, pk: str) -> DataFrame:
+    """Rows whose key is not stored. A key hashes values that are there; to test it for null, the filter would hash it once more."""
+    return rows if existing is None else rows.join(growing(existing.select(pk)), pk, "left_anti")
 
 
 def load_satellite(src: DataFrame, key: str, attrs: list[str], existing: DataFrame | None, source: str, load_dt: str,

@@ -11,6 +11,7 @@ from martworks.functions.keys import hash_key, hashdiff, uuid3
 from martworks.operators.filters import union_all, with_load_meta
 from martworks.operators.joins import enrich_items, growing
 from martworks.operators.vault import load_hub, load_link, load_satellite
+from martworks.session import reliable
 
 SOURCE = "stg-order-service"
 
@@ -25,23 +26,25 @@ def enrich_orders(orders: DataFrame, users: DataFrame, restaurants: DataFrame, m
     a message, every message of an order is a row, equal messages are one.
     """
     sent = [at] if at else []
-    row = F.struct("object_id", *sent, F.sha2(F.to_json("payload"), 256)) if sent else F.col("object_id")
-    orders = orders.withColumn("_row", row)
     if sent:
-        orders = orders.dropDuplicates(["_row"])
+        same = F.struct("object_id", *sent, F.sha2(F.to_json("payload"), 256))
+        orders = orders.withColumn("_same", same).dropDuplicates(["_same"])
     p = F.col("payload")
     flat = orders.select(
-        "_row", "object_id", "object_type", *sent, p["date"].alias("date"), p["cost"].alias("cost"), p["payment"].alias("payment"),
+        "object_id", "object_type", *sent, p["date"].alias("date"), p["cost"].alias("cost"), p["payment"].alias("payment"),
         p["final_status"].alias("status"), p["restaurant"]["id"].alias("restaurant_id"), p["user"]["id"].alias("user_id"),
         F.transform(p["order_items"], lambda i: F.struct(i["id"].alias("id"), i["price"].alias("price"),
                                                        i["quantity"].alias("quantity"))).alias("products"))
+    # written, because users, items and the order itself are looked up by its row number
+    flat = reliable(flat.withColumn("_row", F.monotonically_increasing_id()))
     login = F.coalesce(F.col("login"), F.col("id")) if "login" in users.columns else F.col("id")
-    named = (
-        flat.join(growing(users.select(F.col("id").alias("user_id"), F.col("name").alias("user_name"), login.alias("user_login"), F.lit(True).alias("_user"))), "user_id", "left")
-        .join(restaurants.select(F.col("id").alias("restaurant_id"), F.col("name").alias("restaurant_name"), F.lit(True).alias("_restaurant")),
-              "restaurant_id", "left")
-    )
-    full = enrich_items(named, "_row", "products", "id", menu, ["restaurant_id"], ["name", "category"])
+    # the order waits while its number and user go to the users
+    who = flat.where("user_id is not null").select("_row", "user_id").join(growing(users.select(
+        F.col("id").alias("user_id"), F.col("name").alias("user_name"), login.alias("user_login"), F.lit(True).alias("_user"))), "user_id").drop("user_id")
+    full = enrich_items(flat, "_row", "products", "id", menu, ["restaurant_id"], ["name", "category"])
+    full = full.join(growing(who), "_row", "left").join(
+        restaurants.select(F.col("id").alias("restaurant_id"), F.col("name").alias("restaurant_name"), F.lit(True).alias("_restaurant")),
+        "restaurant_id", "left")
     return full.select(
         "object_id", "object_type", *sent,
         F.struct(
@@ -153,7 +156,7 @@ def vault_rows(enriched: DataFrame, load_dt: str, at: str) -> tuple[DataFrame, D
     hubs: tbl, pk, business_key, order_dt, load_dt, load_src; links: tbl, pk, a, b,
     load_dt, load_src; versions: tbl, pk, a0, a1, hashdiff, load_dt (the time in
     column `at` of the message; null and first if it cannot be read), load_src.
-    The rows are those of `vault_batch`, for all tables of a kind from one aggregate.
+    The rows are those of `vault_batch`, for all tables of a kind from one aggregate; none is repeated.
     Nothing is compared with what is stored.
     """
     orders = _flat_orders(enriched, [at])
@@ -176,12 +179,14 @@ def vault_rows(enriched: DataFrame, load_dt: str, at: str) -> tuple[DataFrame, D
 
     named = {"s_product_names": ["product_name"], "s_restaurant_names": ["restaurant_name"]}
     told = {t: [_BUSINESS_KEY[e], *named.get(t, attrs)] for t, (e, attrs) in _SATELLITES.items()}
-    versions = both([at], told, {t for t, (e, _) in _SATELLITES.items() if e in _OF_ITEMS}, 3).where("x0 is not null").distinct()
+    versions = both([at], told, {t for t, (e, _) in _SATELLITES.items() if e in _OF_ITEMS}, 3).where("x0 is not null")
+    # the time is read first: two texts of one time are one version
+    versions = versions.withColumn(at, F.try_to_timestamp(F.col(at).cast("string")).cast("timestamp_ntz")).distinct()
     two = F.col("tbl").isin([t for t, (_, attrs) in _SATELLITES.items() if len(attrs) == 2])
     pk, a0, a1 = F.col("pk"), F.col("x1"), F.col("x2")
     versions = versions.withColumn("pk", uuid3(F.col("x0"))).select(
         "tbl", "pk", a0.alias("a0"), a1.alias("a1"), F.when(two, hashdiff(pk, a0, a1)).otherwise(hashdiff(pk, a0)).alias("hashdiff"),
-        F.try_to_timestamp(F.col(at).cast("string")).cast("timestamp_ntz").alias("load_dt"), F.lit(SOURCE).alias("load_src"))
+        F.col(at).alias("load_dt"), F.lit(SOURCE).alias("load_src"))
     return with_load_meta(hubs, SOURCE, load_dt), with_load_meta(links, SOURCE, load_dt), versions
 
 

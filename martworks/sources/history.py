@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from martworks.operators.ranges import Ranges
-from martworks.session import reliable
+from martworks.session import reliable, staging
 from martworks.sources.runs import BUCKETS, FAN, RunStore
 
 
@@ -39,20 +39,32 @@ class HistoryStore:
         return stepped.withColumn("now", F.col("_step").isNull() | ~F.col("_step.v").eqNullSafe(F.col(self.diff))).select(
             *versions.columns, "now")
 
-    def load(self, versions: DataFrame, batch_id: int, source: str = "stream") -> bool:
-        """Adds versions (repeated ones count once); False if the batch is there already."""
+    def load(self, versions: DataFrame, batch_id: int, source: str = "stream", unique: bool = False) -> bool:
+        """Adds versions (repeated ones count once); False if the batch is there already.
+
+        `unique`: no version is repeated within the batch, which spares a shuffle.
+        """
         if self.store.holds(batch_id, source):
             return False
-        told_of = versions.select(*self.version).distinct()
+        with staging(self.store.spark):
+            told_of = versions.select(*self.version)
+            return self._load(told_of if unique else told_of.distinct(), batch_id, source)
+
+    def _load(self, told_of: DataFrame, batch_id: int, source: str) -> bool:
         # versions that are stored change no mark: only new ones are written, and only their keys are read and marked
-        stored = [F.col(f"n.{c}").eqNullSafe(F.col(f"s.{c}")) for c in self.version]
-        fresh = reliable(told_of.alias("n").join(self.store.near(told_of).alias("s"), stored, "left_anti"))
-        keys = fresh.select(*self.keys).distinct()
-        same = [F.col(f"s.{k}").eqNullSafe(F.col(f"n.{k}")) for k in self.keys]
-        known = self.store.near(fresh).alias("s").join(keys.alias("n"), same, "left_semi")
-        both = known.select(*self.version, F.col("changed").alias("was")).unionByName(
-            fresh.withColumn("was", F.lit(None).cast("boolean")))
-        told = self.marked(both.groupBy(*self.version).agg(F.max("was").alias("was")))
+        if self.store.manifest().runs:
+            told_of = reliable(told_of)
+            stored = [F.col(f"n.{c}").eqNullSafe(F.col(f"s.{c}")) for c in self.version]
+            fresh = reliable(told_of.alias("n").join(self.store.near(told_of).alias("s"), stored, "left_anti"))
+            keys = fresh.select(*self.keys).distinct()
+            same = [F.col(f"s.{k}").eqNullSafe(F.col(f"n.{k}")) for k in self.keys]
+            known = self.store.near(fresh).alias("s").join(keys.alias("n"), same, "left_semi")
+            # a version is stored or new, never both
+            both = known.select(*self.version, F.col("changed").alias("was")).unionByName(
+                fresh.withColumn("was", F.lit(None).cast("boolean")))
+        else:
+            both = told_of.withColumn("was", F.lit(None).cast("boolean"))
+        told = self.marked(both)
         seq = self.store.manifest().version + 1
         return self.store.append(told.where(~F.col("was").eqNullSafe(F.col("now"))).select(
             *self.version, F.col("now").alias("changed"), F.lit(seq).cast("long").alias("seq")), batch_id, source)

@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from martworks.operators.joins import growing
+from martworks.session import write_table
 
 BUCKETS, FAN = 16, 8
 _MANIFEST = "version long, buckets int, ledger string, run string, level int"
@@ -99,7 +100,8 @@ class RunStore:
 
     def near(self, df: DataFrame) -> DataFrame:
         """The stored rows of the buckets that `df` touches; they grow with the table, so a join never broadcasts them."""
-        return growing(self.read(self.touched(df)))
+        live = self.manifest()
+        return growing(self.read(self.touched(df) if live.runs else [], live))
 
     # ---- writing ------------------------------------------------------------------------
 
@@ -109,9 +111,9 @@ class RunStore:
 
     def _write(self, rows: DataFrame, run: str) -> None:
         split = [*self.parts, "bucket"]
-        rows.select(*self.schema.names).withColumn("bucket", self.bucket()).repartition(*split).sortWithinPartitions(
-            *split, *self.keys).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*split).parquet(
-            f"{self.path}/{run}")
+        # a large bucket is cut into several tasks, so none sorts more than fits
+        dealt = rows.select(*self.schema.names).withColumn("bucket", self.bucket()).hint("rebalance", *[F.col(c) for c in split])
+        write_table(dealt.sortWithinPartitions(*split, *self.keys), f"{self.path}/{run}", *split)
 
     def append(self, rows: DataFrame, batch_id: int, source: str = "stream") -> bool:
         """Adds the rows of a batch; False if the table has it.

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from martworks.plans.order_vault import message_categories, message_products
-from martworks.session import reliable
+from martworks.session import reliable, staging
 from martworks.sources.runs import BUCKETS, FAN, RunStore
 from martworks.streaming.sinks import start
 
@@ -37,12 +37,15 @@ class CounterStore:
     def add(self, df: DataFrame, batch_id: int) -> None:
         if self.orders.holds(batch_id):
             return
-        rows = reliable(df.groupBy(*self.identity).agg(F.max(self.label).alias(self.label)))
         same = [F.col(f"n.{c}").eqNullSafe(F.col(f"k.{c}")) for c in self.identity]
-        fresh = reliable(rows.alias("n").join(self.orders.near(rows).alias("k"), same, "left_anti"))
-        # the order keys close the batch: before them nothing of it is known, so it can be computed again
-        self.counts.append(self._added(fresh.withColumn("order_cnt", F.lit(1).cast("long"))), batch_id)
-        self.orders.append(fresh, batch_id)
+        with staging(self.orders.spark):
+            rows = reliable(df.groupBy(*self.identity).agg(F.max(self.label).alias(self.label)))
+            fresh = rows
+            if self.orders.manifest().runs:
+                fresh = reliable(rows.alias("n").join(self.orders.near(rows).alias("k"), same, "left_anti"))
+            # the order keys close the batch: before them nothing of it is known, so it can be computed again
+            self.counts.append(self._added(fresh.withColumn("order_cnt", F.lit(1).cast("long"))), batch_id)
+            self.orders.append(fresh, batch_id)
 
 
 def counter_writer(path: str, key: str, label: str, buckets: int = BUCKETS, fan: int = FAN) -> Callable[[DataFrame, int], None]:

@@ -11,7 +11,7 @@ from martworks import schemas
 from martworks.operators.filters import union_all
 from martworks.operators.grouping import latest_per_key
 from martworks.plans.order_vault import as_message, dimension_keys, enrich_orders, split_known, user_message
-from martworks.session import reliable
+from martworks.session import reliable, staging
 from martworks.sources.runs import BUCKETS, FAN, RunStore
 from martworks.streaming.letters import DeadLetters, ParkedOrders, read_messages
 from martworks.streaming.sinks import start, write_batch
@@ -30,15 +30,13 @@ def raw_store(spark: SparkSession, root: str, buckets: int = BUCKETS, fan: int =
                     buckets, fan, _latest_message)
 
 
-def _use(orders: DataFrame, root: str, dimensions: Dimensions, number: int, load_dt: str, source: str, out: int, buckets: int) -> DataFrame:
-    """Enriches parsed orders; known ones go to the vault and the counters, the others are parked. Returns the enriched ones."""
-    spark = orders.sparkSession
-    enriched = reliable(enrich_orders(orders, *dimensions, "sent_dttm"))
+def _use(enriched: DataFrame, root: str, number: int, load_dt: str, source: str, out: int, buckets: int) -> None:
+    """Of enriched orders the known ones go to the vault and the counters, the others are parked."""
+    spark = enriched.sparkSession
     known, unknown = split_known(enriched)
     ParkedOrders(spark, root, buckets).park(unknown, number, source)
     OrderVault(spark, f"{root}/vault", buckets).load(known, number, load_dt, source)
     write_batch(user_message(known), f"{root}/messages", out)
-    return enriched
 
 
 def order_writer(root: str, users: DataFrame, restaurants: DataFrame, menu: DataFrame,
@@ -57,24 +55,32 @@ def order_writer(root: str, users: DataFrame, restaurants: DataFrame, menu: Data
     """
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        messages = reliable(read_messages(df.select("value"), schemas.ORDER_MESSAGE, "object_id"))
-        DeadLetters(spark, f"{root}/dead", buckets).keep(messages, batch_id)
-        orders = messages.where("reason is null").select("object_id", "object_type", "sent_dttm", "payload")
-        raw_store(spark, root, buckets).append(
-            _latest_message(orders.withColumn("payload", F.to_json("payload"))), batch_id)
-        enriched = _use(orders, root, (users, restaurants, menu), batch_id, load_dt(batch_id), "stream", batch_id, buckets)
-        write_batch(_batch_counts(messages, enriched), f"{root}/batches", batch_id)
+        with staging(spark):
+            with staging(spark) as keep:
+                # the text is needed of dead letters only
+                messages = reliable(read_messages(df.select("value"), schemas.ORDER_MESSAGE, "object_id").withColumn(
+                    "value", F.when(F.col("reason").isNotNull(), F.col("value"))))
+                DeadLetters(spark, f"{root}/dead", buckets).keep(messages, batch_id)
+                orders = messages.where("reason is null").select("object_id", "object_type", "sent_dttm", "payload")
+                raw_store(spark, root, buckets).append(
+                    _latest_message(orders.withColumn("payload", F.to_json("payload"))), batch_id)
+                n_read = keep(_read_counts(messages))
+                enriched = keep(enrich_orders(orders, users, restaurants, menu, "sent_dttm"))
+            _use(enriched, root, batch_id, load_dt(batch_id), "stream", batch_id, buckets)
+            write_batch(_batch_counts(n_read, enriched), f"{root}/batches", batch_id)
     return write
 
 
-def _batch_counts(messages: DataFrame, enriched: DataFrame) -> DataFrame:
-    known = F.size("reasons") == 0
-    zero = F.lit(0).cast("long")
-    read = messages.agg(F.count("*").alias("n_in"), F.count_if(F.col("reason").isNotNull()).alias("n_malformed")).select(
-        "n_in", "n_malformed", zero.alias("n_known"), zero.alias("n_parked"))
+def _read_counts(messages: DataFrame) -> DataFrame:
+    return messages.agg(F.count("*").alias("n_in"), F.count_if(F.col("reason").isNotNull()).alias("n_malformed"))
+
+
+def _batch_counts(read: DataFrame, enriched: DataFrame) -> DataFrame:
+    known, zero = F.size("reasons") == 0, F.lit(0).cast("long")
     used = enriched.agg(F.count_if(known).alias("n_known"), F.count_if(~known).alias("n_parked")).select(
         zero.alias("n_in"), zero.alias("n_malformed"), "n_known", "n_parked")
     names = ["n_in", "n_malformed", "n_known", "n_parked"]
+    read = read.select("n_in", "n_malformed", zero.alias("n_known"), zero.alias("n_parked"))
     total = union_all([read, used]).agg(*[F.sum(n).alias(n) for n in names])
     return total.withColumn("n_repeated", F.col("n_in") - F.col("n_malformed") - F.col("n_known") - F.col("n_parked"))
 
@@ -88,17 +94,21 @@ def release_parked(root: str, arrived: Dimensions, dimensions: Dimensions, numbe
     parked; one that leaves does so once. `number` counts the releases from 0; a
     release that is repeated adds nothing.
     """
-    parking = ParkedOrders(dimensions[0].sparkSession, root, buckets)
+    spark = dimensions[0].sparkSession
+    parking = ParkedOrders(spark, root, buckets)
     again = parking.released.holds(number, "release")
-    orders = reliable(parking.waiting(dimension_keys(*arrived)).where(F.lit(not again)).drop("row_id"))
-    if again:
-        return orders.select("object_id", "sent_dttm", F.lit(True).alias("released"))
-    # user messages of releases stand beside those of the batches, under negative numbers
-    enriched = _use(orders, root, dimensions, number, load_dt, "release", -1 - number, buckets)
-    known = split_known(enriched)[0]
-    parking.released.append(known.select("object_id", "sent_dttm", as_message(known).alias("payload")).select(
-        parking.row_id().alias("row_id")).distinct(), number, "release")
-    return enriched.select("object_id", "sent_dttm", (F.size("reasons") == 0).alias("released"))
+    with staging(spark) as keep:
+        orders = reliable(parking.waiting(dimension_keys(*arrived)).where(F.lit(not again)).drop("row_id"))
+        if again:
+            return keep(orders.select("object_id", "sent_dttm", F.lit(True).alias("released")))
+        # user messages of releases stand beside those of the batches, under negative numbers
+        with staging(spark) as keep_inside:
+            enriched = keep_inside(enrich_orders(orders, *dimensions, "sent_dttm"))
+        _use(enriched, root, number, load_dt, "release", -1 - number, buckets)
+        known = split_known(enriched)[0]
+        parking.released.append(known.select("object_id", "sent_dttm", as_message(known).alias("payload")).select(
+            parking.row_id().alias("row_id")).distinct(), number, "release")
+        return keep(enriched.select("object_id", "sent_dttm", (F.size("reasons") == 0).alias("released")))
 
 
 def run_orders(messages: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,

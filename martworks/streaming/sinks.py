@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from martworks.session import write_table
+
 
 def write_batch(df: DataFrame, path: str, batch_id: int, *partition_cols: str) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_cols).parquet(
-        f"{path}/batch_id={batch_id}")
+    write_table(df, f"{path}/batch_id={batch_id}", *partition_cols)
 
 
 def batch_sink(path: str) -> Callable[[DataFrame, int], None]:

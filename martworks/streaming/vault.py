@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martworks.plans.order_vault import vault_rows, vault_table
-from martworks.session import reliable
+from martworks.session import reliable, staging
 from martworks.sources.history import HistoryStore
 from martworks.sources.runs import BUCKETS, FAN, RunStore
 
@@ -32,16 +32,20 @@ class OrderVault:
     def _add_new(store: RunStore, rows: DataFrame, batch_id: int, source: str) -> None:
         if store.holds(batch_id, source):
             return
-        rows = reliable(rows)
-        known = store.near(rows).select("tbl", "pk")
-        store.append(rows.join(known, ["tbl", "pk"], "left_anti"), batch_id, source)
+        if not store.manifest().runs:
+            store.append(rows, batch_id, source)
+            return
+        with staging(store.spark):
+            rows = reliable(rows)
+            known = store.near(rows).select("tbl", "pk")
+            store.append(rows.join(known, ["tbl", "pk"], "left_anti"), batch_id, source)
 
     def load(self, orders: DataFrame, batch_id: int, load_dt: str, source: str = "stream") -> None:
         """Known orders of a batch. Repeating a batch, whole or after a failure half way, adds what is not there yet."""
         hubs, links, versions = vault_rows(orders, load_dt, "sent_dttm")
         self._add_new(self.hubs, hubs, batch_id, source)
         self._add_new(self.links, links, batch_id, source)
-        self.satellites.load(versions, batch_id, source)
+        self.satellites.load(versions, batch_id, source, unique=True)
 
     def table(self, name: str) -> DataFrame:
         """A table of the vault with its own column names; of a satellite the versions that are changes."""
