@@ -42,8 +42,16 @@ def load_link(src: DataFrame, pk: str, members: dict[str, Column] | list[str], e
 
 
 def _new_only(rows: DataFrame, existing: DataFrame | None, pk: str) -> DataFrame:
-    """Rows whose key is not stored. A key hashes values that are there; to test it for null, the filter would hash it once more."""
-    return rows if existing is None else rows.join(growing(existing.select(pk)), pk, "left_anti")
+    """Rows whose key is not stored.
+
+    A key hashes values that are there, so it is not tested for null: the filter would hash it
+    again for every source row. A left join, because Spark moves an anti-join below the step that
+    makes the keys unique, and then sorts all source rows by keys that each comparison hashes anew.
+    """
+    if existing is None:
+        return rows
+    stored = growing(existing.select(pk, F.lit(True).alias("_stored")))
+    return rows.join(stored, pk, "left").where("_stored is null").drop("_stored")
 
 
 def load_satellite(src: DataFrame, key: str, attrs: list[str], existing: DataFrame | None, source: str, load_dt: str,
