@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import functions as F
 
 from martworks import session
+from martworks.catalog import QUERIES
 from martworks.functions.keys import uuid3
 from martworks.operators.grouping import latest_per_key
 from martworks.operators.joins import enrich_items
 from martworks.operators.vault import load_link
+from martworks.plans.recommendations import near_pairs
 from martworks.sources.history import HistoryStore
 from martworks.streaming.counters import counter_writer
 from martworks.streaming.orders import order_writer, release_parked
 
 
+# pairs dealt by both users, or joined by one of them
+PAIRS_MOVED = r"hashpartitioning\(user_left#\d+L?, user_right|Join \[user_left"
+
+
 def staged(spark):
     root = os.path.dirname(session.run_dir(spark, "x"))
     return {f for f in os.listdir(root) if f.startswith("stage-")} if os.path.isdir(root) else set()
@@ -108,3 +115,19 @@ def test_latest_row_is_not_carried_twice(spark):
     assert sorted(map(tuple, best.collect())) == [(1, "b", "y", 2), (2, None, "z", 3)]
     assert "_row, v," not in plan_of(best) and "struct(v, " not in plan_of(best)
     assert sorted(map(tuple, latest_per_key(df.drop("n"), ["k"], ["t", "v"]).collect())) == [(1, "b", "y"), (2, None, "z")]
+
+
+def test_pairs_are_not_shuffled_for_what_their_users_know(spark):
+    points = spark.createDataFrame([(u, c, -33.0 - (u * 7 % 10) / 500, 151.0 + (u * 3 % 10) / 500) for u in range(30) for c in (u % 3, 3)],
+                                   "user_id long, channel long, lat double, lon double")
+    apart = spark.createDataFrame([(u, v) for u in range(30) for v in range(u + 1, 30) if (u * v) % 5 == 1 or u == 2], "user_left long, user_right long")
+    about = spark.createDataFrame([(u, f"z{u}") for u in range(30) if u % 4], "user_id long, zone string")
+    plain = {(r.user_left, r.user_right) for r in near_pairs(points, "channel", 1.0).collect()}
+    want = sorted((u, v, f"z{u}") for u, v in plain - {tuple(r) for r in apart.collect()} if u % 4)
+    assert 0 < len(want) < len(plain)
+    for most in (256, 2, 1):
+        got = near_pairs(points, "channel", 1.0, 5000, most, about, apart)
+        assert sorted(tuple(r) for r in got.select("user_left", "user_right", "zone").collect()) == want, most
+        assert most < 256 or not re.search(PAIRS_MOVED, plan_of(got))
+    mart = plan_of(QUERIES["recommendation_mart"](spark, "/root/testdata/sf0.001"))
+    assert not re.search(PAIRS_MOVED, mart)
